@@ -42,8 +42,8 @@ def ring_points(polygon: Column) -> Column:
     return F.transform(
         F.split(polygon, ";"),
         lambda p: F.struct(
-            F.split(p, ",")[0].cast("double").alias("lng"),
-            F.split(p, ",")[1].cast("double").alias("lat")))
+            F.get(F.split(p, ","), F.lit(0)).try_cast("double").alias("lng"),
+            F.get(F.split(p, ","), F.lit(1)).try_cast("double").alias("lat")))
 
 
 def polygon_wkt(polygon: Column) -> Column:

@@ -26,7 +26,7 @@ def salt(primary_key: Column, buckets: int = SALT_BUCKETS) -> Column:
 def salted_key(entity_id: Column, time: Column, buckets: int = SALT_BUCKETS) -> Column:
     """Four-digit salt of ``id_time`` and 12 hex digits of the md5 of the id with the short time."""
     prefix = F.lpad(salt(F.concat_ws("_", entity_id, time), buckets).cast("string"), 4, "0")
-    short = F.concat_ws("_", entity_id, F.expr("substring({t}, 3)", t=time))
+    short = F.concat_ws("_", entity_id, F.substr(time, F.lit(3)))
     return F.when(
         entity_id.isNotNull() & time.isNotNull(),
         F.concat(prefix, F.substring(F.md5(short.cast("binary")), 1, 12)))

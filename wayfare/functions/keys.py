@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wayfare.constants import SALT_BUCKETS
 
-HEX_DIGITS = "0123456789abcdef"
-
-
 def salt(primary_key: Column, buckets: int = SALT_BUCKETS) -> Column:
-    """Bucket of a key, 0..buckets-1: the first 15 hex digits of its md5 weighted by powers of 8."""
-    digest = F.md5(primary_key.cast("binary"))
-    weighted = [
-        (F.position(F.substring(digest, i, 1), F.lit(HEX_DIGITS)) - 1).cast("long") * (8 ** (15 - i))
-        for i in range(1, 16)
-    ]
-    return F.pmod(reduce(add, weighted), F.lit(buckets))
+    """Bucket of a key, 0..buckets-1: the first 15 hex digits of its md5 weighted by powers of 8.
+
+    A hex digit is eight times its high bit plus an octal digit, so the weighted sum is one octal
+    number of the low parts and eight times one of the high bits.
+    """
+    digits = F.substring(F.md5(primary_key.cast("binary")), 1, 15)
+    low = F.conv(F.translate(digits, "89abcdef", "01234567"), 8, 10).cast("long")
+    high = F.conv(F.translate(digits, "0123456789abcdef", "0000000011111111"), 8, 10).cast("long")
+    return F.pmod(low + high * 8, F.lit(buckets))
 
 
 def salted_key(entity_id: Column, time: Column, buckets: int = SALT_BUCKETS) -> Column:
-    """Four-digit salt of ``id_time`` and 12 hex digits of the md5 of the id with the short time."""
-    prefix = F.lpad(salt(F.concat_ws("_", entity_id, time), buckets).cast("string"), 4, "0")
-    short = F.concat_ws("_", entity_id, F.substr(time, F.lit(3)))
-    return F.when(
-        entity_id.isNotNull() & time.isNotNull(),
-        F.concat(prefix, F.substring(F.md5(short.cast("binary")), 1, 12)))
+    """Four-digit salt of ``id_time`` and 12 hex digits of the md5 of the id with the short time.
+
+    Null when the id or the time is.
+    """
+    prefix = F.lpad(salt(F.concat(entity_id, F.lit("_"), time), buckets).cast("string"), 4, "0")
+    short = F.concat(entity_id, F.lit("_"), F.substr(time, F.lit(3)))
+    return F.concat(prefix, F.substring(F.md5(short.cast("binary")), 1, 12))
 
 
 def split_keys(regions: int) -> list[str]:

@@ -29,11 +29,9 @@ def to_epoch(ts: Column) -> Column:
 
 def compact_time(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` -> ``yyyyMMddHHmmss``; null when blank or without a time part."""
-    parts = F.split(text, " ", -1)
-    joined = F.concat(F.translate(parts[0], "-", ""), F.translate(F.get(parts, F.lit(1)), ":", ""))
-    # A blank after the day with nothing behind it counts as no time part.
-    has_time = F.rtrim(text).contains(" ")
-    return F.when(_not_blank(text) & has_time, joined)
+    # Trailing blanks are no time part; a missing part is null and makes the whole null.
+    parts = F.split(F.rtrim(text), " ", -1)
+    return F.concat(F.translate(parts[0], "-", ""), F.translate(F.get(parts, F.lit(1)), ":", ""))
 
 
 def compact_day(text: Column) -> Column:

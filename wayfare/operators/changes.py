@@ -33,20 +33,26 @@ def route_of(tbl: Column) -> Column:
             .otherwise(F.lit(UNKNOWN_ROUTE)))
 
 
+def _defaults(parsed: DataFrame) -> DataFrame:
+    """Table, operation and route; a missing table is empty, a missing type inserts."""
+    return (parsed.withColumn("table", F.coalesce("table", F.lit("")))
+            .withColumn("op", F.coalesce("type", F.lit("insert"))).drop("type")
+            .withColumn("route", route_of(F.col("table"))))
+
+
 def routed(messages: DataFrame) -> DataFrame:
-    """Messages with table, operation and route; a missing table is empty, a missing type inserts."""
-    return (messages.withColumn("_head", F.from_json("value", ENVELOPE))
-            .withColumn("table", F.coalesce("_head.table", F.lit("")))
-            .withColumn("op", F.coalesce("_head.type", F.lit("insert")))
-            .drop("_head").withColumn("route", route_of(F.col("table"))))
+    """Messages with table, operation and route."""
+    return _defaults(messages.select(
+        *messages.columns, F.inline(F.array(F.from_json("value", ENVELOPE)))))
 
 
 def entity_rows(messages: DataFrame, entity: str) -> DataFrame:
     """Records of one entity as its bean: table, id, operation and the entity's fields, all text."""
     fields, fill, _ = ENTITIES[entity]
-    schema = strings("x").add("data", ENTITY_DATA[entity])
-    rows = (routed(messages).where(F.col("route") == entity)
-            .withColumn("data", F.from_json("value", schema)["data"]))
+    envelope = strings("table", "type").add("data", ENTITY_DATA[entity])
+    # Unpacked by a generator, the record is parsed once for routing and fields together.
+    parsed = messages.select("offset", F.inline(F.array(F.from_json("value", envelope))))
+    rows = _defaults(parsed).where(F.col("route") == entity)
 
     def value(name: str) -> Column:
         got = F.col(f"data.{name}")
@@ -58,17 +64,17 @@ def entity_rows(messages: DataFrame, entity: str) -> DataFrame:
 def key_time(entity: str) -> Column:
     """Compact time a record is keyed on: the first of its times that is not blank."""
     _, _, candidates = ENTITIES[entity]
-    filled = [F.when(F.length(F.trim(F.col(c))) > 0, F.col(c)) for c in candidates]
-    return times.compact_time(F.coalesce(*filled))
+    *first, last = candidates
+    filled = [F.when(F.trim(F.col(c)) != "", F.col(c)) for c in first]
+    return times.compact_time(F.coalesce(*filled, F.col(last)) if filled else F.col(last))
 
 
 def keyed_writes(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Rows to store: inserts and updates with a usable id and time, under their salted key."""
+    moment = key_time(entity)
     rows = entity_rows(messages, entity).where(
-        F.col("op").isin("insert", "update") & F.col("id").isNotNull())
-    rows = rows.withColumn("rowkey", keys.salted_key(F.col("id"), key_time(entity), buckets))
-    return rows.where(F.col("rowkey").isNotNull()).select(
-        "rowkey", *[c for c in rows.columns if c != "rowkey"])
+        F.col("op").isin("insert", "update") & F.col("id").isNotNull() & moment.isNotNull())
+    return rows.select(keys.salted_key(F.col("id"), moment, buckets).alias("rowkey"), *rows.columns)
 
 
 def latest_state(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:

@@ -26,13 +26,15 @@ def track_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     parts = F.split(value, ",", -1)
 
     def part(i: int) -> Column:
-        return F.when(is_point, F.get(parts, F.lit(i)))
+        return F.get(parts, F.lit(i))
 
+    # A marker has a single part, so the fields of a point are null for it without a condition;
+    # unconditional uses of the split share one evaluation.
     epoch = part(2).try_cast("long")
     return messages.where(is_point | value.contains("end")).select(
         city_of_topic(F.col("topic"), GPS_TOPICS, strict).alias("city_code"),
-        part(0).alias("driver_id"),
-        F.when(is_point, part(1)).otherwise(F.col("key")).alias("order_id"),
+        F.when(is_point, part(0)).alias("driver_id"),
+        F.coalesce(part(1), F.col("key")).alias("order_id"),
         F.when(is_point, epoch).otherwise(times.to_epoch(F.col("ts"))).alias("epoch"),
         part(3).alias("lng"), part(4).alias("lat"),
         F.when(is_point, F.concat_ws(",", part(3), part(4))).otherwise(value).alias("item"),

@@ -31,6 +31,15 @@ def _pick(index: Column, *values: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """Rows as a source would deliver them: each column is computed once.
+
+    Columns of a generator are not inlined into the expressions above it, whereas those of a plain
+    projection would be computed again in every filter and field that uses them.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One ride order per row of ``orders``."""
     o = table(spark, folder, "orders")
@@ -70,8 +79,8 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
              .otherwise(line))
     # Every 53rd message comes from a topic nobody parses.
     topic = F.when(key % 53 == 0, F.lit("unknown_topic")).otherwise(F.col("topic"))
-    return o.select(topic.alias("topic"), F.col("order_id").alias("key"), value.alias("value"),
-                    key.alias("offset"))
+    return _settled(o.select(topic.alias("topic"), F.col("order_id").alias("key"), value.alias("value"),
+                             key.alias("offset")))
 
 
 def gps_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,9 +95,9 @@ def gps_messages(spark: SparkSession, folder: str) -> DataFrame:
     value = (F.when(F.col("event_type") == "error", F.lit("end"))
              .when(F.col("event_type") == "signup", F.lit("noise"))
              .otherwise(point))
-    return e.select(
+    return _settled(e.select(
         _pick(user % 2, "cheng_du_gps_topic_2", "xi_an_gps_topic").alias("topic"),
-        order.alias("key"), value.alias("value"), ident.alias("offset"), F.col("ts").alias("ts"))
+        order.alias("key"), value.alias("value"), ident.alias("offset"), F.col("ts").alias("ts")))
 
 
 def _envelope(tbl: Column, op: Column, data: Column, offset: Column) -> list[Column]:
@@ -160,11 +169,11 @@ def unrouted_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 def change_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The change records of all tables in one stream of messages."""
-    return (order_changes(spark, folder)
-            .unionByName(user_changes(spark, folder))
-            .unionByName(driver_changes(spark, folder))
-            .unionByName(alliance_changes(spark, folder))
-            .unionByName(unrouted_changes(spark, folder)))
+    return _settled(order_changes(spark, folder)
+                    .unionByName(user_changes(spark, folder))
+                    .unionByName(driver_changes(spark, folder))
+                    .unionByName(alliance_changes(spark, folder))
+                    .unionByName(unrouted_changes(spark, folder)))
 
 
 def supplier_polygons(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,8 +23,13 @@ def epoch_millis_to_text(millis: Column) -> Column:
 
 
 def to_epoch(ts: Column) -> Column:
-    """A zone-less timestamp -> epoch seconds, rounded down."""
-    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(EPOCH), ts) / F.lit(1000000)).cast("long")
+    """A zone-less timestamp -> epoch seconds, rounded down.
+
+    Composed from the day and the clock: ``timestampdiff`` would read the timestamp in the session
+    zone, and skip an hour where that zone does.
+    """
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("long") * 86400 + clock
 
 
 def compact_time(text: Column) -> Column:

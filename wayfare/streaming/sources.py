@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.constants import ORDER_TOPICS
+from wayfare.functions.times import EPOCH
 from wayfare.schemas import MESSAGE
 
 
@@ -32,7 +33,7 @@ def kafka_messages(spark: SparkSession, servers: str, topics: Sequence[str] = tu
            .options(**kafka_options(servers, topics, starting, max_offsets)).load())
     return raw.select("topic", F.col("key").cast("string").alias("key"),
                       F.col("value").cast("string").alias("value"), "offset",
-                      F.to_timestamp_ntz(F.col("timestamp").cast("string")).alias("ts"))
+                      F.timestamp_add("MICROSECOND", F.unix_micros("timestamp"), F.expr(EPOCH)).alias("ts"))
 
 
 def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

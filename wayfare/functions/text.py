@@ -30,4 +30,6 @@ def fields_trimmed(line: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines of a text as a line reader sees them: a final line break opens no further line."""
-    return F.split(F.regexp_replace(text, r"(\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", -1)
+    closed = F.when(F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")),
+                    F.regexp_replace(text, r"(\r\n|\n|\r)\z", "")).otherwise(text)
+    return F.split(closed, r"\r\n|\n|\r", -1)

@@ -6,10 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfare.functions.text import fields_trimmed, lines
 from wayfare.operators.spread import ROWS_PER_TASK, number_rows
 
+# Spark prunes ranked rows before the shuffle up to this many per key (its own default).
+TOP_K_PRUNED = 1000
+
 
 def counter_totals(increments: DataFrame) -> DataFrame:
     """Increments summed by key and field."""
@@ -42,7 +46,16 @@ def member_ranks(scored: DataFrame, descending: bool = False,
 
 def rank_range(scored: DataFrame, start: int, stop: int, descending: bool = False,
                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Members ranked from ``start`` to ``stop``, both inclusive; negative counts from the end."""
+    """Members ranked from ``start`` to ``stop``, both inclusive; negative counts from the end.
+
+    A short range from the front is a top-k: Spark keeps the first rows of each key within every
+    task before the shuffle, so the size of a key does not matter.
+    """
+    if 0 <= start <= stop < TOP_K_PRUNED:
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(*_score_order(descending)))
+        top = scored.withColumn("_rn", rank).where(F.col("_rn") <= stop + 1)
+        return top.where(F.col("_rn") > start).select(
+            "key", "member", "score", (F.col("_rn") - 1).cast("bigint").alias("rank"))
     ranked = member_ranks(scored, descending, rows_per_task)
     return ranked.where(_in_rank_range(start, stop)).select("key", "member", "score", "rank")
 

@@ -32,15 +32,21 @@ class HotKeys:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    heavy = (df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-             .where(F.col("_rows") > rows_per_task)
+    return hot_keys_of_counts(df.groupBy(*keys).agg(F.count("*").alias("_rows")), keys, rows_per_task)
+
+
+def hot_keys_of_counts(counts: DataFrame, keys: Sequence[str],
+                       rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """Heavy keys when the rows per key are already counted, in column ``_rows``."""
+    heavy = (counts.where(F.col("_rows") > rows_per_task)
              .orderBy(F.desc("_rows"), *keys)
              .limit(MAX_HOT_KEYS))
+    # Bounded by the limit above.
     found = heavy.collect()
     if not found:
         return HotKeys(None, 0)
     pieces = heavy.withColumn("_pieces", F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int"))
-    local = df.sparkSession.createDataFrame(
+    local = counts.sparkSession.createDataFrame(
         [(*row, -(-row["_rows"] // rows_per_task)) for row in found], pieces.schema)
     return HotKeys(local.drop("_rows"), sum(row["_rows"] for row in found))
 
@@ -56,15 +62,17 @@ def _same(keys: Sequence[str]) -> Column:
 
 
 def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                rows_per_task: int = ROWS_PER_TASK, how: str = "inner") -> DataFrame:
+                rows_per_task: int = ROWS_PER_TASK, hot: HotKeys | None = None) -> DataFrame:
     """Join rows of ``left`` to the one row ``right`` has per key.
 
     A heavy key of ``left`` is cut into pieces and its single row of ``right`` copied to each, so no
-    task receives the whole key; all other rows join as usual.
+    task receives the whole key; all other rows join as usual. Adaptive skew handling alone would
+    not do: it needs a shuffle on both sides, and an aggregated ``right`` brings none of its own.
     """
-    hot = hot_keys(left.where(F.col(keys[0]).isNotNull()), keys, rows_per_task)
+    if hot is None:
+        hot = hot_keys(left.where(F.col(keys[0]).isNotNull()), keys, rows_per_task)
     if not hot:
-        return left.join(right, list(keys), how)
+        return left.join(right, list(keys))
     small = F.broadcast(hot.frame)
     # The input partition is part of the hash, so that identical rows spread as well.
     whole = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
@@ -72,7 +80,7 @@ def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str],
         "_piece", F.pmod("_hash", F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces", "_hash")
     cut_right = right.join(small, list(keys), "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces")
-    return cut_left.join(cut_right, [*keys, "_piece"], how).drop("_piece")
+    return cut_left.join(cut_right, [*keys, "_piece"]).drop("_piece")
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn",

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from wayfare.constants import HEX_EDGE_M, MIN_CELL_ORDERS
 from wayfare.functions import geo
-from wayfare.operators.spread import ROWS_PER_TASK, join_unique
+from wayfare.operators.spread import ROWS_PER_TASK, hot_keys_of_counts, join_unique
+from wayfare.session import ensure_checkpoint_dir
 
 # A district table up to this many ring points is broadcast; a larger one is joined by tile.
-MAX_BROADCAST_POINTS = 200_000
-TILE_PIECES = 16
+MAX_BROADCAST_POINTS = 20_000
+TILE_PIECES = 8
 
 
 def grid_cells(orders: DataFrame, edge_m: float = HEX_EDGE_M) -> DataFrame:
@@ -36,8 +37,15 @@ def hot_cells(gridded: DataFrame, min_orders: int = MIN_CELL_ORDERS) -> DataFram
 
 def hot_cell_orders(gridded: DataFrame, min_orders: int = MIN_CELL_ORDERS,
                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Every order of a hot cell with the cell's count; a crowded cell is cut into pieces."""
-    return join_unique(gridded, hot_cells(gridded, min_orders), ["cell"], rows_per_task)
+    """Every order of a hot cell with the cell's count; a crowded cell is cut into pieces.
+
+    The counts serve twice, to find crowded cells and to join, so they are checkpointed rather than
+    aggregated from all orders again.
+    """
+    ensure_checkpoint_dir(gridded.sparkSession)
+    counts = hot_cells(gridded, min_orders).checkpoint()
+    crowded = hot_keys_of_counts(counts.withColumnRenamed("order_count", "_rows"), ["cell"], rows_per_task)
+    return join_unique(gridded, counts, ["cell"], rows_per_task, crowded)
 
 
 def cell_representatives(gridded: DataFrame, min_orders: int = 1) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from wayfare.constants import XIAN, CHENGDU
 from wayfare.functions import keys, text, times
 from wayfare.operators import changes, members, metrics, orders, stations, tracks
-from wayfare.schemas import DISTRICT_DOCUMENT, GEOJSON, TASK_EVENT
+from wayfare.schemas import DISTRICT_DOCUMENT, GEOJSON
 from wayfare.sources import derived
 from wayfare.sources.sinks import stored_track
-from wayfare.sources.tables import order_scan, table
+from wayfare.sources.tables import order_scan, parsed_task_events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,12 +163,8 @@ TRACK_POINT = (("driverId", "string"), ("orderId", "string"), ("timestamp", "big
 
 # Metrics.
 
-def _task_reports(report: Callable[[DataFrame], DataFrame]) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        events = derived.task_events(spark, folder).select(
-            F.inline(F.array(F.from_json("value", TASK_EVENT))))
-        return report(events)
-    return run
+def _task_reports(report: Callable[[DataFrame], DataFrame], *parts: str) -> Query:
+    return lambda spark, folder: report(parsed_task_events(derived.task_events(spark, folder), *parts))
 
 
 def metrics_retained(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,11 +264,12 @@ QUERIES: dict[str, Query] = {
     "hour_count_map": lambda s, d: tracks.hour_count_map(tracks.hourly_orders(_points(s, d))),
     # Metrics.
     "gauge_extract": lambda s, d: metrics.gauge_values(derived.gauge_snapshots(s, d), "app"),
-    "task_metrics": _task_reports(metrics.task_metrics),
-    "shuffle_metrics": _task_reports(metrics.shuffle_metrics),
-    "io_metrics": _task_reports(metrics.io_metrics),
+    "task_metrics": _task_reports(metrics.task_metrics, "Task Metrics"),
+    "shuffle_metrics": _task_reports(metrics.shuffle_metrics, "Task Metrics"),
+    "io_metrics": _task_reports(metrics.io_metrics, "Task Metrics"),
     "task_info": _task_reports(metrics.task_info),
-    "failed_tasks": _task_reports(metrics.failed_tasks),
+    "failed_tasks": _task_reports(
+        metrics.failed_tasks, "Stage Attempt ID", "Task End Reason"),
     "record_total": lambda s, d: metrics.record_total(derived.order_messages(s, d)),
     "batch_throughput": lambda s, d: metrics.batch_throughput(derived.batch_reports(s, d)),
     "slow_batches": lambda s, d: metrics.slow_batches(derived.batch_delays(s, d), 1),

@@ -7,8 +7,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "wayfare", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on; ``conf`` overrides any setting (dots as ``__``)."""
+# Shuffled bytes a task should get.
+BYTES_PER_PARTITION = 128 << 20
+
+
+def build_session(app: str = "wayfare", master: str | None = None, shuffled_bytes: int | None = None,
+                  **conf: str) -> SparkSession:
+    """A session with adaptive execution on.
+
+    ``shuffled_bytes`` is the size of the largest shuffle expected; it sets how many partitions
+    shuffles start with, which adaptive execution then merges where they turn out small.
+    ``conf`` sets anything else.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -17,8 +27,11 @@ def build_session(app: str = "wayfare", master: str | None = None, **conf: str)
     )
     if master:
         builder = builder.master(master)
+    if shuffled_bytes:
+        partitions = max(8, -(-shuffled_bytes // BYTES_PER_PARTITION))
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

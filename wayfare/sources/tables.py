@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.schemas import GEOJSON, ORDER_STORE, TASK_EVENT
 
@@ -30,6 +32,12 @@ def geojson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GEOJSON).json(path, multiLine=True)
 
 
+def parsed_task_events(lines: DataFrame, *parts: str) -> DataFrame:
+    """Event-log lines held in column ``value``, parsed to the parts a report uses."""
+    schema = T.StructType([f for f in TASK_EVENT if f.name in ("Event", "Task Info", *parts)])
+    return lines.select(F.inline(F.array(F.from_json("value", schema))))
+
+
 def event_log(spark: SparkSession, path: str) -> DataFrame:
     """Spark event-log lines, limited to the parts task reports use."""
     return spark.read.schema(TASK_EVENT).json(path)

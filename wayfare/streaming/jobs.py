@@ -66,13 +66,16 @@ def current_order_totals(spark: SparkSession, path: str) -> DataFrame:
     return latest_per_key(stored(spark, path), ["city_code", "create_day"], ["batch_id"]).drop("batch_id")
 
 
-# Word counts, every word each time.
+# Word counts.
 
 def start_word_count(lines: DataFrame, path: str, checkpoint: str,
                      seconds: int | None = None) -> StreamingQuery:
-    return start(members.word_count(lines, "value"),
-                 lambda batch, _: batch.write.mode("overwrite").parquet(path),
-                 checkpoint, mode="complete", seconds=seconds, name="word_count")
+    return start(members.word_count(lines, "value"), _to(path), checkpoint, seconds=seconds,
+                 name="word_count")
+
+
+def current_word_counts(spark: SparkSession, path: str) -> DataFrame:
+    return latest_per_key(stored(spark, path), ["word"], ["batch_id"]).drop("batch_id")
 
 
 # Change capture.

@@ -160,7 +160,18 @@ def test_written_layouts(spark, tmp_path):
     from wayfare.operators import changes, orders, tracks
     points = tracks.gps_points(derived.gps_messages(spark, SF))
     sinks.write_tracks(points, str(tmp_path / "tracks"))
-    assert spark.read.parquet(str(tmp_path / "tracks")).count() == points.count()
+    stored = sinks.read_tracks(spark, str(tmp_path / "tracks"))
+    assert stored.count() == points.count()
+    for start, end, city in (("2024-01-05 06:00:00", "2024-01-09 18:00:00", "610100"),
+                             (None, "2024-01-09", None), ("2024-01-21 10", "", "510100")):
+        asked = tracks.query_tracks(stored, start, end, city)
+        assert sorted(asked.collect()) == sorted(tracks.query_tracks(points, start, end, city).collect())
+    plan = tracks.query_tracks(stored, "2024-01-05 06:00:00", None, "610100")._jdf.queryExecution().toString()
+    assert "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    order, low, high = points.groupBy("order_id").agg(F.min("epoch"), F.max("epoch")).orderBy("order_id").first()
+    columns = ["rowkey", "epoch", "offset"]
+    assert (tracks.track_range(stored, order, low, high).select(*columns).collect()
+            == tracks.track_range(points, order, low, high).select(*columns).collect())
     writes = changes.latest_state(derived.change_messages(spark, SF), "order")
     sinks.write_salted(writes, str(tmp_path / "salted"))
     saved = spark.read.option("inferSchema", "false").parquet(str(tmp_path / "salted"))
@@ -170,6 +181,18 @@ def test_written_layouts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "detail")).count() == detail.select("rowkey").distinct().count()
 
 
+def test_snapshots_expire(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    sinks.append_snapshots(spark.range(3), path)
+    sinks.append_snapshots(spark.range(2), path)
+    stored = spark.read.parquet(path)
+    newest = stored.agg(F.max("captured_at").cast("string")).first()[0]
+    moment = F.expr(f"timestamp_ntz'{newest}'")
+    assert metrics.retained(stored, moment).count() == 5
+    later = F.timestamp_add("SECOND", F.lit(3601), moment)
+    assert metrics.retained(stored, later, 3600).count() == 0
+
+
 def test_hourly_counts_add_up_to_the_orders(spark):
     from wayfare.operators import tracks
     points = tracks.gps_points(derived.gps_messages(spark, SF))

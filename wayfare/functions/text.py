@@ -15,6 +15,17 @@ def safe_html(html: Column) -> Column:
     return reduce(lambda text, unsafe: F.regexp_replace(text, "(?i)" + unsafe, ""), UNSAFE_HTML, html)
 
 
+def as_map(*columns: str) -> Column:
+    """Columns as one map of name to value, all text."""
+    pairs = [part for name in columns for part in (F.lit(name), F.col(name).cast("string"))]
+    return F.create_map(*pairs)
+
+
+def as_json(*columns: str) -> Column:
+    """Columns as one JSON object of text values."""
+    return F.to_json(as_map(*columns))
+
+
 def fields(line: Column, separator: str = " ") -> Column:
     """Every field of a line, trailing empty ones included."""
     return F.split(line, separator, -1)

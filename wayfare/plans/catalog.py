@@ -291,6 +291,8 @@ QUERIES: dict[str, Query] = {
                                                   ["purchase_2024-01-03", "view_2024-01-03"]),
     # Scalars and text.
     "time_formats": time_formats,
+    "order_json": lambda s, d: derived.orders_raw(s, d).select(
+        "order_id", text.as_json("order_id", "city_id", "starting_lng", "starting_lat").alias("object")),
     "html_filter": html_filter,
     "word_count": lambda s, d: members.word_count(table(s, d, "documents"), "text"),
 }

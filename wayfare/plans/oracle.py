@@ -552,6 +552,12 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS full_text,
 FROM events"""
 
 
+ORACLE["order_json"] = _with(_RAW, select="""
+SELECT order_id, cast(json_object('order_id', order_id, 'city_id', city_id, 'starting_lng', starting_lng,
+                                  'starting_lat', starting_lat) AS varchar) AS object
+FROM orders_raw""")
+
+
 def _html() -> str:
     text = "html"
     for pattern in UNSAFE_HTML:

@@ -24,6 +24,11 @@ ORDER_STORE = strings("order_id", "city_id", "starting_lng", "starting_lat")
 STATION = strings("order_id", "city_id", "starting_lng", "starting_lat", "district_name")
 DISTRICT = strings("name", "citycode", "polygon")
 
+# The stored track, laid out by city and day.
+TRACK = (strings("rowkey", "driver_id", "order_id").add("epoch", T.LongType()).add("time", T.StringType())
+         .add("lng", T.StringType()).add("lat", T.StringType()).add("offset", T.LongType())
+         .add("city_code", T.StringType()).add("day", T.StringType()))
+
 # Change records: entity fields under ``data``; the id field is always ``id_``.
 ENTITY_DATA = {
     "order": strings("id_", *ORDER_FIELDS),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.times import day_of
+from wayfare.functions.times import EPOCH, day_of
 from wayfare.operators.spread import latest_per_key
+from wayfare.schemas import TRACK
 
 
 def replace_stations(table: DataFrame, path: str) -> None:
@@ -33,6 +34,11 @@ def write_tracks(points: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("city_code", "day").parquet(path))
 
 
+def read_tracks(spark: SparkSession, path: str) -> DataFrame:
+    """The track table; city and day stay text."""
+    return spark.read.schema(TRACK).parquet(path)
+
+
 def write_order_detail(detail: DataFrame, path: str) -> None:
     """Append order-detail rows, the latest per row key."""
     latest_per_key(detail, ["rowkey"], ["offset"]).write.mode("append").parquet(path)
@@ -45,11 +51,17 @@ def write_salted(rows: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
+def append_snapshots(snapshots: DataFrame, path: str) -> None:
+    """Append metric snapshots with the UTC time of their capture, one folder per day.
+
+    Expiry is a filter on that time when reading; old days are dropped as whole folders.
+    """
+    captured = F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), F.expr(EPOCH))
+    stamped = snapshots.withColumn("captured_at", captured)
+    (stamped.withColumn("captured_day", F.col("captured_at").cast("date"))
+     .write.mode("append").partitionBy("captured_day").parquet(path))
+
+
 def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Store the writes of one micro-batch; a batch that is replayed replaces itself."""
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def current_rows(path_rows: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """Stored batches reduced to the last write per key."""
-    return latest_per_key(path_rows, keys, version)

@@ -53,6 +53,12 @@ def compact(spark: SparkSession, source: str, target: str, keys: list[str], vers
     rows.write.mode("overwrite").partitionBy("batch_id").parquet(target)
 
 
+def start_preview(rows: DataFrame, mode: str = "append", n: int = 20) -> StreamingQuery:
+    """Print the first rows of every batch."""
+    return (rows.writeStream.format("console").outputMode(mode).option("numRows", n)
+            .trigger(availableNow=True).start())
+
+
 # Running order and passenger totals.
 
 def start_order_totals(messages: DataFrame, path: str, checkpoint: str,

@@ -13,7 +13,7 @@ from wayfare.operators import changes, members, metrics, orders, stations, track
 from wayfare.schemas import DISTRICT_DOCUMENT, GEOJSON
 from wayfare.sources import derived
 from wayfare.sources.sinks import stored_track
-from wayfare.sources.tables import order_scan, parsed_task_events, table
+from wayfare.sources.tables import order_scan, parsed_task_events, table, widened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,7 +200,7 @@ def time_formats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def html_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", text.safe_html(F.col("html")).alias("html"))
+    return widened(table(spark, folder, "pages")).select("page_id", text.safe_html(F.col("html")).alias("html"))
 
 
 QUERIES: dict[str, Query] = {
@@ -294,5 +294,5 @@ QUERIES: dict[str, Query] = {
     "order_json": lambda s, d: derived.orders_raw(s, d).select(
         "order_id", text.as_json("order_id", "city_id", "starting_lng", "starting_lat").alias("object")),
     "html_filter": html_filter,
-    "word_count": lambda s, d: members.word_count(table(s, d, "documents"), "text"),
+    "word_count": lambda s, d: members.word_count(widened(table(s, d, "documents")), "text"),
 }

@@ -24,6 +24,8 @@ def build_session(app: str = "wayfare", master: str | None = None, shuffled_byte
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the call site of every expression doubles the time to build a query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

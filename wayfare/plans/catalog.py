@@ -179,8 +179,11 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sets(spark: SparkSession, folder: str) -> DataFrame:
+    """A set per event type: the users with the days they were seen on."""
     return table(spark, folder, "events").select(
-        F.col("event_type").alias("key"), F.col("user_id").alias("member"))
+        F.col("event_type").alias("key"),
+        F.concat_ws("_", F.col("user_id").cast("string"),
+                    times.day_of(F.col("ts").cast("string"))).alias("member"))
 
 
 # Scalars and text.
@@ -287,8 +290,7 @@ QUERIES: dict[str, Query] = {
     "score_removed": lambda s, d: members.remove_score_range(_scores(s, d), SCORE_LOW, SCORE_HIGH),
     "set_union": lambda s, d: members.set_union(_sets(s, d), ["click", "purchase"]),
     "set_intersect": lambda s, d: members.set_intersect(_sets(s, d), ["click", "purchase", "view"]),
-    "set_except": lambda s, d: members.set_except(derived.set_members(s, d), "click_2024-01-03",
-                                                  ["purchase_2024-01-03", "view_2024-01-03"]),
+    "set_except": lambda s, d: members.set_except(_sets(s, d), "click", ["purchase", "view"]),
     # Scalars and text.
     "time_formats": time_formats,
     "order_json": lambda s, d: derived.orders_raw(s, d).select(

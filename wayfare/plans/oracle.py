@@ -527,17 +527,16 @@ ORACLE["rank_removed"] = _with(
     _SCORES, select="SELECT key, member, score FROM ranks WHERE up < 2 OR up > members - 3")
 ORACLE["score_removed"] = _with(
     _SCORES, select=f"SELECT * FROM scores WHERE score < {SCORE_LOW} OR score > {SCORE_HIGH}")
-ORACLE["set_union"] = """
-SELECT user_id AS member FROM events WHERE event_type = 'click'
-UNION SELECT user_id FROM events WHERE event_type = 'purchase'"""
-ORACLE["set_intersect"] = """
-SELECT user_id AS member FROM events WHERE event_type = 'click'
-INTERSECT SELECT user_id FROM events WHERE event_type = 'purchase'
-INTERSECT SELECT user_id FROM events WHERE event_type = 'view'"""
-ORACLE["set_except"] = """
-SELECT user_id AS member FROM events WHERE event_type = 'click' AND cast(ts AS date) = date '2024-01-03'
-EXCEPT SELECT user_id FROM events
-WHERE event_type IN ('purchase', 'view') AND cast(ts AS date) = date '2024-01-03'"""
+_SETS = """sets AS (
+  SELECT event_type AS key, concat(cast(user_id AS varchar), '_', strftime(ts, '%Y-%m-%d')) AS member
+  FROM events)"""
+ORACLE["set_union"] = _with(_SETS, select="""
+SELECT member FROM sets WHERE key = 'click' UNION SELECT member FROM sets WHERE key = 'purchase'""")
+ORACLE["set_intersect"] = _with(_SETS, select="""
+SELECT member FROM sets WHERE key = 'click' INTERSECT SELECT member FROM sets WHERE key = 'purchase'
+INTERSECT SELECT member FROM sets WHERE key = 'view'""")
+ORACLE["set_except"] = _with(_SETS, select="""
+SELECT member FROM sets WHERE key = 'click' EXCEPT SELECT member FROM sets WHERE key IN ('purchase', 'view')""")
 
 # Scalars and text.
 

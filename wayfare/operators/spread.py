@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfare.session import ensure_checkpoint_dir
+from wayfare.session import materialized
 
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 10_000
@@ -89,8 +89,8 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
 
     ``order`` must identify a row within its key. Rows of heavy keys are range-partitioned by key
     and order instead of being sent to one task: a row's number is its place in its partition plus
-    the rows of the key in earlier partitions. The ranged rows are checkpointed, because a second
-    evaluation could cut the ranges elsewhere.
+    the rows of the key in earlier partitions. The ranged rows are written to the checkpoint
+    folder, because a second evaluation could cut the ranges elsewhere.
     """
     by_key = Window.partitionBy(*keys)
 
@@ -106,13 +106,12 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
     cold = plain(df.join(small, _same(keys), "left_anti"))
     heavy = df.join(small, _same(keys), "left_semi")
 
-    ensure_checkpoint_dir(df.sparkSession)
     ranges = max(2, -(-hot.rows // rows_per_task))
-    ranged = (heavy.repartitionByRange(ranges, *keys, *order)
-              .sortWithinPartitions(*keys, *order)
-              .withColumn("_place", F.monotonically_increasing_id())
-              .withColumn("_range", F.shiftright("_place", 33))
-              .checkpoint())
+    ranged = materialized(
+        heavy.repartitionByRange(ranges, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_range", F.shiftright("_place", 33)))
     # One row per heavy key and range: at most heavy keys + ranges rows, so it may be broadcast.
     parts = ranged.groupBy(*keys, "_range").agg(
         F.min("_place").alias("_first"), F.count("*").alias("_rows"))

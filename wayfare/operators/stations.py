@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.constants import HEX_EDGE_M, MIN_CELL_ORDERS
 from wayfare.functions import geo
 from wayfare.operators.spread import ROWS_PER_TASK, hot_keys_of_counts, join_unique
-from wayfare.session import ensure_checkpoint_dir
+from wayfare.session import materialized
 
 # A district table up to this many ring points is broadcast; a larger one is joined by tile.
 MAX_BROADCAST_POINTS = 20_000
@@ -39,11 +39,10 @@ def hot_cell_orders(gridded: DataFrame, min_orders: int = MIN_CELL_ORDERS,
                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Every order of a hot cell with the cell's count; a crowded cell is cut into pieces.
 
-    The counts serve twice, to find crowded cells and to join, so they are checkpointed rather than
-    aggregated from all orders again.
+    The counts serve twice, to find crowded cells and to join, so they are written to the
+    checkpoint folder rather than aggregated from all orders again.
     """
-    ensure_checkpoint_dir(gridded.sparkSession)
-    counts = hot_cells(gridded, min_orders).checkpoint()
+    counts = materialized(hot_cells(gridded, min_orders))
     crowded = hot_keys_of_counts(counts.withColumnRenamed("order_count", "_rows"), ["cell"], rows_per_task)
     return join_unique(gridded, counts, ["cell"], rows_per_task, crowded)
 

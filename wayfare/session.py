@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Shuffled bytes a task should get.
@@ -37,15 +38,23 @@ def build_session(app: str = "wayfare", master: str | None = None, shuffled_byte
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session without one gets a temporary one."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wayfare-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wayfare-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Rows written once to the checkpoint folder and read back.
+
+    Like a reliable checkpoint this survives lost executors and fixes what was computed, but the
+    rows are evaluated once, and readers prune columns and know the size.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

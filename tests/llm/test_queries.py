@@ -1,0 +1,22 @@
+"""The registered text queries against their SQL, where SQL can express them."""
+
+import pytest
+from cases import SF
+
+from check import canonical
+from wayfare.llm.queries import ORACLE, QUERIES
+
+
+def same_as_sql(spark, con, name):
+    frame = QUERIES[name](spark, SF)
+    result = con.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(frame.columns) == sorted(columns)
+    want = canonical(result.fetchall(), columns)
+    assert canonical([tuple(r) for r in frame.collect()], frame.columns) == want
+    assert want
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query(spark, con, name):
+    same_as_sql(spark, con, name)

@@ -14,6 +14,7 @@ null or repeated ``doc_id``; an empty table gives no pieces; other columns are n
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import Counter
@@ -32,34 +33,88 @@ from wayfare.llm.common import binary, stored, texts
 
 LIMIT = 4096
 CLOSING = 2
-# Texts tokenized at a time, and words remembered by a task.
-AT_ONCE, REMEMBERED = 256, 400_000
-# The tokenizer's own patterns never cross these characters, so words can be encoded one by one.
-WORD = re.compile(r"[^ \t\n\r]+")
+# Texts tokenized at a time, and words remembered by a worker.
+AT_ONCE, REMEMBERED = 256, 500_000
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizer.from_file(path)
+class WordIds:
+    """Ids of whole texts as little-endian unsigned 32-bit numbers, by way of their words.
 
+    The tokenizer's patterns never cross white space, so a text's ids are those of its words in turn;
+    words recur and are remembered. New words in plain Latin letters, digits and ASCII signs
+    are cut by the tokenizer's own pattern and go to its merges alone, many in one call, with a
+    line feed after each that tells them apart again. Any other word, and any word if the file is of
+    another kind, takes the tokenizer's whole way.
+    """
 
-class WordIds:
-    """Ids of whole texts as little-endian unsigned 32-bit numbers, by way of their words."""
+    # Lower-cased by one rule everywhere, and not touched by Unicode composition.
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\\n]+")
+    # White space to Python only; the tokenizer takes these for signs.
+    CONTROLS = re.compile("[\x1c-\x1f\x85]")
+    BLANK = re.compile(r"[^ \t\n\r]+")
+    # The pattern and normal form of the file that the short way reproduces.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    FORMS = ["NFC", "Replace", "Lowercase"]
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = tokenizer(path), {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.whole, self.known = Tokenizer.from_file(path), {}
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        self.special = tuple(token["content"] for token in parts["added_tokens"])
+        splits = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.short = (parts["model"].get("end_of_word_suffix") == "</w>"
+                      and [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])] == self.FORMS
+                      and splits[0].get("pattern", {}).get("Regex") == self.PATTERN and splits[-1].get("type") == "ByteLevel")
+        if self.short:
+            merges = json.dumps({**parts, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []})
+            self.merges = Tokenizer.from_str(merges)
+            # Byte-level alphabet: a byte that is no printable character stands as one above 255.
+            printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+            hidden = [b for b in range(256) if b not in printable]
+            self.letters = {b: 256 + n for n, b in enumerate(hidden) if b != 32}
+            self.feed = self.merges.token_to_id(chr(self.letters[10]) + "</w>")
+
+    def words(self, text: str) -> list[str]:
+        if any(token in text for token in self.special):
+            return [text]  # these strings have ids of their own, white space inside or not
+        if self.CONTROLS.search(text):
+            return self.BLANK.findall(text)
+        return text.split()
 
     def __call__(self, many: list[str]) -> list[bytes]:
-        words = [WORD.findall(text) for text in many]
-        new = list(set().union(*words).difference(self.known))
+        words = [self.words(text) for text in many]
+        new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(set().union(*words))
-        for word, out in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(out.ids, "<u4").tobytes()
+            self.known, new = {}, set().union(*words)
+        plain = [w for w in new if self.PLAIN.fullmatch(w) and not w.startswith(self.special)] if self.short else []
+        for ascii_only in (True, False):  # the latter's bytes must be translated
+            self.learn([w for w in plain if w.isascii() is ascii_only], ascii_only)
+        for word in new.difference(plain):
+            self.known[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
+    def learn(self, plain: list[str], ascii_only: bool) -> None:
+        for first in range(0, len(plain), 8192):
+            some = plain[first:first + 8192]
+            # Each word ends in a line feed, which no word has and which gets an id of its own.
+            line = self.CUT.sub(r"\g<0> ", "\n".join(some).lower() + "\n")
+            if not ascii_only:
+                line = line.encode().decode("latin-1").translate(self.letters)
+            line = line.replace(chr(self.letters[10]) if not ascii_only else "\n", f"{chr(self.letters[10])} ")
+            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(ids == self.feed)
+            raw, ends = ids.tobytes(), (4 * at).tolist()
+            starts = [0, *(4 * at[:-1] + 4).tolist()]
+            self.known.update(zip(some, (raw[i:j] for i, j in zip(starts, ends, strict=True)), strict=True))
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One per worker process, so that what it remembers serves later tasks too."""
+    return WordIds(path)
+
 
 def cuts(n: int, limit: int = LIMIT) -> list[int]:
     """Lengths of the pieces of ``n`` ids; ``limit`` is a power of two."""
@@ -76,7 +131,7 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, closing: int = CLOSING)
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, seen = WordIds(path), TaskContext.get().partitionId(), Counter()
+        encode, task, seen = word_ids(path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for first in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(first, AT_ONCE)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import byte_bpe, exact_dedup, langid, packing, token_counts
+from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, packing, token_counts, warc
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,12 +16,21 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.main_text(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
 
+def mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -39,19 +48,38 @@ def ecoc_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", langid.held_out())
 
 
+def warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    records = warc.read(warc.look_up(warc.write(pages), pages))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_page_differencing": page_differencing,
     "op2_pow2_packing": pow2_packing,
+    "op3_mtree_topk": mtree_topk,
     "op4_digest_index_dedup": digest_index_dedup,
     "op5_byte_bpe": byte_bpe_ids,
     "op8_ecoc_langid": ecoc_langid,
+    "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_mtree_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                   FROM embeddings WHERE len(embedding) > 0
+                   AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                     CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+              FROM v q, v c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                     vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= 10""",
     "op4_digest_index_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
@@ -59,4 +87,11 @@ ORACLE: dict[str, str] = {
         w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
                      count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w""",
+    "op9_warc_index": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+                   FROM pages WHERE page_id IS NOT NULL),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m""",
 }

@@ -31,7 +31,10 @@ from wayfare.llm.common import texts
 SPACE = "▁"
 RUN = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Runs up to this many characters are remembered, so many of them at a time.
-SHORT, REMEMBERED = 48, 200_000
+SHORT, REMEMBERED = 48, 400_000
+# Texts up to this length need no ring.
+FLAT = 1000
+LOWEST = float("-inf")
 
 
 class Vocabulary(dict):
@@ -50,17 +53,20 @@ class Vocabulary(dict):
 
     def viterbi(self, text: str) -> tuple[int, float]:
         """Number of tokens and score of the best path over ``text``."""
+        if len(text) <= FLAT and self.single.issuperset(text):
+            return self.covered(text)
         ring, n = self.ring, len(text)
         best, count = [0.0] * ring, [0] * ring
-        at = 0  # positions up to here are settled
-
-        def settle(end: int, matches: list[tuple[int, float]]) -> None:
+        matches = self.automaton.iter(text)
+        last, match = next(matches, (n, None))
+        for end in range(1, n + 1):
             top, tokens = None, 0
-            for length, score in matches:  # longest first: starts from left to right
-                start = (end - length) % ring
-                value = best[start] + score
+            while last == end - 1:  # longest first: starts from left to right
+                start = (end - match[0]) % ring
+                value = best[start] + match[1]
                 if top is None or value > top:
                     top, tokens = value, count[start] + 1
+                last, match = next(matches, (n, None))
             char = text[end - 1]
             if char not in self.single:
                 start = (end - 1) % ring
@@ -68,22 +74,19 @@ class Vocabulary(dict):
                 if top is None or value > top:
                     top, tokens = value, count[start] + len(char.encode())
             best[end % ring], count[end % ring] = top, tokens
-
-        found: list[tuple[int, float]] = []
-        for last, match in self.automaton.iter(text):
-            if last + 1 != at:
-                if at:
-                    settle(at, found)
-                for end in range(at + 1, last + 1):
-                    settle(end, [])
-                at, found = last + 1, []
-            found.append(match)
-        if at:
-            settle(at, found)
-        for end in range(at + 1, n + 1):
-            settle(end, [])
         return count[n % ring], best[n % ring]
 
+    def covered(self, text: str) -> tuple[int, float]:
+        """The same for a short text whose every character is a piece: no unknowns, no ring."""
+        best, count = [0.0] + [LOWEST] * len(text), [0] * (len(text) + 1)
+        for last, (length, score) in self.automaton.iter(text):
+            start = last + 1 - length
+            value = best[start] + score
+            if value > best[last + 1]:
+                best[last + 1] = value
+                count[last + 1] = count[start] + 1
+        return count[-1], best[-1]
+
     def __missing__(self, run: str) -> tuple[int, float]:
         result = self.viterbi(run)
         if len(run) <= SHORT:

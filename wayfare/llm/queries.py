@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, packing, token_counts, warc
+from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, token_counts, warc
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,10 @@ def byte_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def ecoc_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~langid.held_out()))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mtree_topk": mtree_topk,
     "op4_digest_index_dedup": digest_index_dedup,
     "op5_byte_bpe": byte_bpe_ids,
+    "op6_chosen_path_dedup": chosen_path_dedup,
     "op8_ecoc_langid": ecoc_langid,
     "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,

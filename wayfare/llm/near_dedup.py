@@ -188,6 +188,8 @@ class Join:
 
     def confirm(self, pairs: DataFrame) -> None:
         """Keep the pairs whose full sets reach the threshold, and merge the components they link."""
+        if pairs.isEmpty():
+            return
         self.fetch(pairs)
         # A pivot may have very many partners: its pairs are cut into slices and its set goes to each.
         load = pairs.groupBy("a").agg((F.sum("b_size") / SLICE_SHINGLES).cast("int").alias("last"))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, token_counts, warc
+import corpus_pipeline
+from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, suffix_dedup, token_counts, warc
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +47,11 @@ def chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def ecoc_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~langid.held_out()))
@@ -69,9 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_digest_index_dedup": digest_index_dedup,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_chosen_path_dedup": chosen_path_dedup,
+    "op7_suffix_array_dedup": suffix_array_dedup,
     "op8_ecoc_langid": ecoc_langid,
     "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

@@ -60,7 +60,7 @@ def planted(seed=1, n=120):
     return [(draw.randrange(n * 9 // 10), t) for t in rows]
 
 
-@pytest.mark.parametrize(("seed", "many"), [(1, 256), (2, 2)])
+@pytest.mark.parametrize(("seed", "many"), [(1, 4096), (2, 2)])
 def test_planted(spark, monkeypatch, seed, many):
     monkeypatch.setattr(suffix_dedup, "MANY", many)
     monkeypatch.setattr(suffix_dedup, "SLOT", (3000, 3000))

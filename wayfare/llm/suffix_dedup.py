@@ -42,7 +42,7 @@ WINDOW, GRAM = 50, 16
 # Bytes of a slot and text bytes per shard, as shares of the input within these bounds.
 SLOT, SHARD = (1 << 20, 1 << 26), (1 << 22, 1 << 28)
 # Blocks of a slot, or slots, above which a minimizer's windows go one by one.
-MANY = 256
+MANY = 4096
 # Text worked on at a time within a slot.
 STRETCH = 1 << 21
 _DRAW = np.random.default_rng(7)
@@ -314,9 +314,9 @@ class Dedup:
             size = np.fromiter(map(len, strings), np.int64, len(strings))
             begin = np.cumsum(size + 1) - size - 1
             n = int(size.sum() + len(size))
-            symbols = raw[:n].astype(np.int64) + 2
+            symbols = raw[:n].astype(np.uint16) + np.uint16(2)
             symbols[begin + size] = 1
-            sa = suffix_array(np.append(symbols, 0))[1:]
+            sa = suffix_array(np.append(symbols, np.uint16(0)))[1:]
             joined = reaches(raw, sa, WINDOW)
             windows = size - WINDOW + 1
             valid = np.zeros(n, bool)

@@ -17,11 +17,10 @@ SHORT = 32
 def _suffix_types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one; the last, the sentinel, counts as such."""
     n = len(s)
-    step = np.sign(s[1:] - s[:-1])
-    at = np.where(step != 0, np.arange(n - 1), n - 1)
+    at = np.where(s[1:] != s[:-1], np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
     at = np.minimum.accumulate(at[::-1])[::-1]
     out = np.ones(n, bool)
-    out[:-1] = step[at] > 0
+    out[:-1] = s[at] < s[at + 1]
     return out
 
 
@@ -46,7 +45,7 @@ def _induced(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarra
     ends = np.cumsum(sizes)
     starts = ends - sizes
     used = np.flatnonzero(sizes).tolist()
-    sa = np.full(len(s), -1, np.int64)
+    sa = np.full(len(s), -1, np.int32 if len(s) < 1 << 31 else np.int64)
     seeds = np.bincount(s[lms], minlength=len(sizes))
     _placed(sa, ends - seeds, s[lms], lms, down=False)
     heads = starts.copy()
@@ -81,7 +80,7 @@ def _induced(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarra
 def _names(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Ranks of the leftmost-smaller substrings in their sorted order; equal ones share a rank."""
     sorted_at = np.sort(lms)
-    length = np.zeros(len(s), np.int64)
+    length = np.zeros(len(s), np.int32)
     length[sorted_at[:-1]] = np.diff(sorted_at) + 1
     length[sorted_at[-1]] = 1
     a, b = lms[:-1], lms[1:]
@@ -99,7 +98,8 @@ def _names(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Positions of all suffixes in order. ``s`` ends in a 0 that occurs nowhere else."""
-    s = s.astype(np.int64, copy=False)
+    # Symbols of 16 bits are sorted by radix, and positions of 32 halve the memory.
+    s = s.astype(np.uint16 if len(s) == 0 or s.max() < 1 << 16 else np.int64, copy=False)
     if len(s) <= SHORT:
         plain = s.tolist()
         return np.array(sorted(range(len(plain)), key=lambda i: plain[i:]), np.int64)
@@ -112,7 +112,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     ordered = first[is_lms[first]]
     names = _names(s, ordered)
     if names[-1] + 1 < len(ordered):
-        by_place = np.zeros(len(s), np.int64)
+        by_place = np.zeros(len(s), np.int32)
         by_place[ordered] = names
         reduced = by_place[lms]
         kinds = int(names[-1]) + 1

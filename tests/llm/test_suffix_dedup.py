@@ -104,6 +104,19 @@ def test_wide_alphabets_recurse_in_digits():
     assert suffix_array(s).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_stops_keep_equal_starts_together():
+    draw = random.Random(5)
+    base = "".join(draw.choices("abcd", k=400))
+    strings = sorted({base[i:i + draw.randint(60, 90)] for i in (draw.randrange(300) for _ in range(60))})
+    raw = np.frombuffer("\0".join([*strings, ""]).encode(), np.uint8)
+    symbols = raw.astype(np.uint16) + np.uint16(2)
+    symbols[raw == 0] = 1
+    order = suffix_array(np.append(symbols, np.uint16(0)), stop=1)[1:]
+    text = raw.tobytes()
+    heads = [text[i:].split(b"\0")[0] for i in order]
+    assert sorted(order.tolist()) == list(range(len(text))) and heads == sorted(heads)
+
+
 def test_reaches():
     text = b"abcabcabcabc" * 9 + b"x" + b"abcabcabcab"
     sa = suffix_array(np.append(np.frombuffer(text, np.uint8).astype(int), 0))[1:]

@@ -40,7 +40,7 @@ from wayfare.llm.suffixes import reaches, suffix_array
 
 WINDOW, GRAM = 50, 16
 # Bytes of a slot and text bytes per shard, as shares of the input within these bounds.
-SLOT, SHARD = (1 << 20, 1 << 26), (1 << 22, 1 << 28)
+SLOT, SHARD = (1 << 20, 1 << 26), (1 << 23, 1 << 28)
 # Blocks of a slot, or slots, above which a minimizer's windows go one by one.
 MANY = 4096
 # Text worked on at a time within a slot.
@@ -316,7 +316,7 @@ class Dedup:
             n = int(size.sum() + len(size))
             symbols = raw[:n].astype(np.uint16) + np.uint16(2)
             symbols[begin + size] = 1
-            sa = suffix_array(np.append(symbols, np.uint16(0)))[1:]
+            sa = suffix_array(np.append(symbols, np.uint16(0)), stop=1)[1:]
             joined = reaches(raw, sa, WINDOW)
             windows = size - WINDOW + 1
             valid = np.zeros(n, bool)

@@ -77,14 +77,17 @@ def _induced(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarra
     return sa
 
 
-def _names(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """Ranks of the leftmost-smaller substrings in their sorted order; equal ones share a rank."""
+def _names(s: np.ndarray, lms: np.ndarray, stop: int | None) -> np.ndarray:
+    """Ranks of the leftmost-smaller substrings in their sorted order; equal ones without ``stop`` share a rank."""
     sorted_at = np.sort(lms)
     length = np.zeros(len(s), np.int32)
     length[sorted_at[:-1]] = np.diff(sorted_at) + 1
     length[sorted_at[-1]] = 1
     a, b = lms[:-1], lms[1:]
     same = length[a] == length[b]
+    if stop is not None:
+        stops = np.concatenate(([0], np.cumsum(s == stop, dtype=np.int32)))
+        same &= stops[b + length[b]] == stops[b]
     open_ = np.flatnonzero(same)
     offset = 0
     while len(open_):
@@ -96,8 +99,12 @@ def _names(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(~same)))
 
 
-def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in order. ``s`` ends in a 0 that occurs nowhere else."""
+def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
+    """Positions of all suffixes in order. ``s`` ends in a 0 that occurs nowhere else.
+
+    With a symbol ``stop``, suffixes that agree up to and including it may come in any order. Substrings that hold it are
+    then names of their own, so that joined strings end the recursion where they end.
+    """
     # Symbols of 16 bits are sorted by radix, and positions of 32 halve the memory.
     s = s.astype(np.uint16 if len(s) == 0 or s.max() < 1 << 16 else np.int64, copy=False)
     if len(s) <= SHORT:
@@ -110,7 +117,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(len(s), bool)
     is_lms[lms] = True
     ordered = first[is_lms[first]]
-    names = _names(s, ordered)
+    names = _names(s, ordered, stop)
     if names[-1] + 1 < len(ordered):
         by_place = np.zeros(len(s), np.int32)
         by_place[ordered] = names

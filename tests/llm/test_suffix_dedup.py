@@ -95,7 +95,7 @@ def test_suffix_arrays():
         assert suffix_array(s).tolist() == sorted(range(len(plain)), key=lambda i: plain[i:])
 
 
-def test_wide_alphabets_recurse_in_digits():
+def test_wide_alphabets():
     draw = np.random.default_rng(3)
     s = draw.integers(1, 9, 20_000)
     s[5000:12_000] = s[11_000:18_000]

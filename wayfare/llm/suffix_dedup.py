@@ -40,7 +40,7 @@ from wayfare.llm.suffixes import reaches, suffix_array
 
 WINDOW, GRAM = 50, 16
 # Bytes of a slot and text bytes per shard, as shares of the input within these bounds.
-SLOT, SHARD = (1 << 20, 1 << 26), (1 << 23, 1 << 28)
+SLOT, SHARD = (1 << 20, 1 << 26), (3 << 20, 1 << 28)
 # Blocks of a slot, or slots, above which a minimizer's windows go one by one.
 MANY = 4096
 # Text worked on at a time within a slot.
@@ -328,7 +328,7 @@ class Dedup:
             first = np.flatnonzero(~joined[sa])
             if len(first) and first[0]:
                 first = np.concatenate(([0], first))
-            smallest = np.zeros(n, np.int64)
+            smallest = owner  # the owners are read before they are replaced
             if len(sa):
                 smallest[sa] = np.repeat(np.minimum.reduceat(owner[sa], first), np.diff(np.append(first, len(sa))))
             out = []

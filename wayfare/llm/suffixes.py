@@ -1,6 +1,7 @@
 """Suffix arrays by induced sorting, in numpy, and common prefixes in text order.
 
-Induction goes bucket by bucket: all suffixes that a stretch of sorted ones induces are placed at once, by a
+Leftmost-smaller substrings are sorted by induction, named, and the string of names is sorted in the same way, or by
+doubling once it has very many symbols. Induction goes bucket by bucket: all suffixes that a stretch of sorted ones induces are placed at once, by a
 stable sort on their first symbols, so the steps number the symbols and the longest run rather than
 the suffixes.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-# Alphabets above this are written in two digits for the recursion.
+# A reduced string of more symbols than this is ranked by doubling: bucket steps would be as many.
 WIDE = 1024
 SHORT = 32
 
@@ -99,6 +100,21 @@ def _names(s: np.ndarray, lms: np.ndarray, stop: int | None) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(~same)))
 
 
+def _doubled(ranks: np.ndarray) -> np.ndarray:
+    """The suffix array of a string of many different symbols, by doubling the length that ranks stand for."""
+    ranks, n, length = ranks.astype(np.int64), len(ranks), 1
+    while True:
+        key = ranks * (n + 1)
+        key[:-length] += ranks[length:] + 1
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.concatenate(([False], key[1:] != key[:-1]))
+        ranks[order] = np.cumsum(new)
+        length *= 2
+        if ranks[order[-1]] == n - 1 or length >= n:
+            return order
+
+
 def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
     """Positions of all suffixes in order. ``s`` ends in a 0 that occurs nowhere else.
 
@@ -123,13 +139,7 @@ def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
         by_place[ordered] = names
         reduced = by_place[lms]
         kinds = int(names[-1]) + 1
-        if kinds > WIDE and 2 * len(reduced) < len(s):
-            base = int(np.ceil(np.sqrt(kinds)))
-            digits = np.column_stack((reduced // base, reduced % base)).ravel() + 1
-            order = suffix_array(np.append(digits, 0))
-            order = order[(order % 2 == 0) & (order < len(digits))] // 2
-        else:
-            order = suffix_array(reduced)
+        order = _doubled(reduced) if kinds > WIDE else suffix_array(reduced)
         ordered = lms[order]
     return _induced(s, small, ordered, sizes)
 

@@ -170,9 +170,8 @@ def write(pages: DataFrame) -> Archive:
         pack, "part int, block long, first_key string, n long, lines binary"), "capture-index"))
 
 
-def captured(block: bytes, key: str) -> list[tuple[str, int, int]]:
-    """File, offset and length of the captures under ``key`` in a block."""
-    lines = zlib.decompress(block).decode().split("\n")
+def captured(lines: list[str], key: str) -> list[tuple[str, int, int]]:
+    """File, offset and length of the captures under ``key`` in a block's lines."""
     found = []
     for line in lines[bisect.bisect_left(lines, f"{key}\t"):]:
         own, file, at, n = line.split("\t")
@@ -207,7 +206,7 @@ def look_up(archive: Archive, wanted: DataFrame) -> DataFrame:
         for key in sorted(left.column("key").to_pylist()):
             for i in range(max(0, bisect.bisect_left(first, key) - 1), bisect.bisect_right(first, key)):
                 if i not in opened:
-                    opened = {i: blocks.column("lines")[i].as_py()}
+                    opened = {i: zlib.decompress(blocks.column("lines")[i].as_py()).decode().split("\n")}
                 rows += captured(opened[i], key)
         file, at, length = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table({"file": pa.array(file, pa.string()), "at": pa.array(at, pa.int64()),
@@ -215,8 +214,8 @@ def look_up(archive: Archive, wanted: DataFrame) -> DataFrame:
 
     asked = wanted.where(F.col("page_id").isNotNull()).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).distinct()
-    return asked.mapInArrow(route, "part int, key string").groupBy("part").cogroup(
-        archive.blocks.groupBy("part")).applyInArrow(find, "file string, at long, length long")
+    return stored(asked.mapInArrow(route, "part int, key string").groupBy("part").cogroup(
+        archive.blocks.groupBy("part")).applyInArrow(find, "file string, at long, length long"), "places")
 
 
 def read(places: DataFrame) -> DataFrame:

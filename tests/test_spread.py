@@ -155,3 +155,11 @@ def test_crowded_cell_keeps_every_order(spark):
     assert sorted(map(tuple, plain.collect())) == sorted(
         map(tuple, stations.hot_cell_orders(gridded, rows_per_task=50).collect()))
     assert plain.count() >= 400
+
+
+def test_merged_cells_outlive_partial_writes(spark):
+    from wayfare.operators.spread import merged_per_key
+    rows = spark.createDataFrame([("k", "ann", "1", 1), ("k", None, "2", 2), ("j", None, "3", 1)],
+                                 "rowkey string, linkman string, state string, offset long")
+    assert sorted(tuple(r) for r in merged_per_key(rows, ["rowkey"], ["offset"]).collect()) == [
+        ("j", None, "3", 1), ("k", "ann", "2", 2)]

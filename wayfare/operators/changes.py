@@ -9,7 +9,7 @@ from wayfare.constants import (ALLIANCE_FIELDS, ALLIANCE_TABLE, DRIVER_FIELDS, D
                                ORDER_FIELDS, ORDER_TABLE, SALT_BUCKETS, UNKNOWN_ROUTE, USER_FIELDS,
                                USER_TABLE)
 from wayfare.functions import keys, times
-from wayfare.operators.spread import latest_per_key
+from wayfare.operators.spread import latest_per_key, merged_per_key
 from wayfare.schemas import ENTITY_DATA, strings
 
 # Entity -> its fields, whether missing values become empty text, and the time its key is built on.
@@ -78,8 +78,14 @@ def keyed_writes(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS)
 
 
 def latest_state(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
-    """The stored table: per row key the write with the highest offset."""
-    return latest_per_key(keyed_writes(messages, entity, buckets), ["rowkey"], ["offset"])
+    """The stored table: per row key the write with the highest offset, or cell by cell where cells may be absent."""
+    return current(keyed_writes(messages, entity, buckets), entity, ["offset"])
+
+
+def current(writes: DataFrame, entity: str, version: list[str]) -> DataFrame:
+    """Writes folded per row key. Entities whose absent fields are filled always write every cell."""
+    _, fill, _ = ENTITIES[entity]
+    return (latest_per_key if fill else merged_per_key)(writes, ["rowkey"], version)
 
 
 def entity_map(rows: DataFrame, entity: str) -> DataFrame:

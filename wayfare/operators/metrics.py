@@ -96,8 +96,11 @@ def slow_batches(batches: DataFrame, batch_seconds: int) -> DataFrame:
 
 def retained(snapshots: DataFrame, as_of: Column, ttl_seconds: int = MONITOR_TTL_S,
              at: str = "captured_at") -> DataFrame:
-    """Snapshots not yet expired. The bound is a constant, so it reaches the scan."""
+    """Snapshots not yet expired. The bound is a constant, so it reaches the scan, and stored day folders are pruned."""
     oldest = F.timestamp_add("SECOND", F.lit(-ttl_seconds), as_of)
+    if "captured_day" in snapshots.columns:
+        day = F.col("captured_day").cast("date")
+        snapshots = snapshots.where((day >= oldest.cast("date")) & (day <= as_of.cast("date")))
     return snapshots.where((F.col(at) > oldest) & (F.col(at) <= as_of))
 
 

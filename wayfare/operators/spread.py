@@ -134,3 +134,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -
     last = F.max_by(F.struct(*rest), F.struct(*version)).alias("_last")
     out = df.groupBy(*keys).agg(last)
     return out.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])
+
+
+def merged_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """Cell-level upsert: per key and column the last value that is not null; a write leaves the cells it lacks."""
+    at = F.struct(*version)
+    merged = df.groupBy(*keys).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c)
+                                     for c in df.columns if c not in keys])
+    return merged.select(*df.columns)

@@ -10,8 +10,8 @@ from wayfare.functions import geo
 from wayfare.operators.spread import ROWS_PER_TASK, hot_keys_of_counts, join_unique
 from wayfare.session import materialized
 
-# A district table up to this many ring points is broadcast; a larger one is joined by tile.
-MAX_BROADCAST_POINTS = 20_000
+# Powers of two in degrees that tiles come in; the last holds any coordinates on Earth.
+LEVELS = (-9, -6, -3, 0, 3, 6, 9)
 TILE_PIECES = 8
 
 
@@ -84,32 +84,23 @@ def _inside() -> Column:
             & geo.inside_ring(lng, lat, F.col("edges")))
 
 
-def label_districts(points: DataFrame, districts: DataFrame,
-                    max_broadcast_points: int = MAX_BROADCAST_POINTS) -> DataFrame:
+def label_districts(points: DataFrame, districts: DataFrame) -> DataFrame:
     """One row per point and district strictly containing it; points outside all are dropped.
 
-    A district table measured to be small is broadcast. A larger one is joined by tile: each
-    district takes the tile size of its own extent, so it covers at most four tiles, and a point is
-    looked up once per tile size in use. Rows of a tile are spread over pieces. Both ways test the
-    same exact predicate, so they return the same rows.
+    Points and districts meet by tile. A district takes the least of the ``LEVELS`` of tile size (powers of two
+    in degrees) that its extent fits in, so it covers at most four tiles, and a point is looked up once per
+    level. Rows of a tile are spread over pieces. Spark picks the join by the measured size of the district tiles.
     """
     located = (points.withColumn("_lng", F.col("starting_lng").try_cast("double"))
                .withColumn("_lat", F.col("starting_lat").try_cast("double")))
-    edges = district_edges(districts)
-    size = edges.agg(F.sum(F.size("edges"))).first()[0] or 0
-    if size <= max_broadcast_points:
-        matched = located.join(F.broadcast(edges), _inside())
-    else:
-        matched = _match_by_tile(located, edges)
-    return matched.select(*points.columns, F.col("name").alias("district_name"),
-                          F.col("position").alias("district_position"))
+    return _match_by_tile(located, district_edges(districts)).select(
+        *points.columns, F.col("name").alias("district_name"), F.col("position").alias("district_position"))
 
 
 def _match_by_tile(located: DataFrame, edges: DataFrame) -> DataFrame:
-    extent = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"), F.lit(1e-9))
-    levelled = edges.withColumn("_level", F.ceil(F.log2(extent)).cast("int"))
-    # Degrees span few powers of two, so the list of levels in use is short.
-    levels = [row[0] for row in levelled.select("_level").distinct().collect()]
+    extent = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
+    fits = F.array(*[F.when(extent <= 2.0 ** level, F.lit(level)) for level in LEVELS])
+    levelled = edges.withColumn("_level", F.coalesce(F.array_min(fits), F.lit(LEVELS[-1])))
 
     def tile(degrees: Column) -> Column:
         return F.floor(degrees / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
@@ -120,18 +111,17 @@ def _match_by_tile(located: DataFrame, edges: DataFrame) -> DataFrame:
              .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(TILE_PIECES - 1)))))
     spread = F.pmod(F.xxhash64("_lng", "_lat", "order_id"), F.lit(TILE_PIECES)).cast("int")
     looked_up = (located
-                 .withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels])))
+                 .withColumn("_level", F.explode(F.array(*[F.lit(v) for v in LEVELS])))
                  .withColumn("_x", tile(F.col("_lng"))).withColumn("_y", tile(F.col("_lat")))
                  .withColumn("_piece", spread))
     keys = ["_level", "_x", "_y", "_piece"]
     return looked_up.join(tiled, keys).where(_inside())
 
 
-def stations(orders: DataFrame, districts: DataFrame, min_orders: int = MIN_CELL_ORDERS,
-             max_broadcast_points: int = MAX_BROADCAST_POINTS) -> DataFrame:
+def stations(orders: DataFrame, districts: DataFrame, min_orders: int = MIN_CELL_ORDERS) -> DataFrame:
     """The station table, keyed by order: where two districts hold a station, the later listed wins."""
     chosen = cell_representatives(grid_cells(orders), min_orders)
-    labelled = label_districts(chosen, districts, max_broadcast_points)
+    labelled = label_districts(chosen, districts)
     columns = ("city_id", "starting_lng", "starting_lat", "district_name")
     last = F.max_by(F.struct(*columns), "district_position").alias("last")
     return (labelled.groupBy("order_id").agg(last)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.constants import ALLIANCE_TABLE, DRIVER_TABLE, GAUGES, ORDER_TABLE, USER_TABLE
 from wayfare.functions.times import to_epoch
-from wayfare.sources.tables import table, widened
+from wayfare.sources.tables import table
 
 
 def _text(c: Column) -> Column:
@@ -63,7 +63,7 @@ def _orders_raw(o: DataFrame) -> DataFrame:
 
 def order_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines of three cities as messages, with headers, short lines and odd trailing fields."""
-    o = _orders_raw(widened(table(spark, folder, "orders")))
+    o = _orders_raw(table(spark, folder, "orders"))
     key, day, time = F.col("offset"), F.col("departure_day"), F.col("departure_time")
     csv = F.concat_ws(",", "order_id", "starting_lng", "starting_lat")
     # Every 41st order carries a passenger count that is no number.
@@ -88,7 +88,7 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def gps_messages(spark: SparkSession, folder: str) -> DataFrame:
     """GPS points, end markers and noise, one message per row of ``events``."""
-    e = widened(table(spark, folder, "events"))
+    e = table(spark, folder, "events")
     ident, user = F.col("event_id"), F.col("user_id")
     order = F.concat(F.lit("o"), _text(user), F.lit("d"), F.substring(_text(F.col("ts")), 9, 2))
     point = F.concat_ws(
@@ -121,7 +121,7 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
     tbl = F.when(key % 4 == 0, F.lit(ORDER_TABLE + "_a")).otherwise(F.lit(ORDER_TABLE))
     op = (F.when(key % 5 == 0, F.lit("delete")).when(key % 5 == 1, F.lit("update"))
           .otherwise(F.lit("insert")))
-    return widened(table(spark, folder, "orders")).select(*_envelope(tbl, op, data, key))
+    return table(spark, folder, "orders").select(*_envelope(tbl, op, data, key))
 
 
 def user_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -240,7 +240,7 @@ def gauge_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         key = F.lit(f"app.{path}") if place != 3 else F.concat(
             F.lit(f"app.{path}"), F.when(ident % 10 == 0, F.lit(".absent")).otherwise(F.lit("")))
         pairs += [key, F.struct((ident + place).alias("value"))]
-    return widened(table(spark, folder, "events")).select(
+    return table(spark, folder, "events").select(
         ident.alias("snapshot"), F.to_json(F.struct(F.create_map(*pairs).alias("gauges"))).alias("value"))
 
 
@@ -280,7 +280,7 @@ def task_events(spark: SparkSession, folder: str) -> DataFrame:
         F.struct((F.col("l_partkey") * 2).alias("Bytes Written"),
                  (size * 2).alias("Records Written")).alias("Output Metrics"))
     event = F.when(line == 7, F.lit("SparkListenerTaskStart")).otherwise(F.lit("SparkListenerTaskEnd"))
-    return widened(table(spark, folder, "lineitem")).select(F.to_json(F.struct(
+    return table(spark, folder, "lineitem").select(F.to_json(F.struct(
         event.alias("Event"), (order % 100).alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),
         reason.alias("Task End Reason"), info.alias("Task Info"), metrics.alias("Task Metrics"),
     )).alias("value"))

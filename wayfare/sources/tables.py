@@ -8,23 +8,11 @@ from pyspark.sql import types as T
 
 from wayfare.schemas import GEOJSON, ORDER_STORE, TASK_EVENT
 
-# More pieces than this are never needed for an input small enough to be widened.
-MAX_WIDENED = 64
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def widened(rows: DataFrame) -> DataFrame:
-    """Rows for costly parsing: an input stored in fewer pieces than there are cores is spread.
-
-    A large input already comes in more pieces than cores and is returned as it is, without a shuffle.
-    """
-    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, MAX_WIDENED)
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
-
-
 def order_scan(orders: DataFrame) -> DataFrame:
     """The four columns the station job needs, all strings; the scan below reads no others."""
     return orders.select(*[orders[f.name].cast(f.dataType).alias(f.name) for f in ORDER_STORE])

@@ -102,7 +102,7 @@ def start_changes(messages: DataFrame, path: str, checkpoint: str,
 
 def current_entities(spark: SparkSession, path: str, entity: str) -> DataFrame:
     rows = stored(spark, f"{path}/{changes.STORED_TABLE[entity]}")
-    return latest_per_key(rows, ["rowkey"], ["batch_id", "offset"]).drop("batch_id")
+    return changes.current(rows, entity, ["batch_id", "offset"]).drop("batch_id")
 
 
 # GPS tracks.

@@ -108,20 +108,21 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, set_hash binary, minwise array<int>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, shingles array<long>, set_hash``."""
+def full_sets(wanted: DataFrame) -> DataFrame:
+    """``id, shingles array<long>`` of the rows of ``wanted`` (``doc_id, text, set_hash``) whose text has that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                sets = [shingles(text.as_py(), hashes) for text in part.column(1)]
+                rows = [(doc, shingles(text.as_py(), hashes), own.as_py()) for doc, text, own in zip(*part.columns, strict=True)]
+                rows = [(doc.as_py(), found) for doc, found, own in rows if xxhash.xxh3_128_digest(found.tobytes()) == own]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), vectors([s.view(np.int64) for s in sets], pa.int64()),
-                     binary(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)], ["doc_id", "shingles", "set_hash"])
+                    [pa.array([r[0] for r in rows], pa.int64()), vectors([r[1].view(np.int64) for r in rows], pa.int64())],
+                    ["id", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>, set_hash binary")
+    return wanted.mapInArrow(run, "id long, shingles array<long>")
 
 
 def children(node: Column, values: Column, first: bool) -> Column:
@@ -179,11 +180,9 @@ class Join:
         need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         if self.shingles is not None:
             need = need.join(self.shingles.select("id"), "id", "left_anti")
-        need = stored(need.join(self.sets.select("id", "set_hash"), "id"), "needed")
-        chosen = texts(self.docs).join(need.select(F.col("id").alias("doc_id")), "doc_id")
-        found = full_sets(chosen.select("doc_id", "text")).join(
-            need.select(F.col("id").alias("doc_id"), "set_hash"), ["doc_id", "set_hash"]).dropDuplicates(["doc_id"])
-        found = stored(found.select(F.col("doc_id").alias("id"), "shingles"), "full-sets")
+        need = need.join(self.sets.select("id", "set_hash"), "id")
+        chosen = texts(self.docs).join(need.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "set_hash")
+        found = stored(full_sets(chosen).dropDuplicates(["id"]), "full-sets")
         self.shingles = found if self.shingles is None else self.shingles.unionByName(found)
 
     def confirm(self, pairs: DataFrame) -> None:
@@ -203,6 +202,8 @@ class Join:
         links = stored(both.withColumn("common", common).where(
             100 * F.col("common") >= self.percent * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b"), "links")
         self.compared = self.compared.unionByName(pairs.select("a", "b"))
+        if links.isEmpty():
+            return
         self.links = links if self.links is None else stored(self.links.unionByName(links), "links")
         found = components(self.links)
         self.label = stored(self.sets.select("id").join(found, "id", "left").select(

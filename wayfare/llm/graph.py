@@ -22,10 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     label = None
     while not left.isEmpty():
         both = left.select("a", "b").unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")), "parents")
-        # Chains of parents only descend; two steps at once halve them.
+        parent = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p"))
+        # Chains of parents only descend; two steps at once halve them. Both sides read one shuffle.
         up = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-        parent = stored(parent.join(up, "p").select("a", F.col("pp").alias("p")), "grandparents")
+        parent = stored(parent.join(up, "p").select("a", F.col("pp").alias("p")), "parents")
         if label is None:
             label = parent.select(F.col("a").alias("id"), F.col("p").alias("component"))
         else:

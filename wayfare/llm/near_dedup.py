@@ -11,8 +11,8 @@ Nodes of at most ``SMALL`` sets compare all their pairs. Larger nodes are never
 are compared with two pivots, the sets of the least and the greatest component, and the
 components found so far decide what is left. A node of one component is done; the others branch on. What still
 stays together at ``DEPTH`` is compared exhaustively, in slices. Compared pairs must first agree in enough minwise
-values to be able to reach the threshold (six standard deviations below it), and are then
-confirmed on their full sets.
+values, by a sketch of one byte each, to be able to reach the threshold (six standard deviations below it),
+and are then confirmed on their full sets.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer
 words is one shingle; rows with a null ``doc_id`` take no part; rows repeated under one id are one document
@@ -22,7 +22,6 @@ other than ``doc_id`` and ``text`` are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,21 +36,19 @@ from wayfare.llm.graph import components
 WORDS = 5
 POSITIONS = 64
 TREES, BRANCHES = 6, 2
-SMALL, DEPTH = 8, 8
+SMALL, DEPTH = 96, 8
 # Bytes of sets that one group of compared pairs may bring together.
 SLICE_SHINGLES = 500_000
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-UPPER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 KNOWN = 300_000
 _DRAW = np.random.default_rng(6)
 _ODD = _DRAW.integers(0, 1 << 63, WORDS, np.uint64) << np.uint64(1) | np.uint64(1)
 _MIX = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
-_TIMES = _DRAW.integers(0, 1 << 63, POSITIONS, np.uint64) << np.uint64(1) | np.uint64(1)
-_PLUS = _DRAW.integers(0, 1 << 63, POSITIONS, np.uint64)
+_TIMES = _DRAW.integers(0, 1 << 31, POSITIONS, np.uint32) << np.uint32(1) | np.uint32(1)
+_PLUS = _DRAW.integers(0, 1 << 32, POSITIONS, np.uint32)
 
 
 class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > KNOWN:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -64,48 +61,70 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles."""
-    words = WORD.findall((text or "").translate(UPPER))
+def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles of a text in UTF-8.
+
+    On bytes, ``lower`` touches A-Z alone and ``split`` knows just the six blanks of the word rule.
+    """
+    words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    own = np.array([hashes[w] for w in words], np.uint64)
-    if len(own) < WORDS:
-        # Shorter sequences are told apart from shingles, and by their length.
-        return mixed(np.array([sum(int(h) * int(o) for h, o in zip(own, _ODD, strict=False)) % 2**64 + len(own)], np.uint64))
-    n = len(own) - WORDS + 1
-    total = np.zeros(n, np.uint64)
-    for i, odd in enumerate(_ODD):
-        total += mixed(own[i:i + n] + np.uint64(i)) * odd
-    return np.unique(mixed(total))
+    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    # Shorter sequences are told apart from shingles, and by their length.
+    n, width, short = max(1, len(own) - WORDS + 1), min(WORDS, len(own)), len(own) % WORDS if len(own) < WORDS else 0
+    total = np.full(n, short, np.uint64)
+    for i in range(width):
+        total += own[i:i + n] * _ODD[i]
+    found = mixed(total)
+    found.sort()
+    return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
 def minwise(found: np.ndarray) -> np.ndarray:
     """``POSITIONS`` minwise values of a set, as signed 32-bit numbers."""
     out = np.full(POSITIONS, np.iinfo(np.uint32).max, np.uint32)
-    for start in range(0, len(found), 4096):
-        part = found[start:start + 4096, None] * _TIMES + _PLUS
-        np.minimum(out, (part >> np.uint64(32)).astype(np.uint32).min(0), out=out)
+    short = (found >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(short), 1024):
+        part = short[start:start + 1024, None] * _TIMES
+        part += _PLUS
+        np.minimum(out, part.min(0), out=out)
     return out.view(np.int32)
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """The low byte of each minwise value, eight in a long."""
+    return values.astype(np.uint8).view(np.int64)
+
+
+def agreeing(a: str, b: str) -> Column:
+    """In how many bytes two sketches agree: each byte that differs is folded into its lowest bit, and these are counted."""
+    differing = F.lit(0)
+    for i in range(POSITIONS // 8):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
+        differing = differing + F.bit_count(x)
+    return F.lit(POSITIONS) - differing
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_hash binary, minwise array<int>`` of every document with an id."""
+    """``doc_id, n_shingles, set_hash binary, minwise array<int>, sketch array<long>`` of every document with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
-                sets = [shingles(text.as_py(), hashes) for text in part.column(1)]
+                sets = [shingles(text, hashes) for text in part.column(1).cast(pa.binary()).to_pylist()]
+                values = [minwise(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      binary(xxhash.xxh3_128_digest(s.tobytes()) for s in sets),
-                     vectors([minwise(s) for s in sets], pa.int32())],
-                    ["doc_id", "n_shingles", "set_hash", "minwise"])
+                     vectors(values, pa.int32()), vectors([sketch(v) for v in values], pa.int64())],
+                    ["doc_id", "n_shingles", "set_hash", "minwise", "sketch"])
 
     return texts(docs).where(F.col("doc_id").isNotNull()).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, minwise array<int>")
+        run, "doc_id long, n_shingles long, set_hash binary, minwise array<int>, sketch array<long>")
 
 
 def full_sets(wanted: DataFrame) -> DataFrame:
@@ -116,8 +135,9 @@ def full_sets(wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                rows = [(doc, shingles(text.as_py(), hashes), own.as_py()) for doc, text, own in zip(*part.columns, strict=True)]
-                rows = [(doc.as_py(), found) for doc, found, own in rows if xxhash.xxh3_128_digest(found.tobytes()) == own]
+                rows = [(doc.as_py(), shingles(text, hashes), own.as_py()) for doc, text, own in zip(
+                    part.column(0), part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True)]
+                rows = [(doc, found) for doc, found, own in rows if xxhash.xxh3_128_digest(found.tobytes()) == own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), vectors([r[1].view(np.int64) for r in rows], pa.int64())],
                     ["id", "shingles"])
@@ -143,14 +163,14 @@ class Join:
         self.docs, self.percent = docs, percent
         rows = stored(signatures(docs), "signatures")
         # One row per id: a repeated id keeps one of its sets.
-        one = rows.groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "set_hash", "minwise"), "set_hash").alias("s"),
+        one = rows.groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "set_hash", "minwise", "sketch"), "set_hash").alias("s"),
                                          F.count("*").alias("n"))
         if not one.where("n > 1").isEmpty():
             rows = stored(one.select("doc_id", "s.*"), "signatures-by-id")
         self.members = rows
         self.sets = stored(rows.where("n_shingles > 0").groupBy("set_hash").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("minwise").alias("minwise")), "sets")
-        self.links: DataFrame | None = None
+            F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("minwise").alias("minwise"),
+            F.first("sketch").alias("sketch")), "sets")
         self.label = self.sets.select("id", F.col("id").alias("component"))
         self.compared = self.sets.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
         self.shingles: DataFrame | None = None
@@ -159,9 +179,8 @@ class Join:
         """Whether the minwise values and sizes of ``a`` and ``b`` leave the threshold in reach."""
         s = self.percent / 100
         least = max(1, int(POSITIONS * s - 6 * (POSITIONS * s * (1 - s)) ** 0.5))
-        same = F.aggregate(F.zip_with(f"{a}_minwise", f"{b}_minwise", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
         low, high = F.least(f"{a}_size", f"{b}_size"), F.greatest(f"{a}_size", f"{b}_size")
-        return (100 * low >= self.percent * high) & (same >= least)
+        return (100 * low >= self.percent * high) & (agreeing(f"{a}_sketch", f"{b}_sketch") >= least)
 
     def screened(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs ``a < b`` not compared before whose minwise values agree enough, with their sizes."""
@@ -170,7 +189,7 @@ class Join:
 
         def side(name: str) -> DataFrame:
             return self.sets.select(F.col("id").alias(name), F.col("size").alias(f"{name}_size"),
-                                    F.col("minwise").alias(f"{name}_minwise"))
+                                    F.col("sketch").alias(f"{name}_sketch"))
 
         return stored(new.join(side("a"), "a").join(side("b"), "b").where(self.could_reach("a", "b")).select(
             "a", "b", "a_size", "b_size"), "candidates")
@@ -180,6 +199,8 @@ class Join:
         need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         if self.shingles is not None:
             need = need.join(self.shingles.select("id"), "id", "left_anti")
+            if need.isEmpty():
+                return
         need = need.join(self.sets.select("id", "set_hash"), "id")
         chosen = texts(self.docs).join(need.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "set_hash")
         found = stored(full_sets(chosen).dropDuplicates(["id"]), "full-sets")
@@ -204,24 +225,24 @@ class Join:
         self.compared = self.compared.unionByName(pairs.select("a", "b"))
         if links.isEmpty():
             return
-        self.links = links if self.links is None else stored(self.links.unionByName(links), "links")
-        found = components(self.links)
-        self.label = stored(self.sets.select("id").join(found, "id", "left").select(
-            "id", F.coalesce("component", "id").alias("component")), "labels")
+        # The components joined by the new links are the vertices, so that older links need not be gone over again.
+        ends = [self.label.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
+        found = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        self.label = stored(self.label.join(found.select(F.col("id").alias("component"), F.col("component").alias("to")), "component",
+                                            "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
 
     def run(self) -> None:
         root = F.lit(0).cast("long")
         level = self.sets.select("id", children(root, F.col("minwise"), True).alias("node"))
         level = stored(level, "level")
         for depth in range(1, DEPTH + 1):
-            counts = stored(level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1"), "nodes")
             if depth == 1:
                 # Everything is its own component yet: the first set of each node is its pivot.
-                pairs = level.join(counts, "node").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-                self.confirm(self.screened(pairs))
-            labelled = level.join(counts.select("node", "n"), "node").join(self.label, "id")
-            mixed_ = stored(labelled.groupBy("node", "n").agg(
-                F.min("component").alias("low"), F.max("component").alias("high"),
+                firsts = level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1")
+                self.confirm(self.screened(level.join(firsts, "node").select("a", F.col("id").alias("b"))))
+            labelled = level.join(self.label, "id")
+            mixed_ = stored(labelled.groupBy("node").agg(
+                F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
                 F.min_by("id", "component").alias("low_id"), F.max_by("id", "component").alias("high_id")).where("low < high"), "mixed-nodes")
             if mixed_.isEmpty():
                 return

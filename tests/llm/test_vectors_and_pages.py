@@ -103,6 +103,50 @@ def test_template_goes_and_content_stays(spark):
     assert html_text.main_text(pair.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    out = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == len(rows)
+    return {r.page_id: r.text for r in out}
+
+
+def test_copies_keep_their_text(spark):
+    def page(*body):
+        return "<body><div>Site name</div>" + "".join(f"<p>{b}</p>" for b in body) + "<p>All about us</p></body>"
+
+    story = [f"A line of the story, number {i}." for i in range(20)]
+    rows = [(i, f"http://h.org/a/{i:02}", page(*story)) for i in range(9)]  # equal, then nearly equal
+    rows += [(i, f"http://h.org/a/{i:02}", page(*story, f"Seen {i} times")) for i in range(10, 19)]
+    rows += [(30, "http://h.org/b", page("Other words")), (31, "http://h.org/b", page("Other words"))]
+    rows += [(40, "http://i.org/1", page(*story)), (41, "http://i.org/1", page(*story))]  # a host of copies alone
+    got = texts_of(spark, rows)
+    whole = "\n\n".join(story)
+    assert all(got[i] == whole for i in range(9)) and all(got[i] == f"{whole}\n\nSeen {i} times" for i in range(10, 19))
+    assert got[30] == got[31] == "Other words"
+    assert got[40] == got[41] == f"Site name\n\n{whole}\n\nAll about us"
+
+
+def test_mates_beyond_the_next_run(spark):
+    # The page after c is an excerpt of c, and so is the one before: the mates are one run further.
+    a, d = "<p>Site</p><p>first words</p><p>x</p>", "<p>Site</p><p>last words</p><p>y</p>"
+    long = [f"<p>{w} in the middle of it all</p>" for w in ("one", "two", "three", "four")]
+    rows = [(1, "http://h.org/a", a), (2, "http://h.org/b", "<p>Site</p>" + "".join(long[:2])),
+            (3, "http://h.org/c", "<p>Site</p>" + "".join(long)), (4, "http://h.org/d", "<p>Site</p>" + "".join(long[2:])),
+            (5, "http://h.org/e", d)]
+    got = texts_of(spark, rows)
+    assert all("Site" not in text for text in got.values())
+    assert got[3].count("middle") == 4 and got[2].count("middle") == got[4].count("middle") == 2
+
+
+def test_lines_are_deleted_by_place(spark):
+    rows = [(1, "http://h.org/a", "<p>Home</p><p>One story</p><p>More</p><p>Its end</p>"),
+            (2, "http://h.org/b", "<p>More</p><p>Home</p><p>Other things</p><p>to tell</p>")]
+    got = texts_of(spark, rows)
+    # Only one of the two crossing lines is on the common subsequence.
+    assert sum(w in got[1].split("\n\n") for w in ("Home", "More")) == 1
+    twice = [(1, "http://h.org/a", "<p>Home</p><p>One story</p><p>Home</p>"), (2, "http://h.org/b", "<p>Home</p><p>Other things</p>")]
+    assert texts_of(spark, twice)[1].split("\n\n").count("Home") == 1
+
+
 def test_archive(spark, tmp_path):
     long = "é" * 600
     rows = [(1, "http://www.a.org/x?y=1#z", long), (2, "http://a.org:80/", long), (9, "https://b.a.org", long), (3, None, None),

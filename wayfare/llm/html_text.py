@@ -2,18 +2,20 @@
 
 A page is read into text lines, one per block. Elements whose kind or name says that they are no
 article text (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts) give
-none. Pages are then ordered by host and URL path, and each is paired with that neighbour of its host
-whose path has the longer prefix in common. The lines of the two pages are aligned by longest common
-subsequence, and lines they share are deleted as the site's template. Two things differ from bare
-deletion, because pages may be copies: lines inside an ``article`` or ``main`` element are what the
+none. Pages of a host with equal lines count as one. Pages are then ordered by host and URL path, and each
+is paired with the nearest one before or after it that differs materially, by the longer prefix of the
+paths. For that, neighbours that do not differ materially form runs, of which only the ends are met:
+copies, nearly equal captures and excerpts take no text from each other. The lines of the two pages are
+aligned by longest common subsequence, and the lines on it are deleted, by their place, as the site's
+template. Two things differ from bare deletion: lines inside an ``article`` or ``main`` element are what the
 page declares as its own, so these stay when shared; and where a page has such an element, lines
 outside it are no part of the article.
 
-Only hashes of the lines outside articles travel to the neighbour. Places in URL order come from
+Only hashes and sizes of lines travel to the neighbour. Places in URL order come from
 ranges of all pages, so a host with a third of the pages is spread like any other.
 
-Defined cases: null or empty html has no text; a page whose URL is null or the only one of its host is
-not paired; equal URLs are ordered by page id; every row with an id gives a row, rows of one
+Defined cases: null or empty html has no text; a page whose URL is null, or whose host has no page that
+differs materially, is not paired and keeps all lines; equal URLs are ordered by page id; every row with an id gives a row, rows of one
 ``page_id`` that repeat give as many; rows without ``page_id`` give their text unpaired; an empty
 table gives an empty result; other columns are not looked at.
 """
@@ -29,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfare.llm.common import stored
 from wayfare.llm.numbering import numbered
@@ -50,6 +53,8 @@ MARKS = re.compile(
     r"newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|"
     r"widget|toolbar|pagination|pager|skip|hidden)(?:$|[\s_-])", re.IGNORECASE)
 WHITE = re.compile(r"\s+")
+# Pages differ materially if each has at least this share of its characters in lines that the other lacks.
+OWN_SHARE = 0.15
 
 
 class Lines(HTMLParser):
@@ -166,6 +171,14 @@ def _hashes(page: list[tuple[str, bool]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(line) - (1 << 63) for line, own in page if not own]
 
 
+def compared(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Which lines of ``a`` are on the longest common subsequence, and whether the pages differ materially."""
+    in_a, in_b = np.isin(a, b), np.isin(b, a)
+    both = np.zeros(len(a), bool)
+    both[in_a] = shared(a[in_a], b[in_b])
+    return both, bool(a_sizes[~in_a].sum() >= OWN_SHARE * a_sizes.sum() and b_sizes[~in_b].sum() >= OWN_SHARE * b_sizes.sum())
+
+
 def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
@@ -183,59 +196,113 @@ def _prefix(a: list[str], b: list[str]) -> int:
     return n
 
 
-def template_lines(pages: DataFrame) -> DataFrame:
-    """``page_id, deleted array<long>``: hashes of the lines that a page shares with its nearest page."""
+def page_lines(pages: DataFrame) -> DataFrame:
+    """Every row's lines, with their hashes and sizes; ``digest`` of host and lines where the row can be paired."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_hashes(lines(html.as_py())) for html in batch.column(3)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(found, pa.list_(pa.int64()))], ["page_id", "host", "path", "hashes"])
-
-    keyed = pages.where(F.col("page_id").isNotNull() & F.col("url").isNotNull()).select(
-        F.col("page_id").cast("long").alias("page_id"), _host(F.col("url")).alias("host"),
-        _path(F.col("url")).alias("path"), "html")
-    found = stored(keyed.mapInArrow(read, "page_id long, host string, path string, hashes array<long>"), "page-lines")
-    order = ("host", "path", "page_id")
-    placed = stored(numbered(found, [F.col(c) for c in order], "place"), "placed-pages")
-    mate = placed.select("host", F.col("path").alias("other_path"), F.col("hashes").alias("other"),
-                         F.explode(F.array(F.col("place") - 1, F.col("place") + 1)).alias("place"))
+            rows = []
+            for row in batch.to_pylist():
+                page = lines(row.pop("html"))
+                row["lines"] = [line for line, _ in page]
+                if row["page_id"] is not None and row["url"] is not None and (hashes := _hashes(page)):
+                    row |= {"hashes": hashes, "sizes": [len(line) for line in row["lines"]], "digest": xxhash.xxh3_128_digest(
+                        row["host"].encode() + b"\0" + np.array(hashes, np.int64).tobytes())}
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(rows, kinds)
+
+    kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()),
+                       ("digest", pa.binary()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+                       ("lines", pa.list_(pa.string()))])
+    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                         _host(F.col("url")).alias("host"), _path(F.col("url")).alias("path"), "html")
+    return stored(keyed.mapInArrow(read, "page_id long, url string, host string, path string, digest binary, "
+                                         "hashes array<long>, sizes array<int>, lines array<string>"), "page-lines")
+
+
+def runs(placed: DataFrame) -> DataFrame:
+    """``placed`` with the number of its run: a run ends where the next page of the host differs materially."""
+
+    def ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [row["other"] is None or compared(*_arrays(row))[1] for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(int, ends), pa.int32())], ["place", "ends"])
+
+    follower = placed.select((F.col("place") - 1).alias("place"), "host", F.col("hashes").alias("other"),
+                             F.col("sizes").alias("other_sizes"))
+    ends = stored(placed.join(follower, ["place", "host"], "left").select("place", "hashes", "sizes", "other", "other_sizes")
+                  .mapInArrow(ending, "place long, ends int"), "run-ends").withColumn("block", F.shiftright("place", 12))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    # A row per 4096 pages.
+    bases = ends.groupBy("block").agg(F.sum("ends").alias("n")).select(
+        "block", F.coalesce(F.sum("n").over(before.orderBy("block")), F.lit(0)).alias("base"))
+    within = F.coalesce(F.sum("ends").over(before.partitionBy("block").orderBy("place")), F.lit(0))
+    numbers = ends.withColumn("within", within).join(F.broadcast(bases), "block").select(
+        "place", (F.col("base") + F.col("within")).alias("run"))
+    return stored(placed.join(numbers, "place"), "page-runs")
+
+
+def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return (np.array(row["hashes"], np.int64), np.array(row["sizes"], np.int64),
+            np.array(row["other"], np.int64), np.array(row["other_sizes"], np.int64))
+
+
+def template_lines(found: DataFrame) -> DataFrame:
+    """``digest, deleted array<int>``: places of the lines that pages share with the nearest page of other content."""
+    one = found.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min(F.struct("host", "path", "page_id", "hashes", "sizes")).alias("first")).select("digest", "first.*")
+    placed = stored(numbered(one, [F.col(c) for c in ("host", "path", "page_id")], "place"), "placed-pages")
+    pages = runs(placed)
+    edge = F.struct("place", "host", "path", "hashes", "sizes")
+    # Looking back, a run is met at its last page, looking ahead at its first.
+    met = pages.groupBy("run").agg(F.max(edge).alias("back"), F.min(edge).alias("ahead")).select(
+        "run", F.explode(F.create_map(F.lit(-1), F.col("back"), F.lit(1), F.col("ahead"))).alias("side", "at")).select(
+            "run", "side", "at.host", F.col("at.path").alias("other_path"), F.col("at.hashes").alias("other"),
+            F.col("at.sizes").alias("other_sizes"))
+    met = stored(met, "run-edges")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                # Of two equally near neighbours the later one: it is first in the list only if nearer.
-                best = max(row["mates"], key=lambda m: (_prefix(row["path"], m["other_path"]), m["other_path"]))
-                own = np.array(row["hashes"], np.int64)
-                both = shared(own, np.array(best["other"], np.int64))
-                if both.any():
-                    rows.append({"page_id": row["page_id"], "deleted": sorted(set(own[both].tolist()))})
+                both, differs = compared(*_arrays(row))
+                rows.append({"place": row["place"], "side": row["side"], "steps": row["steps"], "differs": differs,
+                             "prefix": _prefix(row["path"], row["other_path"]), "other_path": row["other_path"],
+                             "deleted": np.flatnonzero(both).tolist()})
             yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    kinds = pa.schema([("page_id", pa.int64()), ("deleted", pa.list_(pa.int64()))])
-    # At most two neighbours a place, and most pages with an article have no line outside it.
-    pairs = placed.where(F.size("hashes") > 0).join(mate, ["place", "host"]).groupBy(
-        "place", "page_id", "path", "hashes").agg(F.collect_list(F.struct("other_path", "other")).alias("mates"))
-    return stored(pairs.select("page_id", "path", "hashes", "mates").mapInArrow(
-        align, "page_id long, deleted array<long>"), "template-lines")
+    kinds = pa.schema([("place", pa.int64()), ("side", pa.int32()), ("steps", pa.int64()), ("differs", pa.bool_()),
+                       ("prefix", pa.int32()), ("other_path", pa.string()), ("deleted", pa.list_(pa.int32()))])
+    todo = pages.select("*", F.explode(F.array(F.lit(-1), F.lit(1))).alias("side"))
+    mates, steps = None, 1
+    while True:
+        # The next run nearly always differs. Where it does not, twice as many runs as before are looked at.
+        asked = todo.select("*", F.explode(F.sequence(F.lit(steps).cast("long"), F.lit(2 * steps - 1).cast("long"))).alias("steps"))
+        pairs = asked.withColumn("run", F.col("run") + F.col("side") * F.col("steps")).join(met, ["run", "side", "host"])
+        seen = stored(pairs.select("place", "side", "steps", "path", "hashes", "sizes", "other_path", "other", "other_sizes").mapInArrow(
+            align, "place long, side int, steps long, differs boolean, prefix int, other_path string, deleted array<int>")
+            .groupBy("place", "side").agg(F.count("*").alias("n"), F.min(F.when(F.col("differs"), F.struct(
+                "steps", "prefix", "other_path", "deleted"))).alias("mate")), "page-mates")
+        new = seen.where(F.col("mate").isNotNull()).select("place", "mate.*")
+        mates = new if mates is None else mates.unionByName(new)
+        # Fewer rows than runs asked for: the host has no more.
+        open_ = seen.where(F.col("mate").isNull() & (F.col("n") == steps)).select("place", "side")
+        if open_.isEmpty():
+            break
+        todo, steps = pages.join(open_, "place"), 2 * steps
+    # Of two equally near pages the later one.
+    best = mates.groupBy("place").agg(F.max_by("deleted", F.struct("prefix", -F.col("steps"), "other_path")).alias("deleted"))
+    return stored(placed.select("place", "digest").join(best.where(F.size("deleted") > 0), "place").select(
+        "digest", "deleted"), "template-lines")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of every page."""
-    template = template_lines(pages).groupBy("page_id").agg(F.flatten(F.collect_set("deleted")).alias("deleted"))
-    joined = pages.select("page_id", "url", "html").join(
-        template.withColumnRenamed("page_id", "__page"), F.col("page_id") == F.col("__page"), "left").select(
-            F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", "deleted")
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for html, gone in zip(batch.column(2), batch.column(3), strict=True):
-                page, gone = lines(html.as_py()), set(gone.as_py() or ())
-                if gone:
-                    page = [(line, own) for line, own in page if own or _hashes([(line, own)])[0] not in gone]
-                out.append("\n\n".join(line for line, _ in page))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())], ["page_id", "url", "text"])
-
-    return joined.mapInArrow(write, "page_id long, url string, text string")
+    found = page_lines(pages)
+    # One row of template lines per content; a large group of copies is on the other side, which adaptive execution splits.
+    paired = found.where(F.col("digest").isNotNull()).join(template_lines(found), "digest", "left").withColumn(
+        "lines", F.when(F.col("deleted").isNull(), F.col("lines")).otherwise(
+            F.filter("lines", lambda _, at: ~F.array_contains("deleted", at))))
+    return paired.select("page_id", "url", "lines").unionByName(
+        found.where(F.col("digest").isNull()).select("page_id", "url", "lines")).select(
+            "page_id", "url", F.array_join("lines", "\n\n").alias("text"))

@@ -125,6 +125,16 @@ def test_copies_keep_their_text(spark):
     assert got[40] == got[41] == f"Site name\n\n{whole}\n\nAll about us"
 
 
+def test_template_inside_articles_goes(spark):
+    def page(*body):
+        return "<body><nav>menu</nav><article><p>By our staff</p>" + "".join(f"<p>{b}</p>" for b in body) + "<p>Tell a friend</p></article>"
+
+    story = [f"A line of the story, number {i}." for i in range(20)]
+    got = texts_of(spark, [(1, "http://h.org/1", page("first words")), (2, "http://h.org/2", page(*story)),
+                           (3, "http://h.org/3", page(*story)), (4, "http://i.org/1", page("alone"))])
+    assert got == {1: "first words", 2: "\n\n".join(story), 3: "\n\n".join(story), 4: "By our staff\n\nalone\n\nTell a friend"}
+
+
 def test_mates_beyond_the_next_run(spark):
     # The page after c is an excerpt of c, and so is the one before: the mates are one run further.
     a, d = "<p>Site</p><p>first words</p><p>x</p>", "<p>Site</p><p>last words</p><p>y</p>"

@@ -7,9 +7,8 @@ is paired with the nearest one before or after it that differs materially, by th
 paths. For that, neighbours that do not differ materially form runs, of which only the ends are met:
 copies, nearly equal captures and excerpts take no text from each other. The lines of the two pages are
 aligned by longest common subsequence, and the lines on it are deleted, by their place, as the site's
-template. Two things differ from bare deletion: lines inside an ``article`` or ``main`` element are what the
-page declares as its own, so these stay when shared; and where a page has such an element, lines
-outside it are no part of the article.
+template. That holds inside an ``article`` or ``main`` element too: sites repeat share lines, by-lines
+and notices there. Where a page has such an element, lines outside it are no part of the article.
 
 Only hashes and sizes of lines travel to the neighbour. Places in URL order come from
 ranges of all pages, so a host with a third of the pages is spread like any other.
@@ -168,7 +167,7 @@ def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _hashes(page: list[tuple[str, bool]]) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(line) - (1 << 63) for line, own in page if not own]
+    return [xxhash.xxh3_64_intdigest(line) - (1 << 63) for line, _ in page]
 
 
 def compared(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, bool]:

@@ -83,6 +83,31 @@ def test_article():
     assert html_text.lines("<div id=menu>m") == html_text.lines("") == html_text.lines(None) == []
 
 
+def text_of(html):
+    return [line for line, _ in html_text.lines(html)]
+
+
+def test_names_of_sections_and_wrappers():
+    assert text_of("<article><h2 id='related-work'>Related</h2><section id='search-methods'>Search</section><p id='social-effects'>S"
+                   "<section id='comments'>Our comments</section><p class='notice'>N</p></article>") == [
+        "Related", "Search", "S", "Our comments", "N"]
+    for wrapper in ("div class='layout has-sidebar'", "div class='layout sidebar'", "form", "form><div class='content nav'"):
+        assert text_of(f"<body><{wrapper}><nav>m</nav><article><p>The text</p></article>") == ["The text"]
+    assert text_of("<div class='sidebar'><main><p>The text</p></main></div>") == ["The text"]
+    assert text_of("<body><form><p>All of the page</p><nav>m</nav></form>") == ["All of the page"]
+    assert text_of("<p>The text of it</p><form>Find</form><div class='sidebar'><article>Teaser</article></div>") == ["The text of it"]
+
+
+def test_marked_articles_and_containers_go():
+    assert text_of("<article><p>Text</p><article class='comment'>c</article><article class='card related'>r</article>"
+                   "<article class=part>Part</article></article>") == ["Text", "Part"]
+    assert text_of("<article><p>Text</p></article><article class='comment'>c</article>") == ["Text"]
+    assert text_of("<article class='comment'><p>An opinion</p></article><footer>f</footer>") == ["An opinion"]
+    assert text_of("<div class='comments'><article>c</article></div><p>t</p>") == ["t"]
+    for name in ("related-posts", "cookie_banner", "Site-Nav", "comment-list", "x advert"):
+        assert text_of(f"<article>Text<div class='{name}'>n</div></article>") == ["Text"]
+
+
 def test_template_goes_and_content_stays(spark):
     def page(body):
         return f"<body><div>Site name</div><p>{body}</p><p>All about us</p></body>"

@@ -44,39 +44,61 @@ BLOCKS = HEADINGS | frozenset(
     "main ol p pre section summary table tbody td tfoot th thead tr ul header hgroup".split())
 OWN = frozenset(("article", "main"))
 CLOSES_P = BLOCKS - frozenset("body html caption td th tr tbody thead tfoot li dd dt".split())
-# Words of class, id and role that mark an element as no article text.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|"
-    r"nav|navbar|navigation|menu|menubar|breadcrumb|breadcrumbs|sidebar|aside|complementary|footer|contentinfo|masthead|"
-    r"comment|comments|disqus|respond|reply|replies|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|"
-    r"widget|toolbar|pagination|pager|skip|hidden)(?:$|[\s_-])", re.IGNORECASE)
+# Words of class, id and role that mark an element as no article text: what others wrote or sell, and page furniture.
+FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond "
+    "reply replies related recommended recommendations".split())
+MARKS = FOREIGN | frozenset(
+    "banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside complementary footer contentinfo "
+    "masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
+    "login search share sharing social widget toolbar pagination pager skip hidden".split())
+# Words that may stand beside a mark in one token, as in share-box. Any other word makes the token a name of its own.
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons container content footer form global group header holder icons inner "
+    "item items left link links list main message outer page panel post posts primary right secondary section site slot "
+    "stories thread top unit wrap wrapper".split())
+CONTAINERS = frozenset("article center details div dl fieldset figure li ol section table td ul".split())
 WHITE = re.compile(r"\s+")
 # Pages differ materially if each has at least this share of its characters in lines that the other lacks.
 OWN_SHARE = 0.15
 
 
+def marked(value: str | None, marks: frozenset[str] = MARKS) -> bool:
+    """Whether a whole token of a class, id or role is a mark, alone or beside words of layout."""
+    for token in (value or "").lower().split():
+        words = set(re.split("[_-]+", token)) - {""}
+        if words & marks and words <= MARKS | BESIDE:
+            return True
+    return False
+
+
+# How an element is left out: not at all, as a form or named wrapper that an article may stand in, or with all it holds.
+READ, FORM, NAMED, OUT = range(4)
+# How far a line is declared as article text.
+IN_FORM, PLAIN, WRAPPED, OWN_TEXT = range(4)
+
+
 class Lines(HTMLParser):
-    """Text lines of a page, each with whether it stands in the declared article."""
+    """Text lines of a page, each with how far it is declared as article text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # element, skipped, own
-        self.lines: list[tuple[str, bool]] = []
+        self.open: list[tuple[str, int, int]] = []  # element, how it is left out, how far it is article text
+        self.lines: list[tuple[str, int]] = []
         self.text: list[str] = []
         self.has_own = False
 
     def end_line(self) -> None:
         line = WHITE.sub(" ", "".join(self.text)).strip()
         if line:
-            self.lines.append((line, bool(self.open) and self.open[-1][2]))
+            left_out, own = self.state()
+            self.lines.append((line, IN_FORM if left_out == FORM else own))
         self.text = []
 
-    def state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+    def state(self) -> tuple[int, int]:
+        return self.open[-1][1:] if self.open else (READ, PLAIN)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        skipped, own = self.state()
         if tag == "br":
             self.text.append(" ")
         if tag in BLOCKS or tag in SKIPPED:
@@ -87,15 +109,32 @@ class Lines(HTMLParser):
             self.close("p", stop=OWN | {"div", "section", "td", "li"})
         if tag == "li":
             self.close("li", stop=frozenset(("ul", "ol")))
-        if not skipped:
-            named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-            # The page's own header is a template; a header inside the article holds its title.
-            skipped = (tag in SKIPPED or tag == "header" and not own
-                       or tag not in ("html", "body", *OWN) and bool(MARKS.search(named))
-                       or any(k == "hidden" for k, _ in attrs))
-        if tag in OWN and not skipped:
-            own = self.has_own = True
-        self.open.append((tag, skipped, own))
+        left_out, own = self.entered(tag, dict(reversed(attrs)), *self.state())
+        self.has_own |= own == OWN_TEXT and left_out == READ
+        self.open.append((tag, left_out, own))
+
+    def entered(self, tag: str, attrs: dict[str, str | None], left_out: int, own: int) -> tuple[int, int]:
+        """The state inside an element, from the state around it."""
+        if left_out == OUT:
+            return left_out, own
+        # In an article, ids of sections are made from their headings.
+        in_article = any(name == "article" for name, *_ in self.open)
+        names = [attrs.get("role")] if tag not in ("html", "body", *OWN) else []
+        names += [attrs.get("class")] if tag in CONTAINERS - OWN else []
+        names += [attrs.get("id")] if tag in CONTAINERS - OWN and not (in_article and tag == "section") else []
+        foreign = any(marked(n, FOREIGN) for n in names)
+        # The page's own header is a template; a header inside the article holds its title.
+        if tag in SKIPPED and tag != "form" or tag == "header" and own == PLAIN or "hidden" in attrs or foreign:
+            return OUT, own
+        if tag == "form" or any(map(marked, names)):
+            return (OUT if own != PLAIN else max(left_out, FORM if tag == "form" else NAMED)), own
+        if tag == "main":
+            return READ, OWN_TEXT
+        if tag == "article" and marked(attrs.get("class"), FOREIGN):
+            return (OUT, own) if own != PLAIN else (READ, WRAPPED)
+        if tag == "article":
+            return READ, max(own, WRAPPED if left_out == NAMED else OWN_TEXT)
+        return left_out, own
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # HTML has no self-closing elements besides the void ones: the slash is ignored.
@@ -116,7 +155,7 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.state()[0]:
+        if self.state()[0] in (READ, FORM):
             self.text.append(data)
 
 
@@ -128,7 +167,14 @@ def lines(html: str | None) -> list[tuple[str, bool]]:
     reader.feed(html)
     HTMLParser.close(reader)
     reader.end_line()
-    return [line for line in reader.lines if line[1]] if reader.has_own else reader.lines
+    kinds = [[line for line, own in reader.lines if own == kind] for kind in (IN_FORM, PLAIN, WRAPPED, OWN_TEXT)]
+    if not reader.has_own:
+        # Articles in a named wrapper are the page's text if they are most of it, and teasers or comments if not. A form
+        # that holds all text stands round the page.
+        wrapped = sum(map(len, kinds[WRAPPED])) > sum(map(len, kinds[PLAIN]))
+        kind = WRAPPED if wrapped else PLAIN if kinds[PLAIN] else IN_FORM
+        return [(line, wrapped) for line in kinds[kind]]
+    return [(line, True) for line in kinds[OWN_TEXT]]
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:

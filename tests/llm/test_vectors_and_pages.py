@@ -98,6 +98,15 @@ def test_names_of_sections_and_wrappers():
     assert text_of("<p>The text of it</p><form>Find</form><div class='sidebar'><article>Teaser</article></div>") == ["The text of it"]
 
 
+def test_end_tags_left_out():
+    for head in ("<head><title>x</title>", "<head><title>x</title><noscript><img src=a></noscript>", "<head><meta charset=a><noscript>"):
+        assert text_of(f"<html>{head}<body><p>Text</p>") == ["Text"]
+    for start in ("<p>", "<div>", "<article>", "", "<img src=a>"):
+        assert text_of(f"<head><title>x</title><style>p{{}}</style>\n{start}Text") == ["Text"]
+    for shape in ("<svg width=1 />", "<math/>", "<svg><path/></svg>", "<svg><g><svg/>n</g></svg>"):
+        assert text_of(f"<body><div>{shape}<p>Text</p></div>") == ["Text"]
+
+
 def test_marked_articles_and_containers_go():
     assert text_of("<article><p>Text</p><article class='comment'>c</article><article class='card related'>r</article>"
                    "<article class=part>Part</article></article>") == ["Text", "Part"]

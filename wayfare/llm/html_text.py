@@ -43,6 +43,7 @@ BLOCKS = HEADINGS | frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure hr html legend li "
     "main ol p pre section summary table tbody td tfoot th thead tr ul header hgroup".split())
 OWN = frozenset(("article", "main"))
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 CLOSES_P = BLOCKS - frozenset("body html caption td th tr tbody thead tfoot li dd dt".split())
 # Words of class, id and role that mark an element as no article text: what others wrote or sell, and page furniture.
 FOREIGN = frozenset(
@@ -99,6 +100,7 @@ class Lines(HTMLParser):
         return self.open[-1][1:] if self.open else (READ, PLAIN)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.end_head(tag)
         if tag == "br":
             self.text.append(" ")
         if tag in BLOCKS or tag in SKIPPED:
@@ -137,8 +139,15 @@ class Lines(HTMLParser):
         return left_out, own
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # HTML has no self-closing elements besides the void ones: the slash is ignored.
+        # Besides the void elements only those of SVG and MathML may close themselves: else the slash is ignored.
         self.handle_starttag(tag, attrs)
+        if tag in ("svg", "math"):
+            self.close(tag, stop=frozenset())
+
+    def end_head(self, tag: str) -> None:
+        """The end tag of head may be left out: body, and whatever cannot stand in a head, close it."""
+        if tag == "body" or self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self.close("head", stop=OWN | {"body"})
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS or tag in SKIPPED:
@@ -155,6 +164,8 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.end_head("")
         if self.state()[0] in (READ, FORM):
             self.text.append(data)
 

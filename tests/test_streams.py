@@ -87,6 +87,19 @@ def test_compacted_state_is_the_same(spark, tmp_path):
     assert spark.read.parquet(small).count() < spark.read.parquet(out).count()
 
 
+def test_compacted_alliances_keep_cells_that_later_writes_lack(spark, tmp_path):
+    source, out, small, checkpoint = (str(tmp_path / n) for n in ("in", "out", "small", "cp"))
+    messages = derived.alliance_updates(spark, SF)
+    for _ in deliver(messages, source, 4):
+        jobs.start_changes(sources.file_messages(spark, source), out, checkpoint).awaitTermination()
+    name = changes.STORED_TABLE["alliance"]
+    jobs.compact(spark, f"{out}/{name}", f"{small}/{name}", ["rowkey"], ["batch_id", "offset"], entity="alliance")
+    want = rows(changes.latest_state(messages, "alliance"))
+    assert rows(jobs.current_entities(spark, out, "alliance")) == want
+    assert rows(jobs.current_entities(spark, small, "alliance")) == want
+    assert spark.read.parquet(f"{small}/{name}").where("linkman is not null").count() == 17  # keys by 2 or 3, of 25
+
+
 def test_word_count_lines(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

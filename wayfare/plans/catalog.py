@@ -99,6 +99,11 @@ def _latest_small(entity: str, *columns: str) -> Query:
         derived.change_messages(spark, folder), entity).select("rowkey", "id", *columns)
 
 
+def cdc_merged_alliances(spark: SparkSession, folder: str) -> DataFrame:
+    merged = changes.latest_state(derived.alliance_updates(spark, folder), "alliance")
+    return merged.select("rowkey", "id", "op", "alliance_name", "linkman", "update_time", "state", "offset")
+
+
 def entity_map(spark: SparkSession, folder: str) -> DataFrame:
     messages = derived.change_messages(spark, folder)
 
@@ -242,6 +247,7 @@ QUERIES: dict[str, Query] = {
     "cdc_latest_users": _latest_small("user", "create_time", "last_logon_time", "city_name"),
     "cdc_latest_drivers": _latest_small("driver", "driver_name", "cancel_count"),
     "cdc_latest_alliances": _latest_small("alliance", "alliance_name", "linkman"),
+    "cdc_merged_alliances": cdc_merged_alliances,
     "entity_map": entity_map,
     "salted_keys": salted_keys,
     "bucket_histogram": bucket_histogram,

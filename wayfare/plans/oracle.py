@@ -363,6 +363,27 @@ ORACLE["cdc_latest_drivers"] = _with(
     _CHANGES, _writes("driver"), select="SELECT rowkey, id, driver_name, cancel_count FROM latest")
 ORACLE["cdc_latest_alliances"] = _with(
     _CHANGES, _writes("alliance"), select="SELECT rowkey, id, alliance_name, linkman FROM latest")
+ORACLE["cdc_merged_alliances"] = f"""
+WITH writes AS (
+  SELECT cast(n_nationkey AS varchar) AS id, n_name AS alliance_name,
+         CASE WHEN n_nationkey % 2 = 0 THEN concat('p', cast(n_nationkey AS varchar)) END AS linkman,
+         NULL AS update_time, '0' AS state, 'insert' AS op, cast(n_nationkey AS bigint) AS "offset" FROM nation
+  UNION ALL
+  SELECT cast(n_nationkey AS varchar), NULL, CASE WHEN n_nationkey % 3 = 0 THEN concat('q', cast(n_nationkey AS varchar)) END,
+         '2016-07-08 09:10:11', NULL, 'update', 1000 + n_nationkey FROM nation
+  UNION ALL
+  SELECT cast(n_nationkey AS varchar), NULL, NULL, '2016-08-08 09:10:11',
+         CASE WHEN n_nationkey % 4 <> 0 THEN '1' END, 'update', 2000 + n_nationkey FROM nation
+  UNION ALL
+  SELECT cast(n_nationkey AS varchar), CASE WHEN n_nationkey % 5 = 0 THEN concat(n_name, ' 2') END, NULL, NULL, NULL,
+         'update', 3000 + n_nationkey FROM nation WHERE n_nationkey % 7 <> 0),
+keyed AS (SELECT *, {_rowkey('id', "'20160203040506'")} AS rowkey FROM writes)
+SELECT rowkey, id, arg_max(op, "offset") AS op,
+       arg_max(alliance_name, "offset") FILTER (alliance_name IS NOT NULL) AS alliance_name,
+       arg_max(linkman, "offset") FILTER (linkman IS NOT NULL) AS linkman,
+       arg_max(update_time, "offset") FILTER (update_time IS NOT NULL) AS update_time,
+       arg_max(state, "offset") FILTER (state IS NOT NULL) AS state, max("offset") AS "offset"
+FROM keyed GROUP BY rowkey, id"""
 ORACLE["bucket_histogram"] = _with(_CHANGES, _writes("order"), select="""
 SELECT cast(substr(rowkey, 1, 4) AS integer) AS bucket, count(*) AS row_count,
        concat(substr(rowkey, 1, 4), '|') AS boundary

@@ -162,6 +162,29 @@ def alliance_changes(spark: SparkSession, folder: str) -> DataFrame:
         *_envelope(F.lit(ALLIANCE_TABLE), F.lit("insert"), data, key))
 
 
+def alliance_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """Four writes per alliance and row key: an insert, two updates of some cells, and for some a delete or a last name."""
+    key = F.col("n_nationkey").cast("long")
+    write = F.col("write")
+
+    def at(n: int, value: Column) -> Column:
+        return F.when(write == n, value)
+
+    data = F.struct(
+        _text(key).alias("id_"),
+        F.coalesce(at(0, F.col("n_name")), at(3, F.when(key % 5 == 0, F.concat(F.col("n_name"), F.lit(" 2")))))
+        .alias("alliance_name"),
+        F.coalesce(at(0, F.when(key % 2 == 0, F.concat(F.lit("p"), _text(key)))),
+                   at(1, F.when(key % 3 == 0, F.concat(F.lit("q"), _text(key))))).alias("linkman"),
+        F.lit("2016-02-03 04:05:06").alias("create_time"),
+        F.coalesce(at(1, F.lit("2016-07-08 09:10:11")), at(2, F.lit("2016-08-08 09:10:11"))).alias("update_time"),
+        F.coalesce(at(0, F.lit("0")), at(2, F.when(key % 4 != 0, F.lit("1")))).alias("state"))
+    op = (F.when(write == 0, F.lit("insert")).when((write == 3) & (key % 7 == 0), F.lit("delete"))
+          .otherwise(F.lit("update")))
+    writes = table(spark, folder, "nation").select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("write"))
+    return _settled(writes.select(*_envelope(F.lit(ALLIANCE_TABLE), op, data, write * 1000 + key)))
+
+
 def unrouted_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Records of tables nobody handles; every second one names no table at all."""
     key = F.col("p_partkey")

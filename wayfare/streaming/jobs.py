@@ -47,9 +47,14 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def compact(spark: SparkSession, source: str, target: str, keys: list[str], version: list[str]) -> None:
-    """Rewrite the stored batches of a finished or paused job as one batch holding the last rows."""
-    rows = latest_per_key(stored(spark, source), keys, version)
+def compact(spark: SparkSession, source: str, target: str, keys: list[str], version: list[str],
+            entity: str | None = None) -> None:
+    """Rewrite the stored batches of a finished or paused job as one batch holding the last rows.
+
+    Writes of an ``entity`` are folded as its current state is: cell by cell where cells may be absent.
+    """
+    rows = stored(spark, source)
+    rows = changes.current(rows, entity, version) if entity else latest_per_key(rows, keys, version)
     rows.write.mode("overwrite").partitionBy("batch_id").parquet(target)
 
 

@@ -40,6 +40,11 @@ def test_kept_documents(spark, odd):
     assert exact_dedup.kept_documents(spark.createDataFrame(rows_of([(1, "a"), (1, "a"), (1, "b")]), DOCS)).count() == 2
 
 
+def test_repeated_null_texts_stay_a_document(spark):
+    out = exact_dedup.kept_documents(spark.createDataFrame(rows_of([(1, None), (1, None), (2, "a")]), DOCS)).collect()
+    assert sorted((r.doc_id, r.text, r.lang) for r in out) == [(1, None, "en"), (2, "a", "en")]
+
+
 def test_empty(none):
     assert exact_dedup.dedup(none).count() == 0
     assert exact_dedup.kept_documents(none).count() == 0

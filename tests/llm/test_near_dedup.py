@@ -95,3 +95,10 @@ def test_components(spark):
                 label[a] = label[b] = min(label[a], label[b])
     got = {tuple(r) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == set(label.items())
+
+
+def test_unlike_texts_of_one_id_are_judged_apart(spark):
+    copied, alone, later = (" ".join(f"{w}{i}" for i in range(40)) for w in ("copy", "alone", "later"))
+    rows = [(1, copied), (2, copied + " end"), (2, alone), (3, later), (3, alone + " end"), (4, later), (4, later)]
+    got = near_dedup.kept_documents(spark.createDataFrame(rows_of(rows), DOCS)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, copied), (2, alone), (3, later)]

@@ -113,5 +113,5 @@ def kept_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFra
         return out.select("row.*")
     # Of the rows of one id and text, the one with the most code points.
     more = out.where("times > 1").groupBy("doc_id", "text_sha256").agg(
-        F.max_by("row", F.length("row.text")).alias("row"))
+        F.max_by("row", F.length(F.coalesce("row.text", F.lit("")))).alias("row"))
     return out.where("times = 1").select("row.*").unionByName(more.select("row.*"))

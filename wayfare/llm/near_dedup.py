@@ -16,7 +16,7 @@ and are then confirmed on their full sets.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer
 words is one shingle; rows with a null ``doc_id`` take no part; rows repeated under one id are one document
-with the set of the row whose set hash is smallest; an empty table gives an empty result; columns
+with the set of the row whose set hash is smallest (``kept_documents`` tells them apart by text); an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are not looked at.
 """
 
@@ -30,8 +30,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import as_rows, binary, stored, texts, vectors
+from wayfare.llm.common import as_rows, binary, stored, texts, vectors, whole_text
 from wayfare.llm.graph import components
+from wayfare.llm.numbering import numbered
 
 WORDS = 5
 POSITIONS = 64
@@ -284,6 +285,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One document of each group, with the columns of ``docs``."""
-    kept = stored(near_duplicates(docs, percent).where("kept").select("doc_id"), "kept-ids")
-    return as_rows(docs).join(kept, F.col("row.doc_id") == F.col("doc_id"), "left_semi").select("row.*")
+    """One document of each group, with the columns of ``docs``.
+
+    Rows of one id with unlike texts are documents of their own here, in the order of id and text digest.
+    """
+    with_id = docs.where(F.col("doc_id").isNotNull())
+    if with_id.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        kept = stored(near_duplicates(docs, percent).where("kept").select("doc_id"), "kept-ids")
+        return as_rows(docs).join(kept, F.col("row.doc_id") == F.col("doc_id"), "left_semi").select("row.*")
+    rows = stored(as_rows(with_id).select(
+        "row", F.col("row.doc_id").alias("id"), F.sha2(whole_text("row.text"), 256).alias("digest")), "rows-by-digest")
+    vertices = stored(numbered(rows.select("id", "digest").distinct(), [F.col("id"), F.col("digest")], "vertex"), "vertices")
+    own = stored(rows.join(vertices, ["id", "digest"]).select("vertex", "row"), "rows-by-vertex")
+    kept = stored(near_duplicates(own.select(F.col("vertex").alias("doc_id"), F.col("row.text").alias("text")), percent)
+                  .where("kept").select(F.col("doc_id").alias("vertex")), "kept-vertices")
+    return own.join(kept, "vertex", "left_semi").select("row.*")

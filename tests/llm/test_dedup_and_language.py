@@ -32,6 +32,21 @@ def test_index_persists_and_takes_later_batches(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_batches_go_through_one_index(spark, tmp_path, odd, none):
+    rows = [(1, "a b"), (2, "c"), (30, "ab"), (31, "a  b"), (60, "a  b"), (61, "d"), (90, "c"), (91, "e"), (91, "e")]
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), 4)
+    got = {tuple(r)[:4] for r in exact_dedup.dedup_in_batches(spark.createDataFrame(rows_of(rows), DOCS), index).collect()}
+    assert got == brute(rows)
+    # Four texts, and the longer document of the second batch: the index decided the other rows.
+    assert sorted(r.keep_id for r in index.rows().collect()) == [1, 2, 31, 61, 91]
+    assert sorted(r.keep_id for r in index.best().collect()) == [2, 31, 61, 91]
+    again = exact_dedup.dedup(spark.createDataFrame(rows_of([(5, "ab")]), DOCS), index).collect()
+    assert [(r.doc_id, r.keep_id, r.kept) for r in again] == [(5, 31, False)]
+    whole = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.dedup_in_batches(odd).collect()}
+    assert whole == brute([(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()])
+    assert exact_dedup.dedup_in_batches(none).count() == 0
+
+
 def test_kept_documents(spark, odd):
     out = exact_dedup.kept_documents(odd)
     assert out.columns == odd.columns

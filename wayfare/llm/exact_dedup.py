@@ -1,9 +1,10 @@
 """Exact dedup against a persistent digest index.
 
 The index is a Parquet table in ``buckets`` buckets by digest, sorted by digest within each, with
-one row per text ever accepted. A batch of documents is reduced to one row per digest and
+a row per text ever accepted, and one more where a longer document took its place. A batch of documents is reduced to one row per digest and
 merged against the index by a sort-merge anti-join that does not move the index; what the index
-lacks is appended to it in the same layout.
+lacks is appended to it in the same layout. A whole table is taken in a few batches in the order of its ids;
+there a later, longer document of a text that the index holds is appended too, and the best row of a digest counts.
 
 Texts are equal when they are identical after deleting every space and control character of
 ``[\\x20\\x09-\\x0D]``. Of equal texts in a batch the one with the most code points stays, then the
@@ -26,6 +27,8 @@ from wayfare.llm.common import as_rows, shared_path, stored, whole_text
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 # Digest rows a bucket should hold at most; about 128 MB of them.
 ROWS_PER_BUCKET = 2_000_000
+# Batches that a whole table is taken in.
+BATCHES = 4
 
 
 class DigestIndex:
@@ -42,6 +45,10 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def best(self) -> DataFrame:
+        """One row per digest: the document that stays. Buckets hold whole digests, so no row moves."""
+        return winners(self.rows().withColumnsRenamed({"keep_id": "doc_id", "keep_chars": "n_chars"})).drop("group_size")
+
     def missing(self, winners: DataFrame) -> DataFrame:
         """Rows of ``winners`` (one per digest) whose digest the index lacks."""
         return winners.hint("merge").join(self.rows().select("digest"), "digest", "left_anti")
@@ -68,6 +75,15 @@ def digests(docs: DataFrame) -> DataFrame:
         F.length(text).cast("long").alias("n_chars"))
 
 
+def winners(rows: DataFrame) -> DataFrame:
+    """``digest, keep_id, keep_chars, group_size``: per digest the longest row, then the one of the smallest id."""
+    return rows.groupBy("digest").agg(
+        F.max(F.struct("n_chars", (-F.col("doc_id")).alias("minus_id"))).alias("best"),
+        F.count("*").alias("group_size")).select(
+            "digest", (-F.col("best.minus_id")).alias("keep_id"),
+            F.col("best.n_chars").alias("keep_chars"), "group_size")
+
+
 def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``, and add the new texts to the index.
 
@@ -79,13 +95,9 @@ def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     if index is None:
         index = new_index(docs.sparkSession, rows.count())
     # Partial aggregation leaves one row per task and digest, so a digest of many rows moves as few.
-    groups = stored(rows.groupBy("digest").agg(
-        F.max(F.struct("n_chars", (-F.col("doc_id")).alias("minus_id"))).alias("best"),
-        F.count("*").alias("group_size")).select(
-            "digest", (-F.col("best.minus_id")).alias("keep_id"),
-            F.col("best.n_chars").alias("keep_chars"), "group_size"), "digest-groups")
+    groups = stored(winners(rows), "digest-groups")
     known = groups.select("digest", "group_size").hint("merge").join(
-        index.rows().select("digest", "keep_id"), "digest").withColumn("fresh", F.lit(False))
+        index.best().select("digest", "keep_id"), "digest").withColumn("fresh", F.lit(False))
     fresh = stored(index.missing(groups), "fresh-digests")
     decided = stored(known.select("digest", "keep_id", "group_size", "fresh").unionByName(
         fresh.select("digest", "keep_id", "group_size", F.lit(True).alias("fresh"))), "decided-digests")
@@ -99,6 +111,30 @@ def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
         F.col("digest").alias("text_sha256"))
 
 
+def dedup_in_batches(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
+    """As ``dedup`` of a whole table into an empty index, taken in ``batches`` ranges of ids one after the other.
+
+    The anti-join finds the texts that a batch adds. Of those that the index holds, a batch's document
+    is added where it is the better one, so that the last state decides as one batch would.
+    """
+    rows = stored(digests(docs), "digests")
+    n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
+    if index is None:
+        index = new_index(docs.sparkSession, n)
+    edges = [low + (high - low + 1) * i // batches for i in range(batches)] + [high + 1] if n else []
+    for start, end in zip(edges, edges[1:], strict=False):
+        batch = stored(winners(rows.where(F.col("doc_id").between(start, end - 1))), "digest-groups")
+        held = index.best().select("digest", F.col("keep_id").alias("held_id"), F.col("keep_chars").alias("held_chars"))
+        better = batch.hint("merge").join(held, "digest").where(
+            "keep_chars > held_chars OR keep_chars = held_chars AND keep_id < held_id").select(*batch.columns)
+        index.append(stored(index.missing(batch).select(*batch.columns).unionByName(better), "fresh-digests"))
+    sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
+    decided = stored(index.best().select("digest", "keep_id").join(sizes, "digest"), "decided-digests")
+    return rows.select("doc_id", "digest").join(decided, "digest").select(
+        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("digest").alias("text_sha256"))
+
+
 def kept_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The documents that stay, with the columns of ``docs``; each text once.
 

@@ -33,7 +33,7 @@ def mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.dedup_in_batches(table(spark, sf_dir, "documents"))
 
 
 def byte_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

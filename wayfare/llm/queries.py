@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, suffix_dedup, token_counts, warc
+from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, simhash, suffix_dedup, token_counts, warc
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_page_differencing": page_differencing,
     "op2_pow2_packing": pow2_packing,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ecoc_langid": ecoc_langid,
     "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,
+    "op13_simhash_dedup": simhash_dedup,
     "pipeline": corpus_pipeline.run,
 }
 

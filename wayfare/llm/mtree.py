@@ -120,13 +120,13 @@ class Tree:
         return [(score, -vec) for score, vec in sorted(best, reverse=True)]
 
 
-def whole_vectors(rows: DataFrame, vector: str, scale: int) -> DataFrame:
-    """``vec_id, v array<long>`` of the rows that take part: each component x as floor(scale * x)."""
+def whole_vectors(rows: DataFrame, vector: str, scale: int, *others: str) -> DataFrame:
+    """``vec_id, v array<long>`` and ``others`` of the rows that take part: each component x as floor(scale * x)."""
     x = F.col(vector)
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
     return rows.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & finite).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"))
+        F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"), *others)
 
 
 def _unique(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

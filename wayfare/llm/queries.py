@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, simhash, suffix_dedup, token_counts, warc
+from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, simhash, suffix_dedup, token_counts, vector_codes, warc
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,10 +87,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ecoc_langid": ecoc_langid,
     "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,
+    "op11_laesa_codes": laesa_codes,
     "op13_simhash_dedup": simhash_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
+# Whole numbers below 2^53, so that inner products of doubles are exact.
+LAESA_SQL = """
+    WITH clean AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(embedding) % 4 = 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    kept AS MATERIALIZED (
+        SELECT *, row_number() OVER (ORDER BY vec_id, v) AS r, len(v) // 4 AS w FROM clean
+        WHERE len(v) = (SELECT len(v) FROM clean GROUP BY len(v) ORDER BY count(*) DESC, len(v) LIMIT 1)),
+    parts AS MATERIALIZED (
+        SELECT r, p, v[p * w + 1:(p + 1) * w] AS x, list_inner_product(x, x) AS xx FROM kept, range(4) t(p)),
+    c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c, xx AS cc FROM parts WHERE r <= 256),""" + "".join(f"""
+    a{i} AS MATERIALIZED (
+        SELECT r, p, min(CAST(xx - 2 * list_inner_product(x, c) + cc AS BIGINT) * 256 + e) AS k
+        FROM parts JOIN c{i} USING (p) GROUP BY r, p),""" + (f"""
+    n{i} AS (SELECT p, k % 256 AS e, list(s ORDER BY i) AS c FROM (
+        SELECT p, k % 256 AS k, i, floor(sum(CAST(x[i] AS BIGINT)) / CAST(count(*) AS DOUBLE)) AS s
+        FROM a{i} JOIN parts USING (r, p), range(1, 4096) t(i) WHERE i <= len(x) GROUP BY ALL) GROUP BY p, k),
+    c{i + 1} AS MATERIALIZED (
+        SELECT p, e, coalesce(n.c, o.c) AS c, list_inner_product(coalesce(n.c, o.c), coalesce(n.c, o.c)) AS cc
+        FROM c{i} o LEFT JOIN n{i} n USING (p, e)),""" if i < 4 else "") for i in range(5)) + """
+    coded AS (SELECT r, string_agg(format('{:02x}', k % 256), '' ORDER BY p) AS code, CAST(sum(k // 256) AS BIGINT) AS error
+              FROM a4 GROUP BY r)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) FROM c4) AS codebooks_sha256
+    FROM coded JOIN kept USING (r)"""
+
 ORACLE: dict[str, str] = {
     "op3_mtree_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -105,6 +137,7 @@ ORACLE: dict[str, str] = {
         w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
                      count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w""",
+    "op11_laesa_codes": LAESA_SQL,
     "op9_warc_index": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
                    FROM pages WHERE page_id IS NOT NULL),

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfare.llm import byte_bpe, exact_dedup, html_text, langid, mtree, near_dedup, packing, simhash, suffix_dedup, token_counts, vector_codes, warc
+from wayfare.llm import (
+    byte_bpe, centroids, exact_dedup, html_text, langid, mtree, near_dedup, packing, simhash, suffix_dedup, token_counts, vector_codes, warc)
 from wayfare.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +73,10 @@ def laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_index": warc_index,
     "op10_viterbi_counts": viterbi_counts,
     "op11_laesa_codes": laesa_codes,
+    "op12_sharded_lloyd": sharded_lloyd,
     "op13_simhash_dedup": simhash_dedup,
     "pipeline": corpus_pipeline.run,
 }
@@ -119,6 +125,27 @@ LAESA_SQL = """
            (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) FROM c4) AS codebooks_sha256
     FROM coded JOIN kept USING (r)"""
 
+LLOYD_SQL = """
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x,
+               row_number() OVER (ORDER BY sha256('2:' || vec_id), x) AS r, list_inner_product(x, x) AS xx FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) = 64
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    c0 AS MATERIALIZED (SELECT r - 1 AS e, x AS c, xx AS cc FROM kept WHERE r <= 40),""" + "".join(f"""
+    a{i} AS MATERIALIZED (
+        SELECT r, min(CAST(xx - 2 * list_inner_product(x, c) + cc AS BIGINT) * 64 + e) AS k FROM kept, c{i} GROUP BY r),""" + (f"""
+    n{i} AS (SELECT e, list(s ORDER BY i) AS c FROM (
+        SELECT k % 64 AS e, i, floor(sum(CAST(x[i] AS BIGINT)) / CAST(count(*) AS DOUBLE)) AS s
+        FROM a{i} JOIN kept USING (r), range(1, 65) t(i) GROUP BY ALL) GROUP BY e),
+    c{i + 1} AS MATERIALIZED (
+        SELECT e, coalesce(n.c, o.c) AS c, list_inner_product(coalesce(n.c, o.c), coalesce(n.c, o.c)) AS cc
+        FROM c{i} o LEFT JOIN n{i} n USING (e)),""" if i < 5 else "") for i in range(6)) + """
+    found AS (SELECT vec_id, CAST(k % 64 AS INTEGER) AS cluster, k // 64 AS distance FROM a5 JOIN kept USING (r))
+    SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+    FROM found JOIN c5 ON cluster = e"""
+
 ORACLE: dict[str, str] = {
     "op3_mtree_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -138,6 +165,7 @@ ORACLE: dict[str, str] = {
                      count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w""",
     "op11_laesa_codes": LAESA_SQL,
+    "op12_sharded_lloyd": LLOYD_SQL,
     "op9_warc_index": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
                    FROM pages WHERE page_id IS NOT NULL),

@@ -6,9 +6,9 @@ two halves, one half differs in one bit at most. So each half is indexed as it i
 that bit deleted; equal halves meet under the first key, halves that differ in one bit under the key without that bit,
 where only rows that differ in it are partners. Every pair that meets is verified on the whole fingerprints.
 
-No key ever has all its pairs written out. A key of two fingerprints is one pair and is settled by the aggregation that
-counts the keys. Of a larger one, all are compared with its least and its greatest fingerprint, and the components
-found so far decide what is left: keys within one component are done, and others compare fingerprints of different
+No key ever has all its pairs written out. A key of two or three fingerprints is settled by the aggregation that counts the
+keys: it keeps the least, the greatest and the exclusive or of all. Of a larger one, all are compared with its least and its
+greatest fingerprint, and the components found so far decide what is left: keys within one component are done, and others compare fingerprints of different
 components only. Keys with over ``CROWD`` fingerprints on either side are not compared but cut again, by the halves
 of the half that is still free; after ``LEVELS`` cuts no more than 2^11 fingerprints can share a key.
 
@@ -37,6 +37,9 @@ SEED = 42
 MOST = 3
 CROWD = 256
 LEVELS = 3
+# Fingerprints whose keys one task makes; keys of a crowd that may be sent to all executors, 16 bytes each. More are joined by a shuffle.
+PRINTS_PER_TASK = 16_384
+SENT_KEYS = 500_000
 # Bytes of text hashed at a time.
 BLOCK = 1 << 19
 
@@ -229,17 +232,24 @@ class Join:
         return self.linked
 
     def run(self) -> DataFrame:
-        rows = self.prints.select("fp")
+        tasks = -(-self.prints.count() // PRINTS_PER_TASK)
+        rows = self.prints.select("fp").repartition(max(1, tasks))
         for level in range(1, LEVELS + 1):
             keys = keyed(rows, level)
             stats = stored(keys.groupBy("node", "at").agg(
                 F.count("*").alias("n"), F.coalesce(F.sum(side("fp")), F.lit(-1)).alias("ones"),
-                F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1 AND ones <> 0 AND ones <> n"), "simhash-keys")
-            self.keep(stats.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).where(near("a", "b")).distinct())
-            crowded = stats.where("n > 2")
-            if crowded.isEmpty():
+                F.min("fp").alias("low"), F.max("fp").alias("high"), F.bit_xor("fp").alias("all")).where(
+                    "n > 1 AND ones <> 0 AND ones <> n"), "simhash-keys")
+            middle = F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("all"))
+            few = stats.where("n < 4").select(F.inline(F.when(F.col("n") == 2, F.array(F.struct(F.col("low").alias("a"), F.col("high").alias("b"))))
+                                                       .otherwise(F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in (
+                                                           (F.col("low"), middle), (middle, F.col("high")), (F.col("low"), F.col("high")))]))))
+            self.keep(few.where(near("a", "b")).distinct())
+            crowded = stats.where("n > 3").drop("all")
+            keys_left = crowded.count()
+            if not keys_left:
                 break
-            rows = stored(keys.join(crowded, ["node", "at"]), "simhash-rows")
+            rows = stored(keys.join(F.broadcast(crowded) if keys_left <= SENT_KEYS else crowded, ["node", "at"]), "simhash-rows")
             # A fingerprint has the same pivot under many keys.
             self.keep(rows.select(F.col("fp").alias("b"), F.explode(F.array("low", "high")).alias("a")).where(
                 (F.col("a") != F.col("b")) & near("a", "b")).distinct())

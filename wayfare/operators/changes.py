@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.constants import (ALLIANCE_FIELDS, ALLIANCE_TABLE, DRIVER_FIELDS, DRIVER_TABLE,
                                ORDER_FIELDS, ORDER_TABLE, SALT_BUCKETS, UNKNOWN_ROUTE, USER_FIELDS,
@@ -46,19 +47,34 @@ def routed(messages: DataFrame) -> DataFrame:
         *messages.columns, F.inline(F.array(F.from_json("value", ENVELOPE)))))
 
 
-def entity_rows(messages: DataFrame, entity: str) -> DataFrame:
-    """Records of one entity as its bean: table, id, operation and the entity's fields, all text."""
+def _parsed(messages: DataFrame, data: T.StructType) -> DataFrame:
+    """Offset, table, operation, route and data; unpacked by a generator, a record is parsed once for all of them."""
+    envelope = strings("table", "type").add("data", data)
+    return _defaults(messages.select("offset", F.inline(F.array(F.from_json("value", envelope)))))
+
+
+def parsed_changes(messages: DataFrame) -> DataFrame:
+    """Records of all entities, parsed once: ``data`` has the fields of every entity, those of others are null.
+
+    One schema for all rather than a variant: numbers keep the text they came with.
+    """
+    return _parsed(messages, strings(*dict.fromkeys(f.name for data in ENTITY_DATA.values() for f in data)))
+
+
+def rows_of_entity(parsed: DataFrame, entity: str) -> DataFrame:
     fields, fill, _ = ENTITIES[entity]
-    envelope = strings("table", "type").add("data", ENTITY_DATA[entity])
-    # Unpacked by a generator, the record is parsed once for routing and fields together.
-    parsed = messages.select("offset", F.inline(F.array(F.from_json("value", envelope))))
-    rows = _defaults(parsed).where(F.col("route") == entity)
 
     def value(name: str) -> Column:
         got = F.col(f"data.{name}")
         return (F.coalesce(got, F.lit("")) if fill else got).alias(name)
 
-    return rows.select("table", "op", F.col("data.id_").alias("id"), *[value(f) for f in fields], "offset")
+    return parsed.where(F.col("route") == entity).select(
+        "table", "op", F.col("data.id_").alias("id"), *[value(f) for f in fields], "offset")
+
+
+def entity_rows(messages: DataFrame, entity: str) -> DataFrame:
+    """Records of one entity as its bean: table, id, operation and the entity's fields, all text."""
+    return rows_of_entity(_parsed(messages, ENTITY_DATA[entity]), entity)
 
 
 def key_time(entity: str) -> Column:
@@ -69,34 +85,45 @@ def key_time(entity: str) -> Column:
     return times.compact_time(F.coalesce(*filled, F.col(last)) if filled else F.col(last))
 
 
-def keyed_writes(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Rows to store: inserts and updates with a usable id and time, under their salted key."""
+def _keyed(rows: DataFrame, entity: str, buckets: int) -> DataFrame:
     moment = key_time(entity)
-    rows = entity_rows(messages, entity).where(
-        F.col("op").isin("insert", "update") & F.col("id").isNotNull() & moment.isNotNull())
+    rows = rows.where(F.col("op").isin("insert", "update") & F.col("id").isNotNull() & moment.isNotNull())
     return rows.select(keys.salted_key(F.col("id"), moment, buckets).alias("rowkey"), *rows.columns)
 
 
+def keyed_writes(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Rows to store: inserts and updates with a usable id and time, under their salted key."""
+    return _keyed(entity_rows(messages, entity), entity, buckets)
+
+
 def latest_state(messages: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
     """The stored table: per row key the write with the highest offset, or cell by cell where cells may be absent."""
     return current(keyed_writes(messages, entity, buckets), entity, ["offset"])
 
 
+def latest_of_changes(parsed: DataFrame, entity: str, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """:func:`latest_state` of records that are parsed already."""
+    return current(_keyed(rows_of_entity(parsed, entity), entity, buckets), entity, ["offset"])
+
+
 def current(writes: DataFrame, entity: str, version: list[str]) -> DataFrame:
     """Writes folded per row key. Entities whose absent fields are filled always write every cell."""
     _, fill, _ = ENTITIES[entity]
     return (latest_per_key if fill else merged_per_key)(writes, ["rowkey"], version)
 
 
-def entity_map(rows: DataFrame, entity: str) -> DataFrame:
-    """Each record as a map of its non-null fields."""
-    id_name = "id_" if entity == "alliance" else "id"
-    names = {"table": "table", "op": "operatorType", "id": id_name}
-    pairs = []
-    for column in ("table", "op", "id", *ENTITIES[entity][0]):
-        pairs += [F.lit(names.get(column, column)), F.col(column)]
-    return rows.select("offset", F.map_filter(
-        F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("entity"))
+def entity_maps(parsed: DataFrame) -> DataFrame:
+    """Each routed record as a map of its fields, without nulls; ``kind`` is its entity. One pass over all entities."""
+    maps = F.lit(None)
+    for entity, (fields, fill, _) in ENTITIES.items():
+        pairs = [F.lit("table"), F.col("table"), F.lit("operatorType"), F.col("op"),
+                 F.lit("id_" if entity == "alliance" else "id"), F.col("data.id_")]
+        for field in fields:
+            got = F.col(f"data.{field}")
+            pairs += [F.lit(field), F.coalesce(got, F.lit("")) if fill else got]
+        maps = F.when(F.col("route") == entity, F.create_map(*pairs)).otherwise(maps)
+    return parsed.where(F.col("route") != UNKNOWN_ROUTE).select(
+        F.col("route").alias("kind"), "offset", F.map_filter(maps, lambda _, v: v.isNotNull()).alias("entity"))
 
 
 def bucket_histogram(writes: DataFrame) -> DataFrame:

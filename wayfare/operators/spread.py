@@ -142,3 +142,8 @@ def merged_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -
     merged = df.groupBy(*keys).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c)
                                      for c in df.columns if c not in keys])
     return merged.select(*df.columns)
+
+
+def folded_per_key(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """One row per key by aggregates, with the columns of ``df``."""
+    return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()]).select(*df.columns)

@@ -105,18 +105,9 @@ def cdc_merged_alliances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entity_map(spark: SparkSession, folder: str) -> DataFrame:
-    messages = derived.change_messages(spark, folder)
-
-    def as_text(entity: str) -> DataFrame:
-        mapped = changes.entity_map(changes.entity_rows(messages, entity), entity)
-        pairs = F.transform(F.map_entries("entity"), lambda e: F.concat_ws("=", e["key"], e["value"]))
-        return mapped.select(F.lit(entity).alias("kind"), "offset",
-                             F.array_join(F.array_sort(pairs), "|").alias("entity"))
-
-    out = as_text("order")
-    for entity in ("user", "driver", "alliance"):
-        out = out.unionByName(as_text(entity))
-    return out
+    mapped = changes.entity_maps(changes.parsed_changes(derived.change_messages(spark, folder)))
+    pairs = F.transform(F.map_entries("entity"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return mapped.select("kind", "offset", F.array_join(F.array_sort(pairs), "|").alias("entity"))
 
 
 def salted_keys(spark: SparkSession, folder: str) -> DataFrame:

@@ -60,8 +60,3 @@ def append_snapshots(snapshots: DataFrame, path: str) -> None:
     stamped = snapshots.withColumn("captured_at", captured)
     (stamped.withColumn("captured_day", F.col("captured_at").cast("date"))
      .write.mode("append").partitionBy("captured_day").parquet(path))
-
-
-def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Store the writes of one micro-batch; a batch that is replayed replaces itself."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -33,8 +33,10 @@ from wayfare.llm.mtree import whole_vectors
 
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
 PIVOTS = 16
+# How many entries are evaluated before the bounds are compared again.
+AHEAD = 16
 # Parts whose bounds are held at a time.
-ROWS = 512
+ROWS = 2048
 
 
 class Codebook:
@@ -52,8 +54,9 @@ class Codebook:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     def exact(self, parts: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Squared distances of parts to an entry each, or to one entry, in whole numbers."""
         self.evaluated += len(parts)
-        gap = parts - self.entries[entries]
+        gap = parts - entries
         return np.einsum("ij,ij->i", gap, gap)
 
     def _nearest(self, parts: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,29 +68,22 @@ class Codebook:
         np.maximum(bound, 0, out=bound)
         least = bound.astype(np.float64) ** 2 * (1 - 1e-6)
         entry = bound.argmin(1)
-        best = self.exact(parts, entry)
-        row, other = np.nonzero(least <= best[:, None])
-        left = other != entry[row]
-        row, other = row[left], other[left]
-        order = np.lexsort((least[row, other], row))
-        row, other = row[order], other[order]
-        first = np.searchsorted(row, np.arange(len(parts)))
-        place = np.arange(len(row)) - first[row]
-        start, stop = 0, 8
-        while len(row):
-            now = (place >= start) & (place < stop)
-            r, e = row[now], other[now]
-            d = self.exact(parts[r], e)
-            # Of a row's evaluations the least counts, then the lower entry.
-            order = np.lexsort((e, d, r))
-            r, e, d = r[order], e[order], d[order]
-            lead = np.flatnonzero(np.diff(r, prepend=-1))
-            r, e, d = r[lead], e[lead], d[lead]
-            better = (d < best[r]) | ((d == best[r]) & (e < entry[r]))
-            best[r[better]], entry[r[better]] = d[better], e[better]
-            keep = (place >= stop) & (least[row, other] <= best[row])
-            row, other, place = row[keep], other[keep], place[keep]
-            start, stop = stop, stop * 4
+        best = self.exact(parts, self.entries[entry])
+        done = np.zeros(bound.shape, bool)
+        done[np.arange(len(parts)), entry] = True
+        # The entries of the least bounds first, then all whose bounds the best distance still allows.
+        for ahead in (AHEAD, bound.shape[1]):
+            open_ = (least <= best[:, None]) & ~done
+            if ahead < bound.shape[1]:
+                open_ &= least < np.partition(least, ahead, axis=1)[:, ahead, None]
+            done |= open_
+            for number, wanted in enumerate(np.ascontiguousarray(open_.T)):
+                row = np.flatnonzero(wanted)
+                if len(row):
+                    d = self.exact(parts[row], self.entries[number])
+                    better = (d < best[row]) | ((d == best[row]) & (number < entry[row]))
+                    row = row[better]
+                    best[row], entry[row] = d[better], number
         return entry, best
 
 

@@ -1,14 +1,12 @@
 """Heavy keys: the spread plans must return what the plain plans return."""
 
 import random
-from pathlib import Path
-from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfare.operators import members, stations, tracks
-from wayfare.operators.spread import hot_keys, join_unique, latest_per_key, number_rows
-from wayfare.session import checkpoint_dir
+from wayfare.operators.spread import _cut, join_unique, latest_per_key, number_rows
 
 
 def skewed(spark, rows=3000):
@@ -33,17 +31,44 @@ def test_number_rows_with_and_without_hot_keys(spark):
     df, data = skewed(spark)
     want = expected_numbers(data)
     for limit in (10, 150, 10_000):
-        numbered = number_rows(df, ["key"], [F.asc("score"), F.desc("id")], "n", "total", limit)
+        numbered = number_rows(df, ["key"], ["score", "-id"], "n", "total", limit)
         assert {(r["key"], r["id"]): (r["n"], r["total"]) for r in numbered.collect()} == want
 
 
-def test_hot_rows_are_spread_over_tasks(spark):
+def test_most_rows_of_one_key(spark):
+    """Nine tenths of the rows have one key: no task of the numbering holds more than a small share of them."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(-1)).alias("key"),
+                                    (F.col("id") * 7919 % 20_011).alias("score"), "id")
+    pieces = _cut(df, ["key"], ["score", "-id"], 250, "left").groupBy("key", "_piece").count()
+    assert pieces.where("key = -1").count() > 40
+    assert pieces.agg(F.max("count")).first()[0] < 18_000 / 8
+    got = number_rows(df, ["key"], ["score", "-id"], "n", "total", 250).where("key = -1").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(1, 18_001)) and {r["total"] for r in got} == {18_000}
+    assert all((a["score"], -a["id"]) < (b["score"], -b["id"]) for a, b in zip(got, got[1:], strict=False))
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
     df, _ = skewed(spark)
-    before = set(Path(urlparse(checkpoint_dir(spark)).path).iterdir())
-    number_rows(df.where("key = 'hot'"), ["key"], [F.asc("score"), F.desc("id")], rows_per_task=100)
-    written, = set(Path(urlparse(checkpoint_dir(spark)).path).iterdir()) - before
-    files = spark.read.parquet(str(written)).groupBy(F.input_file_name()).count().collect()
-    assert len(files) >= 8 and max(r["count"] for r in files) <= 300
+    right = spark.createDataFrame([("hot", 1)], "key string, v int")
+    sc = spark.sparkContext
+    sc.setJobGroup("built", "built")
+    try:
+        number_rows(df, ["key"], ["score", "-id"], "n", "total", 10)
+        join_unique(df, right, ["key"], 10)
+        members.rank_range(df.withColumnRenamed("id", "member"), -5, -1)
+        stations.hot_cell_orders(df.withColumnRenamed("id", "cell"))
+        assert list(sc.statusTracker().getJobIdsForGroup("built")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_nulls_in_the_order(spark):
+    data = [("k", s, i) for i, s in enumerate([None, 3, None, 1, 2, 3, None, 1])]
+    df = spark.createDataFrame(data, "key string, score int, id int")
+    for order, turned in ((["score", "id"], [F.asc("score"), F.asc("id")]), (["-score", "id"], [F.desc("score"), F.asc("id")])):
+        want = df.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(*turned)).cast("long"))
+        for limit in (1, 2, 3):
+            assert sorted(number_rows(df, ["key"], order, "n", rows_per_task=limit).collect(), key=str) == sorted(want.collect(), key=str)
 
 
 def test_join_unique_with_and_without_hot_keys(spark):
@@ -62,14 +87,6 @@ def test_join_unique_keeps_identical_copies(spark):
     assert join_unique(left, right, ["key"], 100).count() == 2000
 
 
-def test_hot_keys_are_counted(spark):
-    df, data = skewed(spark)
-    hot = hot_keys(df, ["key"], 100)
-    assert {r["key"] for r in hot.frame.collect()} == {"hot", None}
-    assert hot.rows == sum(1 for k, _, _ in data if k in ("hot", None))
-    assert not hot_keys(df, ["key"], 100_000)
-
-
 def test_latest_per_key(spark):
     df, data = skewed(spark)
     want = {}

@@ -11,9 +11,6 @@ from pyspark.sql.window import Window
 from wayfare.functions.text import fields_trimmed, lines
 from wayfare.operators.spread import ROWS_PER_TASK, number_rows
 
-# Spark prunes ranked rows before the shuffle up to this many per key (its own default).
-TOP_K_PRUNED = 1000
-
 
 def counter_totals(increments: DataFrame) -> DataFrame:
     """Increments summed by key and field."""
@@ -31,9 +28,8 @@ def scores(increments: DataFrame) -> DataFrame:
         "key", F.col("field").alias("member"), F.col("value").alias("score"))
 
 
-def _score_order(descending: bool) -> list[Column]:
-    turn = F.desc if descending else F.asc
-    return [turn("score"), turn("member")]
+def _score_order(descending: bool) -> list[str]:
+    return ["-score", "-member"] if descending else ["score", "member"]
 
 
 def member_ranks(scored: DataFrame, descending: bool = False,
@@ -48,11 +44,13 @@ def rank_range(scored: DataFrame, start: int, stop: int, descending: bool = Fals
                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Members ranked from ``start`` to ``stop``, both inclusive; negative counts from the end.
 
-    A short range from the front is a top-k: Spark keeps the first rows of each key within every
-    task before the shuffle, so the size of a key does not matter.
+    A short range from the front is a top-k: Spark keeps the first rows of each key within every task before the
+    shuffle, so the size of a key does not matter. It does so up to a k that its own setting names.
     """
-    if 0 <= start <= stop < TOP_K_PRUNED:
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(*_score_order(descending)))
+    pruned = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if 0 <= start <= stop < pruned:
+        turn = F.desc if descending else F.asc
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(turn("score"), turn("member")))
         top = scored.withColumn("_rn", rank).where(F.col("_rn") <= stop + 1)
         return top.where(F.col("_rn") > start).select(
             "key", "member", "score", (F.col("_rn") - 1).cast("bigint").alias("rank"))

@@ -1,8 +1,9 @@
 """Joins and numbering that hold up when one key owns a large share of the rows.
 
-Keys with more rows than one task should take are found by a partially aggregated count. They are
-few by construction: at most ``MAX_HOT_KEYS`` are kept, the largest first, and any key left out has
-fewer rows than total / MAX_HOT_KEYS. Without such keys the plain Spark plan is used.
+One plan for all sizes, and no job while it is built: a fixed share of the rows, one in ``ROWS_PER_TASK`` by a hash of their
+values, marks where keys are cut. A key of that many rows or more is likely to be cut, one with many times as many rows into about as
+many pieces, and most keys are not. The marks are a function of the rows alone, so that every evaluation, also of a lost task, finds
+the same pieces. At most one row in ``ROWS_PER_TASK`` is broadcast: half a million for a million million rows.
 """
 
 from __future__ import annotations
@@ -15,40 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfare.session import materialized
-
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 10_000
-
-
-class HotKeys:
-    """The heavy keys of a frame as a small local table with the pieces each should be cut into."""
-
-    def __init__(self, frame: DataFrame | None, rows: int):
-        self.frame, self.rows = frame, rows
-
-    def __bool__(self) -> bool:
-        return self.frame is not None
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    return hot_keys_of_counts(df.groupBy(*keys).agg(F.count("*").alias("_rows")), keys, rows_per_task)
-
-
-def hot_keys_of_counts(counts: DataFrame, keys: Sequence[str],
-                       rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """Heavy keys when the rows per key are already counted, in column ``_rows``."""
-    heavy = (counts.where(F.col("_rows") > rows_per_task)
-             .orderBy(F.desc("_rows"), *keys)
-             .limit(MAX_HOT_KEYS))
-    # Bounded by the limit above.
-    found = heavy.collect()
-    if not found:
-        return HotKeys(None, 0)
-    pieces = heavy.withColumn("_pieces", F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int"))
-    local = counts.sparkSession.createDataFrame(
-        [(*row, -(-row["_rows"] // rows_per_task)) for row in found], pieces.schema)
-    return HotKeys(local.drop("_rows"), sum(row["_rows"] for row in found))
+# Cuts of one key that every row of it is compared with; with more marks, evenly chosen ones.
+MAX_CUTS = 512
 
 
 def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,71 +31,78 @@ def _same(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(key).eqNullSafe(F.col(f"_match_{key}")) for key in keys])
 
 
-def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                rows_per_task: int = ROWS_PER_TASK, hot: HotKeys | None = None) -> DataFrame:
+def _marked(df: DataFrame, columns: Sequence[str], rows_per_task: int) -> DataFrame:
+    return df.where(F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(rows_per_task)) == 0)
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Join rows of ``left`` to the one row ``right`` has per key.
 
     A heavy key of ``left`` is cut into pieces and its single row of ``right`` copied to each, so no
     task receives the whole key; all other rows join as usual. Adaptive skew handling alone would
     not do: it needs a shuffle on both sides, and an aggregated ``right`` brings none of its own.
+    Many equal rows are marked together or not at all, and stay in one piece if they are not.
     """
-    if hot is None:
-        hot = hot_keys(left.where(F.col(keys[0]).isNotNull()), keys, rows_per_task)
-    if not hot:
-        return left.join(right, list(keys))
-    small = F.broadcast(hot.frame)
-    # The input partition is part of the hash, so that identical rows spread as well.
+    pieces = F.broadcast(_marked(left, left.columns, rows_per_task).where(F.col(keys[0]).isNotNull())
+                         .groupBy(*keys).agg((F.count("*") + 1).cast("int").alias("_pieces")))
+    # The input partition is part of the hash, so that identical rows spread as well: any piece will do for a row.
     whole = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    cut_left = left.withColumn("_hash", whole).join(small, list(keys), "left").withColumn(
+    cut_left = left.withColumn("_hash", whole).join(pieces, list(keys), "left").withColumn(
         "_piece", F.pmod("_hash", F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces", "_hash")
-    cut_right = right.join(small, list(keys), "left").withColumn(
+    cut_right = right.join(pieces, list(keys), "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces")
     return cut_left.join(cut_right, [*keys, "_piece"]).drop("_piece")
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn",
+def _before(mark: Column, order: Sequence[str]) -> Column:
+    """Whether a mark comes before the row, or is the row; nulls come first ascending and last descending."""
+    out = F.lit(True)
+    for spec in reversed(order):
+        name = spec.removeprefix("-")
+        # Structs of one field compare nulls, as the smallest.
+        theirs, own = F.struct(mark[name].alias("x")), F.struct(F.col(name).alias("x"))
+        out = (theirs > own if spec.startswith("-") else theirs < own) | ((theirs == own) & out)
+    return out
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int, how: str) -> DataFrame:
+    """``df`` with the piece of its key that a row is in, counted in ``order``."""
+    names = [spec.removeprefix("-") for spec in order]
+    every = F.greatest(F.ceil(F.size("_all") / F.lit(MAX_CUTS)), F.lit(1))
+    # A key's list has as many rows as it has marks.
+    marks = (_marked(df, [*keys, *names], rows_per_task).groupBy(*keys)
+             .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("_all"))
+             .select(*keys, F.filter("_all", lambda _, i: F.pmod(i, every) == 0).alias("_marks")))
+    found = F.size(F.filter("_marks", lambda mark: _before(mark, order)))
+    return df.join(F.broadcast(_renamed(marks, keys)), _same(keys), how).withColumn(
+        "_piece", F.when(F.col("_marks").isNull(), F.lit(0)).otherwise(found)).select(*df.columns, "_piece")
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
                 total: str | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``row_number()`` per key in the given order, and optionally the rows of the key as ``total``.
 
-    ``order`` must identify a row within its key. Rows of heavy keys are range-partitioned by key
-    and order instead of being sent to one task: a row's number is its place in its partition plus
-    the rows of the key in earlier partitions. The ranged rows are written to the checkpoint
-    folder, because a second evaluation could cut the ranges elsewhere.
+    ``order`` are columns that identify a row within its key; a leading ``-`` turns one round. Rows are numbered within
+    the pieces of their key, which tasks share; to that come the rows of the pieces before, by sums over the
+    counts of the pieces. Keys without a mark are one piece and need no sum.
     """
-    by_key = Window.partitionBy(*keys)
-
-    def plain(rows: DataFrame) -> DataFrame:
-        out = rows.withColumn(name, F.row_number().over(by_key.orderBy(*order)).cast("bigint"))
-        return out.withColumn(total, F.count("*").over(by_key)) if total else out
-
-    hot = hot_keys(df, keys, rows_per_task)
-    if not hot:
-        return plain(df)
-
-    small = F.broadcast(_renamed(hot.frame, keys))
-    cold = plain(df.join(small, _same(keys), "left_anti"))
-    heavy = df.join(small, _same(keys), "left_semi")
-
-    ranges = max(2, -(-hot.rows // rows_per_task))
-    ranged = materialized(
-        heavy.repartitionByRange(ranges, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_range", F.shiftright("_place", 33)))
-    # One row per heavy key and range: at most heavy keys + ranges rows, so it may be broadcast.
-    parts = ranged.groupBy(*keys, "_range").agg(
-        F.min("_place").alias("_first"), F.count("*").alias("_rows"))
-    earlier = by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-             .withColumn("_total", F.sum("_rows").over(by_key)))
-    match = [*keys, "_range"]
-    joined = ranged.join(F.broadcast(_renamed(parts, match).withColumnRenamed("_rows", "_in_range")),
-                         _same(match))
-    number = (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("bigint")
-    columns = [F.col(c) for c in df.columns] + [number.alias(name)]
+    turned = [F.desc(s[1:]) if s.startswith("-") else F.asc(s) for s in order]
+    by_piece, by_key = Window.partitionBy(*keys, "_piece"), Window.partitionBy(*keys)
+    rows = _cut(df, keys, order, rows_per_task, "left").withColumn("_in_piece", F.row_number().over(by_piece.orderBy(*turned)))
+    counts = _cut(df, keys, order, rows_per_task, "inner").groupBy(*keys, "_piece").agg(F.count("*").alias("_rows"))
+    earlier = by_key.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.select(*keys, "_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+                         F.sum("_rows").over(by_key).alias("_total"))
+    match = [*keys, "_piece"]
+    if total:
+        rows = rows.withColumn("_own", F.count("*").over(by_piece))
+    # A row per piece of a key that is cut: twice the marks at most.
+    joined = rows.join(F.broadcast(_renamed(sums, match)), _same(match), "left")
+    columns = [F.col(c) for c in df.columns]
+    columns.append((F.col("_in_piece") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(name))
     if total:
-        columns.append(F.col("_total").alias(total))
-    return cold.unionByName(joined.select(*columns))
+        columns.append(F.coalesce("_total", "_own").alias(total))
+    return joined.select(*columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:

@@ -144,7 +144,7 @@ def _items(tracked: DataFrame) -> DataFrame:
 
 def track_replay(tracked: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Items of each order in the order they are replayed, the oldest first, from 1."""
-    return number_rows(_items(tracked), ORDER_KEY, [F.asc("epoch"), F.asc("offset")], "seq",
+    return number_rows(_items(tracked), ORDER_KEY, ["epoch", "offset"], "seq",
                        rows_per_task=rows_per_task).select(*ORDER_KEY, "seq", "item")
 
 
@@ -153,7 +153,7 @@ def track_list(tracked: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
 
     Kept as rows rather than an array, since one order may own any share of the points.
     """
-    listed = number_rows(_items(tracked), ORDER_KEY, [F.desc("epoch"), F.desc("offset")], "_rn", "_n",
+    listed = number_rows(_items(tracked), ORDER_KEY, ["-epoch", "-offset"], "_rn", "_n",
                          rows_per_task)
     return listed.select(*ORDER_KEY, (F.col("_rn") - 1).alias("idx"), F.col("_n").alias("length"), "item")
 

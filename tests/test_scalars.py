@@ -168,3 +168,32 @@ def test_typed_rows(spark):
     row = tracks.typed_rows(stored, [("num", "int"), ("lng", "double"), ("when_", "date"), ("bad", "bigint"),
                                      ("absent", "int")]).first()
     assert tuple(row) == (7, 104.5, "2019-09-09", None, None)
+
+
+def test_cells_have_seven_children_and_one_parent(spark):
+    """Parents by the nearest middle, over a patch of cells around the origin and far from it."""
+    import itertools
+    from fractions import Fraction
+
+    def nearest(q, r):
+        x, y = Fraction(3 * q + r, 7), Fraction(2 * r - q, 7)
+        a, b, c = round(x), round(y), round(-x - y)
+        if abs(a - x) > max(abs(b - y), abs(c + x + y)):
+            a = -b - c
+        elif abs(b - y) > abs(c + x + y):
+            b = -a - c
+        return a, b
+
+    axial = [(q + far, r - 3 * far) for q, r in itertools.product(range(-12, 13), repeat=2) for far in (0, 1_000_003)]
+    frame = spark.createDataFrame(axial, "q long, r long").select("q", "r", geo.packed(F.col("q"), F.col("r")).alias("cell"))
+    rows = frame.select("*", *[c.alias(n) for c, n in zip(geo.unpacked(F.col("cell")), ("q2", "r2"), strict=True)],
+                        *[c.alias(n) for c, n in zip(geo.unpacked(geo.cell_parent(F.col("cell"))), ("pq", "pr"), strict=True)],
+                        geo.cell_children(geo.cell_parent(F.col("cell"))).alias("siblings"),
+                        (geo.cell_parent(F.col("cell"), 3) == geo.cell_parent(geo.cell_parent(F.col("cell"), 2))).alias("steps")).collect()
+    for row in rows:
+        assert (row["q2"], row["r2"]) == (row["q"], row["r"])
+        assert (row["pq"], row["pr"]) == nearest(row["q"], row["r"])
+        assert row["cell"] in row["siblings"] and len(set(row["siblings"])) == 7 and row["steps"]
+    with pytest.raises(ValueError, match="resolution 12"):
+        geo.hex_cell(F.lit("1"), F.lit("2"), resolution=13)
+    assert abs(geo.hex_edge(10) / geo.hex_edge(12) - 7) < 1e-9

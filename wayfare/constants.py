@@ -30,6 +30,7 @@ SALT_BUCKETS = 9
 
 # Virtual stations: a hexagon edge in metres (grid resolution 12) and the fewest orders of a hot cell.
 HEX_EDGE_M = 9.4155
+HEX_RESOLUTION = 12
 METRES_PER_DEGREE = 111000.0
 MIN_CELL_ORDERS = 10
 SQUARE_EDGE_M = 100

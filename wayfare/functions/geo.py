@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wayfare.constants import HEX_EDGE_M, METRES_PER_DEGREE, SQUARE_EDGE_M
+from wayfare.constants import HEX_EDGE_M, HEX_RESOLUTION, METRES_PER_DEGREE, SQUARE_EDGE_M
 
 
 def hex_axial(lat: Column, lng: Column, edge_m: float = HEX_EDGE_M) -> tuple[Column, Column]:
@@ -26,12 +26,64 @@ def hex_axial(lat: Column, lng: Column, edge_m: float = HEX_EDGE_M) -> tuple[Col
             F.floor((rising - falling + F.lit(1)) / third))
 
 
-def hex_cell(lat: Column, lng: Column, edge_m: float = HEX_EDGE_M) -> Column:
-    """Hexagon of a point packed in one bigint, ``q * 2^32 + r``."""
-    q, r = hex_axial(lat, lng, edge_m)
+def packed(q: Column, r: Column) -> Column:
     return q * F.lit(1 << 32) + r
 
 
+def unpacked(cell: Column) -> tuple[Column, Column]:
+    """Axial (q, r) of a packed cell."""
+    r = F.pmod(cell + F.lit(1 << 31), F.lit(1 << 32)) - F.lit(1 << 31)
+    return F.shiftright(cell - r, 32), r
+
+
+# The six neighbours of the middle cell of a parent, by the number that ``q + 5r`` leaves when divided by seven, after the middle itself.
+_NEIGHBOURS = ((0, 0), (1, 0), (0, -1), (1, -1), (-1, 1), (0, 1), (-1, 0))
+
+
+def _parent(q: Column, r: Column) -> tuple[Column, Column]:
+    place = F.pmod(q + r * 5, F.lit(7)).cast("int")
+    q = q - F.get(F.array(*[F.lit(n[0]) for n in _NEIGHBOURS]), place)
+    r = r - F.get(F.array(*[F.lit(n[1]) for n in _NEIGHBOURS]), place)
+    # The middles of parents lie at Q * (2, 1) + R * (-1, 3).
+    return F.floor((q * 3 + r) / 7), F.floor((r * 2 - q) / 7)
+
+
+def cell_parent(cell: Column, steps: int = 1) -> Column:
+    """The cell ``steps`` resolutions coarser that a cell belongs to.
+
+    Seven cells, one and its neighbours, make a parent, whose edge is sqrt(7) times theirs. Every cell has one parent, so
+    counts of coarser cells are sums over finer ones.
+    """
+    if steps == 0:
+        return cell
+    # A loop over the steps: written out, each step would hold several copies of the one before.
+    q, r = unpacked(cell)
+    return F.aggregate(F.array_repeat(F.lit(0), steps), F.struct(q.alias("q"), r.alias("r")),
+                       lambda at, _: F.struct(*[c.alias(n) for c, n in zip(_parent(at["q"], at["r"]), "qr", strict=True)]),
+                       lambda at: packed(at["q"], at["r"]))
+
+
+def cell_children(cell: Column) -> Column:
+    """The seven cells of a cell, one resolution finer, the middle one first."""
+    q, r = unpacked(cell)
+    return F.array(*[packed(q * 2 - r + dq, q + r * 3 + dr) for dq, dr in _NEIGHBOURS])
+
+
+def hex_edge(resolution: int) -> float:
+    """Edge in metres at a resolution."""
+    return HEX_EDGE_M * math.sqrt(7.0) ** (HEX_RESOLUTION - resolution)
+
+
+def hex_cell(lat: Column, lng: Column, edge_m: float = HEX_EDGE_M, resolution: int = HEX_RESOLUTION) -> Column:
+    """Hexagon of a point packed in one bigint, ``q * 2^32 + r``.
+
+    ``resolution`` may be coarser than that of ``edge_m``, ``HEX_RESOLUTION``: then it is the parent so many steps up.
+    """
+    if resolution > HEX_RESOLUTION:
+        raise ValueError(f"cells are at most of resolution {HEX_RESOLUTION}; give a shorter edge instead")
+    return cell_parent(packed(*hex_axial(lat, lng, edge_m)), HEX_RESOLUTION - resolution)
+
+
 def square_cell(degrees: Column) -> Column:
     """Square-grid index of a latitude or longitude; half is rounded to even."""
     return F.bround(degrees * F.lit(111) * F.lit(1000) / F.lit(SQUARE_EDGE_M)).cast("int")

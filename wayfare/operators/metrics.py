@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.constants import GAUGES, MONITOR_TTL_S, SLOW_BATCH_FACTOR
+from wayfare.constants import GAUGES, LISTENER_TTL_S, MONITOR_TTL_S, SLOW_BATCH_FACTOR
 from wayfare.schemas import GAUGE_SNAPSHOT
 
 
@@ -58,6 +58,14 @@ def io_metrics(events: DataFrame) -> DataFrame:
             "bytes_written": "Bytes Written", "records_written": "Records Written"}))
 
 
+def block_statuses(events: DataFrame) -> DataFrame:
+    """A row for each block whose status a task changed."""
+    blocks = _task_ends(events).select(F.col("Task Info.Task ID").alias("task_id"), F.inline("Task Metrics.Updated Blocks"))
+    return blocks.select("task_id", F.col("Block ID").alias("block_id"), F.col("Status.Storage Level.Use Memory").alias("in_memory"),
+                         F.col("Status.Storage Level.Use Disk").alias("on_disk"), F.col("Status.Memory Size").alias("memory_size"),
+                         F.col("Status.Disk Size").alias("disk_size"))
+
+
 def task_info(events: DataFrame) -> DataFrame:
     finished = F.col("Task Info.Finish Time") > 0
     return _task_ends(events).select(
@@ -104,6 +112,11 @@ def retained(snapshots: DataFrame, as_of: Column, ttl_seconds: int = MONITOR_TTL
     return snapshots.where((F.col(at) > oldest) & (F.col(at) <= as_of))
 
 
+def listener_records(records: DataFrame, as_of: Column, at: str = "captured_at") -> DataFrame:
+    """Task, shuffle, I/O and task-info records not yet expired; they live for an hour, snapshots of gauges for a day."""
+    return retained(records, as_of, LISTENER_TTL_S, at)
+
+
 def batch_progress(progress: DataFrame) -> DataFrame:
     """Progress reports of a streaming query as a batch table, delays in milliseconds."""
     spent = F.col("durationMs")

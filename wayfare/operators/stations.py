@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.constants import HEX_EDGE_M, MIN_CELL_ORDERS
+from wayfare.constants import HEX_EDGE_M, HEX_RESOLUTION, MIN_CELL_ORDERS
 from wayfare.functions import geo
 from wayfare.operators.spread import ROWS_PER_TASK, join_unique
 
@@ -14,10 +14,19 @@ LEVELS = (-9, -6, -3, 0, 3, 6, 9)
 TILE_PIECES = 8
 
 
-def grid_cells(orders: DataFrame, edge_m: float = HEX_EDGE_M) -> DataFrame:
+def grid_cells(orders: DataFrame, edge_m: float = HEX_EDGE_M, resolution: int = HEX_RESOLUTION) -> DataFrame:
     """Orders with the hexagon they start in; unreadable coordinates give no cell."""
     return orders.withColumn(
-        "cell", geo.hex_cell(F.col("starting_lat"), F.col("starting_lng"), edge_m))
+        "cell", geo.hex_cell(F.col("starting_lat"), F.col("starting_lng"), edge_m, resolution))
+
+
+def cell_rollup(counts: DataFrame, resolution: int) -> DataFrame:
+    """Orders per cell of a coarser resolution from those per cell; only counts are grouped, no orders.
+
+    ``counts`` has ``cell`` and ``order_count``; ``cells`` tells how many of them a coarser cell holds.
+    """
+    return (counts.groupBy(geo.cell_parent(F.col("cell"), HEX_RESOLUTION - resolution).alias("cell"))
+            .agg(F.sum("order_count").alias("order_count"), F.count("*").alias("cells")))
 
 
 def square_cells(orders: DataFrame) -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.constants import XIAN, CHENGDU
-from wayfare.functions import keys, text, times
+from wayfare.constants import CHENGDU, HEX_RESOLUTION, XIAN
+from wayfare.functions import geo, keys, text, times
 from wayfare.operators import changes, members, metrics, orders, stations, tracks
 from wayfare.schemas import DISTRICT_DOCUMENT, GEOJSON
 from wayfare.sources import derived
 from wayfare.sources.sinks import stored_track
-from wayfare.sources.tables import order_scan, parsed_task_events, table
+from wayfare.sources.tables import order_scan, parsed_block_events, parsed_task_events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,20 @@ def _station_table(spark: SparkSession, folder: str) -> DataFrame:
                              stations.district_table(spark, DISTRICTS))
 
 
+def grid_cell_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The cell of every order at three resolutions."""
+    cell = F.col("cell")
+    return _gridded(spark, folder).select("order_id", *[
+        geo.cell_parent(cell, HEX_RESOLUTION - r).alias(f"cell_{r}") for r in (11, 9, 6)])
+
+
+def hot_cell_parents(spark: SparkSession, folder: str) -> DataFrame:
+    """Hot cells rolled up to three coarser resolutions."""
+    hot = stations.hot_cells(_gridded(spark, folder))
+    levels = [stations.cell_rollup(hot, r).withColumn("resolution", F.lit(r)) for r in (11, 9, 6)]
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 def station_districts(spark: SparkSession, folder: str) -> DataFrame:
     chosen = stations.cell_representatives(_gridded(spark, folder), stations.MIN_CELL_ORDERS)
     labelled = stations.label_districts(chosen, stations.district_table(spark, DISTRICTS))
@@ -163,9 +177,12 @@ def _task_reports(report: Callable[[DataFrame], DataFrame], *parts: str) -> Quer
     return lambda spark, folder: report(parsed_task_events(derived.task_events(spark, folder), *parts))
 
 
-def metrics_retained(spark: SparkSession, folder: str) -> DataFrame:
-    snapshots = table(spark, folder, "events").select("event_id", F.col("ts").alias("captured_at"))
-    return metrics.retained(snapshots, F.expr(f"timestamp_ntz'{RETAINED_AS_OF}'")).select("event_id")
+def _retained(kept: Callable[[DataFrame, Column], DataFrame]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        snapshots = table(spark, folder, "events").select("event_id", F.col("ts").alias("captured_at"))
+        return kept(snapshots, F.expr(f"timestamp_ntz'{RETAINED_AS_OF}'")).select("event_id")
+
+    return run
 
 
 # Keyed members.
@@ -208,6 +225,8 @@ QUERIES: dict[str, Query] = {
     "grid_cells": _gridded,
     "square_cells": lambda s, d: stations.square_cells(order_scan(derived.orders_raw(s, d))),
     "hot_cells": lambda s, d: stations.hot_cells(_gridded(s, d)),
+    "grid_cell_levels": grid_cell_levels,
+    "hot_cell_parents": hot_cell_parents,
     "hot_cell_orders": lambda s, d: stations.hot_cell_orders(_gridded(s, d)),
     "cell_representative": lambda s, d: stations.cell_representatives(_gridded(s, d)),
     "station_districts": station_districts,
@@ -268,12 +287,14 @@ QUERIES: dict[str, Query] = {
     "shuffle_metrics": _task_reports(metrics.shuffle_metrics, "Task Metrics"),
     "io_metrics": _task_reports(metrics.io_metrics, "Task Metrics"),
     "task_info": _task_reports(metrics.task_info),
+    "block_statuses": lambda s, d: metrics.block_statuses(parsed_block_events(derived.task_events(s, d))),
     "failed_tasks": _task_reports(
         metrics.failed_tasks, "Stage Attempt ID", "Task End Reason"),
     "record_total": lambda s, d: metrics.record_total(derived.order_messages(s, d)),
     "batch_throughput": lambda s, d: metrics.batch_throughput(derived.batch_reports(s, d)),
     "slow_batches": lambda s, d: metrics.slow_batches(derived.batch_delays(s, d), 1),
-    "metrics_retained": metrics_retained,
+    "metrics_retained": _retained(metrics.retained),
+    "listener_retained": _retained(metrics.listener_records),
     # Keyed members.
     "counter_increments": lambda s, d: members.counter_totals(derived.increments(s, d)),
     "set_cardinality": lambda s, d: members.cardinality(derived.set_members(s, d)),

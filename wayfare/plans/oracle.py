@@ -176,6 +176,29 @@ SELECT order_id, cast(round_even(cast(starting_lat AS double) * 111 * 1000 / 100
        cast(round_even(cast(starting_lng AS double) * 111 * 1000 / 100, 0) AS integer) AS lng_cell
 FROM orders_raw""")
 ORACLE["hot_cells"] = _with(_RAW, _GRID, select="SELECT * FROM hot")
+
+
+def _parents(source: str) -> str:
+    """CTEs ``up1`` to ``up6``: the nearest parent, by rounding its fractional cube coordinates, six steps up from ``source``."""
+    parts = ["""up0 AS (
+  SELECT *, (cell - ((cell + 2147483648) % 4294967296 + 4294967296) % 4294967296 + 2147483648) // 4294967296 AS q,
+         ((cell + 2147483648) % 4294967296 + 4294967296) % 4294967296 - 2147483648 AS r FROM """ + source + ")"]
+    for i in range(6):
+        parts.append(f"""up{i + 1} AS (
+  SELECT * EXCLUDE (pq, pr), pq AS q, pr AS r, pq * 4294967296 + pr AS cell_{11 - i} FROM (
+  SELECT * EXCLUDE (q, r, qf, rf, q0, r0, s0),
+         cast(CASE WHEN abs(q0 - qf) > abs(r0 - rf) AND abs(q0 - qf) > abs(s0 + qf + rf) THEN -r0 - s0 ELSE q0 END AS bigint) AS pq,
+         cast(CASE WHEN NOT (abs(q0 - qf) > abs(r0 - rf) AND abs(q0 - qf) > abs(s0 + qf + rf)) AND abs(r0 - rf) > abs(s0 + qf + rf)
+                   THEN -q0 - s0 ELSE r0 END AS bigint) AS pr
+  FROM (SELECT *, floor(qf + 0.5) AS q0, floor(rf + 0.5) AS r0, floor(-qf - rf + 0.5) AS s0
+        FROM (SELECT *, (3 * q + r) / 7.0::double AS qf, (2 * r - q) / 7.0::double AS rf FROM up{i}))))""")
+    return ",\n".join(parts)
+
+
+ORACLE["grid_cell_levels"] = _with(_RAW, _GRID, _parents("gridded"), select="SELECT order_id, cell_11, cell_9, cell_6 FROM up6")
+ORACLE["hot_cell_parents"] = _with(_RAW, _GRID, _parents("hot"), select=" UNION ALL ".join(f"""
+SELECT cell_{r} AS cell, cast(sum(order_count) AS bigint) AS order_count, count(*) AS cells, {r} AS resolution FROM up6 GROUP BY 1"""
+                                                                                       for r in (11, 9, 6)))
 ORACLE["hot_cell_orders"] = _with(
     _RAW, _GRID, select="SELECT gridded.*, hot.order_count FROM gridded JOIN hot USING (cell)")
 ORACLE["cell_representative"] = _with(_RAW, _GRID, _CHOSEN, select="""
@@ -498,6 +521,11 @@ ORACLE["task_info"] = _with(_TASKS, select="""
 SELECT task_id, concat('h', cast(l_suppkey AS varchar)) AS host, l_linenumber = 2 AS speculative,
        l_linenumber = 3 AS failed, l_linenumber = 5 AS killed, false AS running
 FROM tasks""")
+ORACLE["block_statuses"] = _with(_TASKS, select="""
+SELECT task_id, concat('rdd_', cast(l_orderkey % 100 AS varchar), '_', cast(i AS varchar)) AS block_id, i = 0 AS in_memory, i = 1 AS on_disk,
+       CASE i WHEN 0 THEN cast(l_quantity AS bigint) * 10 ELSE 0 END AS memory_size,
+       CASE i WHEN 1 THEN cast(l_quantity AS bigint) * 20 ELSE 0 END AS disk_size
+FROM tasks, range(2) t(i) WHERE i < l_linenumber % 3""")
 ORACLE["failed_tasks"] = _with(_TASKS, select="""
 SELECT task_id, CASE l_linenumber WHEN 3 THEN 'ExceptionFailure' ELSE 'TaskKilled' END AS reason,
        CASE l_linenumber WHEN 3 THEN concat('java.io.IOException: disk ', cast(l_orderkey AS varchar))
@@ -516,6 +544,10 @@ ORACLE["metrics_retained"] = f"""
 SELECT event_id FROM events
 WHERE ts > timestamp '{RETAINED_AS_OF}' - INTERVAL 86400 SECOND AND ts <= timestamp '{RETAINED_AS_OF}'"""
 
+ORACLE["listener_retained"] = f"""
+SELECT event_id FROM events
+WHERE ts > timestamp '{RETAINED_AS_OF}' - INTERVAL 3600 SECOND AND ts <= timestamp '{RETAINED_AS_OF}'"""
+
 # Keyed members.
 
 _SCORES = """scores AS (

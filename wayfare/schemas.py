@@ -21,8 +21,6 @@ MESSAGE = T.StructType([
 ])
 
 ORDER_STORE = strings("order_id", "city_id", "starting_lng", "starting_lat")
-STATION = strings("order_id", "city_id", "starting_lng", "starting_lat", "district_name")
-DISTRICT = strings("name", "citycode", "polygon")
 
 # The stored track, laid out by city and day.
 TRACK = (strings("rowkey", "driver_id", "order_id").add("epoch", T.LongType()).add("time", T.StringType())
@@ -88,6 +86,19 @@ TASK_EVENT = T.StructType([
         T.StructField("Output Metrics", _longs("Bytes Written", "Records Written"))])),
 ])
 
+# The part of it that tells which blocks a task stored or dropped.
+BLOCK_EVENT = T.StructType([
+    T.StructField("Event", T.StringType()),
+    T.StructField("Task Info", _longs("Task ID")),
+    T.StructField("Task Metrics", T.StructType([
+        T.StructField("Updated Blocks", T.ArrayType(T.StructType([
+            T.StructField("Block ID", T.StringType()),
+            T.StructField("Status", T.StructType([
+                T.StructField("Storage Level", T.StructType([
+                    T.StructField("Use Disk", T.BooleanType()), T.StructField("Use Memory", T.BooleanType())])),
+                *_longs("Memory Size", "Disk Size").fields]))])))])),
+])
+
 # A streaming progress report, as the query writes it.
 PROGRESS = T.StructType([
     T.StructField("id", T.StringType()),

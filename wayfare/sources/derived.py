@@ -267,6 +267,13 @@ def gauge_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         ident.alias("snapshot"), F.to_json(F.struct(F.create_map(*pairs).alias("gauges"))).alias("value"))
 
 
+def _block(name: Column, number: int, size: Column) -> Column:
+    level = F.struct(F.lit(number == 1).alias("Use Disk"), F.lit(number == 0).alias("Use Memory"))
+    status = F.struct(level.alias("Storage Level"), (size * 10 if number == 0 else F.lit(0)).cast("long").alias("Memory Size"),
+                      (size * 20 if number == 1 else F.lit(0)).cast("long").alias("Disk Size"))
+    return F.struct(name.alias("Block ID"), status.alias("Status"))
+
+
 def task_events(spark: SparkSession, folder: str) -> DataFrame:
     """An event-log line per row of ``lineitem``: mostly task ends, some failed or killed."""
     order, line = F.col("l_orderkey"), F.col("l_linenumber").cast("long")
@@ -301,7 +308,10 @@ def task_events(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("Shuffle Write Metrics"),
         F.struct(F.col("l_partkey").alias("Bytes Read"), size.alias("Records Read")).alias("Input Metrics"),
         F.struct((F.col("l_partkey") * 2).alias("Bytes Written"),
-                 (size * 2).alias("Records Written")).alias("Output Metrics"))
+                 (size * 2).alias("Records Written")).alias("Output Metrics"),
+        # As many blocks as the line's number leaves when divided by three.
+        F.slice(F.array(*[_block(F.concat(F.lit("rdd_"), _text(order % 100), F.lit(f"_{i}")), i, size) for i in range(2)]),
+                F.lit(1), (line % 3).cast("int")).alias("Updated Blocks"))
     event = F.when(line == 7, F.lit("SparkListenerTaskStart")).otherwise(F.lit("SparkListenerTaskEnd"))
     return table(spark, folder, "lineitem").select(F.to_json(F.struct(
         event.alias("Event"), (order % 100).alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.schemas import GEOJSON, ORDER_STORE, TASK_EVENT
+from wayfare.schemas import BLOCK_EVENT, GEOJSON, ORDER_STORE, TASK_EVENT
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def parsed_task_events(lines: DataFrame, *parts: str) -> DataFrame:
     return lines.select(F.inline(F.array(F.from_json("value", schema))))
 
 
+def parsed_block_events(lines: DataFrame) -> DataFrame:
+    """Event-log lines held in column ``value``, parsed to the blocks that tasks stored or dropped."""
+    return lines.select(F.inline(F.array(F.from_json("value", BLOCK_EVENT))))
+
+
 def event_log(spark: SparkSession, path: str) -> DataFrame:
     """Spark event-log lines, limited to the parts task reports use."""
     return spark.read.schema(TASK_EVENT).json(path)

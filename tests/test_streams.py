@@ -273,26 +273,56 @@ def test_word_count_lines(spark, tmp_path):
     assert found == {r["word"]: r["occurrences"] for r in whole.collect()}
 
 
-def test_progress(spark, tmp_path):
-    source, out, checkpoint, log = (str(tmp_path / n) for n in ("in", "out", "cp", "log"))
-    listener = progress.ProgressLog(spark, log)
-    for _ in deliver(derived.order_messages(spark, SF), source, 2):
+@pytest.mark.parametrize("flush_every", [1, 2, 100])
+def test_progress(spark, tmp_path, flush_every):
+    """Reports of real queries through the session's listener bus; none is lost, however few at a time are written."""
+    source, out, checkpoint, log = paths(tmp_path, "in", "out", "cp", "log")
+    for _ in deliver(derived.order_messages(spark, SF), source, 3):
         pass
-    query = jobs.start_order_totals(sources.file_messages(spark, source, max_files=1), out, checkpoint)
+    with progress.ProgressLog(spark, log, flush_every):
+        queries = [start(sources.file_messages(spark, source, max_files=1), f"{out}{i}", f"{checkpoint}{i}")
+                   for i, start in enumerate((jobs.start_order_totals, jobs.start_order_detail))]
+        for query in queries:
+            query.awaitTermination()
+    tables = [progress.recent_progress(spark, query) for query in queries]
+    stored = spark.read.parquet(log)
+    assert rows(stored) == rows(tables[0].unionByName(tables[1]))
+    assert stored.groupBy("query_id").agg(F.sum("records").alias("n")).select("n").distinct().first()[0] == 1500
+    assert stored.where("total_delay_ms < duration_ms").count() == 0
+
+
+def test_progress_tells_of_a_failed_write(spark, tmp_path):
+    source, out, checkpoint = paths(tmp_path, "in", "out", "cp")
+    for _ in deliver(derived.order_messages(spark, SF), source, 1):
+        pass
+    (tmp_path / "log").write_text("not a folder")
+    log = progress.ProgressLog(spark, str(tmp_path / "log"), 1).__enter__()
+    jobs.start_order_totals(sources.file_messages(spark, source), out, checkpoint).awaitTermination()
+    with pytest.raises(Exception, match="(?i)exist|directory|not a"):
+        log.close()
+
+
+def test_preview(spark, tmp_path, capfd):
+    source, = paths(tmp_path, "in")
+    for _ in deliver(derived.order_messages(spark, SF), source, 1):
+        pass
+    query = jobs.start_preview(sources.file_messages(spark, source), n=3)
     query.awaitTermination()
-    reports = [p for p in query.recentProgress]
-    table = progress.recent_progress(spark, query)
-    assert table.agg(F.sum("records")).first()[0] == 1500
-    assert table.where("total_delay_ms < duration_ms").count() == 0
-
-    class Event:
-        def __init__(self, report):
-            self.progress = report
-
-    for report in reports:
-        listener.onQueryProgress(Event(report))
-    listener.onQueryTerminated(None)
-    assert rows(spark.read.parquet(log)) == rows(table)
+    assert query.recentProgress[0]["sink"]["numOutputRows"] == 1500
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    source, out, checkpoint = paths(tmp_path, "in", "out", "cp")
+    parts = deliver(derived.order_messages(spark, SF), source, 2)
+    next(parts)
+    query = jobs.start_order_totals(sources.file_messages(spark, source), out, checkpoint, seconds=1)
+    try:
+        query.processAllAvailable()
+        next(parts)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(jobs.current_order_totals(spark, out)) == rows(orders.order_totals(derived.order_messages(spark, SF)))
 
 
 def test_kafka_options():

@@ -20,7 +20,8 @@ def long_text(words=30_000, seed=3):
 
 ODD = [(1, None), (2, ""), (3, "  \t\n"), (4, "one two three"), (4, "one two three"), (5, "one  two three"),
        (6, "ONE two▁three <|endoftext|> <0x41>"), (None, "no id"), (8, "x" * 5000), (9, "日本語 テキスト́ 🙂"),
-       (10, "## %% 123"), (11, "tab\tand\r\nline  feeds \x0b\x0c end")]
+       (10, "## %% 123"), (11, "tab\tand\r\nline  feeds \x0b\x0c end"),
+       (13, "zero\0byte \0 and\0\0more"), (14, "½ ② Ⅷ 12²"), (15, "b<|endoftext|>c<|startoftext|>")]
 
 
 @pytest.fixture(scope="session")

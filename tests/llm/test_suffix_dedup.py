@@ -64,11 +64,22 @@ def planted(seed=1, n=120):
 def test_planted(spark, monkeypatch, seed, many):
     monkeypatch.setattr(suffix_dedup, "MANY", many)
     monkeypatch.setattr(suffix_dedup, "SLOT", (3000, 3000))
-    monkeypatch.setattr(suffix_dedup, "SHARD", (20_000, 20_000))
+    monkeypatch.setattr(suffix_dedup, "SHARD", 20_000)
     docs = spark.createDataFrame(rows_of(planted(seed)), DOCS).repartition(5, "doc_id")
     assert check(docs) > 10_000
 
 
+@pytest.mark.parametrize("third", ["\0", "\x01", "c"])
+def test_zero_bytes_are_text(spark, monkeypatch, third):
+    """Few signs, so that copies end and begin anywhere, also at a zero byte."""
+    monkeypatch.setattr(suffix_dedup, "SHARD", 20_000)
+    draw = random.Random(2)
+    texts = ["".join(draw.choices("ab" + third, (5, 5, 1), k=draw.randint(40, 120))) for _ in range(40)]
+    rows = ["".join(draw.choice(texts)[draw.randint(0, 30):][:draw.randint(20, 120)] + draw.choice(["", third]) for _ in range(3))
+            for _ in range(120)]
+    assert check(spark.createDataFrame(rows_of(list(enumerate(rows, 1))), DOCS).repartition(4, "doc_id")) > 5000
+
+
 def test_table(docs):
     assert check(docs) > 1000
 

@@ -39,8 +39,8 @@ from wayfare.llm.near_dedup import mixed
 from wayfare.llm.suffixes import reaches, suffix_array
 
 WINDOW, GRAM = 50, 16
-# Bytes of a slot and text bytes per shard, as shares of the input within these bounds.
-SLOT, SHARD = (1 << 20, 1 << 26), (3 << 20, 1 << 28)
+# Bytes of a slot, a share of the input within these bounds; text bytes per shard, what a worker sorts at a time.
+SLOT, SHARD = (1 << 20, 1 << 26), 6 << 20
 # Blocks of a slot, or slots, above which a minimizer's windows go one by one.
 MANY = 4096
 # Text worked on at a time within a slot.
@@ -136,7 +136,7 @@ class Dedup:
         rows = texts(docs).where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("binary").alias("text"))
         total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         limit = min(SLOT[1], max(SLOT[0], total // 1000))
-        self.shards = max(1, -(-total // min(SHARD[1], max(SHARD[0], total // 200))))
+        self.shards = max(1, -(-total // SHARD))
         self.slots = self._packed(rows, limit)
 
     def _packed(self, rows: DataFrame, limit: int) -> DataFrame:
@@ -317,17 +317,15 @@ class Dedup:
             symbols = raw[:n].astype(np.uint16) + np.uint16(2)
             symbols[begin + size] = 1
             sa = suffix_array(np.append(symbols, np.uint16(0)), stop=1)[1:]
-            joined = reaches(raw, sa, WINDOW)
             windows = size - WINDOW + 1
             valid = np.zeros(n, bool)
             owner = np.zeros(n, np.int64)
             where = np.repeat(begin, windows) + _ranges(windows)
             valid[where] = True
             owner[where] = np.repeat(np.array(least, np.int64), windows)
+            # Windows alone, each inside its string: a zero byte of a text is never taken for the end of one.
             sa = sa[valid[sa]]
-            first = np.flatnonzero(~joined[sa])
-            if len(first) and first[0]:
-                first = np.concatenate(([0], first))
+            first = np.flatnonzero(~reaches(raw, sa, WINDOW)[sa])
             smallest = owner  # the owners are read before they are replaced
             if len(sa):
                 smallest[sa] = np.repeat(np.minimum.reduceat(owner[sa], first), np.diff(np.append(first, len(sa))))

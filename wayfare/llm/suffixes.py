@@ -145,19 +145,17 @@ def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
 
 
 def reaches(raw: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
-    """Per text position, whether its suffix and the one before it in ``sa`` share ``length`` bytes.
+    """Per text position, whether the suffix there is in ``sa`` and shares ``length`` bytes with the one before it in ``sa``.
 
     This is the permuted common-prefix array cut off at ``length``: it is worked out in text order, eight
-    bytes at a time, and only as long as the bytes agree. ``raw`` has ``length`` spare bytes at its end.
+    bytes at a time, and only as long as the bytes agree. ``sa`` may leave out suffixes. ``raw`` has ``length`` spare bytes at its end.
     """
-    n = len(sa)
-    before = np.empty(n, np.int64)
+    before = np.full(len(raw), -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    before[sa[0]] = -1
     words = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw), 0, (1,))
     alive = np.flatnonzero(before >= 0)
     for offset in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
         alive = alive[words[alive + offset] == words[before[alive] + offset]]
-    out = np.zeros(n, bool)
+    out = np.zeros(len(raw), bool)
     out[alive] = True
     return out

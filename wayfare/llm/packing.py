@@ -23,18 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from wayfare.llm.common import binary, stored, texts
+from wayfare.llm.common import binary, pieces_of, stored, texts
 
 LIMIT = 4096
 CLOSING = 2
-# Texts tokenized at a time, and words remembered by a worker.
-AT_ONCE, REMEMBERED = 256, 500_000
+# Bytes of text tokenized at a time, each text at the least weight, and words remembered by a worker.
+AT_ONCE, AT_LEAST, REMEMBERED = 2 << 20, 4096, 500_000
 
 
 class WordIds:
@@ -51,7 +52,7 @@ class WordIds:
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\\n]+")
     # White space to Python only; the tokenizer takes these for signs.
-    CONTROLS = re.compile("[\x1c-\x1f\x85]")
+    CONTROLS = "\x1c\x1d\x1e\x1f\x85"
     BLANK = re.compile(r"[^ \t\n\r]+")
     # The pattern and normal form of the file that the short way reproduces.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -79,19 +80,28 @@ class WordIds:
     def words(self, text: str) -> list[str]:
         if any(token in text for token in self.special):
             return [text]  # these strings have ids of their own, white space inside or not
-        if self.CONTROLS.search(text):
+        if any(control in text for control in self.CONTROLS):
             return self.BLANK.findall(text)
         return text.split()
 
+    def hinted(self, words: set[str]) -> bool:
+        """Whether any word can hold a special string, by one look at all of them."""
+        joined = "\n".join(words)
+        return any(token in joined for token in self.special)
+
     def __call__(self, many: list[str]) -> list[bytes]:
         words = [self.words(text) for text in many]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, set().union(*words)
-        plain = [w for w in new if self.PLAIN.fullmatch(w) and not w.startswith(self.special)] if self.short else []
+        # A word with a special string is one of many blanks and signs, or a whole text: it takes the long way.
+        special = {word for word in new if any(token in word for token in self.special)} if self.hinted(new) else set()
+        plain = ([], [])
+        for word in filter(self.PLAIN.fullmatch, new.difference(special)) if self.short else ():
+            plain[word.isascii()].append(word)
         for ascii_only in (True, False):  # the latter's bytes must be translated
-            self.learn([w for w in plain if w.isascii() is ascii_only], ascii_only)
-        for word in new.difference(plain):
+            self.learn(plain[ascii_only], ascii_only)
+        for word in new.difference(*plain):
             self.known[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
@@ -133,8 +143,7 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, closing: int = CLOSING)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task, seen = word_ids(path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for first in range(0, batch.num_rows, AT_ONCE):
-                part = batch.slice(first, AT_ONCE)
+            for part in pieces_of([batch], lambda b: pc.binary_length(b.column(1)).to_numpy() + AT_LEAST, AT_ONCE):
                 rows: list[tuple] = []
                 for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
                     ids += end

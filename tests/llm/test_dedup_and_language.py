@@ -51,7 +51,7 @@ def test_kept_documents(spark, odd):
     out = exact_dedup.kept_documents(odd)
     assert out.columns == odd.columns
     ids = sorted(r.doc_id for r in out.collect())
-    assert ids == [3, 5, 6, 8, 9, 10, 11, 12]
+    assert ids == [3, 5, 6, 8, 9, 10, 11, 12, 13, 14, 15]
     assert exact_dedup.kept_documents(spark.createDataFrame(rows_of([(1, "a"), (1, "a"), (1, "b")]), DOCS)).count() == 2
 
 
@@ -78,7 +78,7 @@ def test_held_out_accuracy(spark):
 
 def test_language_cases(odd, docs):
     got = {(r.doc_id, r.lang_pred == "und", 0 <= r.score <= 1) for r in langid.predict(odd, langid.learn(docs)).collect()}
-    assert {i for i, und, _ in got if und} == {1, 2, 3, 10} and all(ok for *_, ok in got)
+    assert {i for i, und, _ in got if und} == {1, 2, 3, 10, 14} and all(ok for *_, ok in got)
     nothing = langid.learn(docs.where("false"))
     assert {r.lang_pred for r in langid.predict(odd, nothing).collect()} == {"und"}
     kept = langid.identified(odd, langid.learn(docs))

@@ -16,11 +16,11 @@ or repeated ``doc_id``; columns other than ``doc_id``, ``text`` and the label ar
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,8 @@ SEGMENT = 1 << 10
 # A codeword margin (difference of the two best probabilities) below this is ambiguous.
 MARGIN = 0.2
 SMOOTHING = 2e-6
-LETTER = re.compile(r"[^\W\d_]")
+# Of the letter categories; the standard library's own classes take some numbers for letters.
+LETTER = regex.compile(r"\p{L}")
 # Bytes of lower-case letters as they are, and everything else one blank.
 _CLASS = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
 

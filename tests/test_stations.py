@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from wayfare.operators import metrics, stations
+from wayfare.operators.spread import cut_pieces
 from wayfare.plans.catalog import DISTRICTS
 from wayfare.schemas import DISTRICT_DOCUMENT
 from wayfare.sources import derived, sinks, tables
@@ -201,3 +202,25 @@ def test_hourly_counts_add_up_to_the_orders(spark):
     series = tracks.hourly_series(tracks.hourly_orders(points))
     assert series.groupBy("city_code", "day").count().where("count <> 24").count() == 0
     assert series.agg(F.sum("order_count")).first()[0] == total
+
+
+def test_one_crowded_district(spark):
+    """Most points lie in one district: its tile is cut, and districts of very unlike extents are all found."""
+    data = [(str(i), f"110.{200000 + i % 997:06d}" if i % 20 else f"{100 + i % 17}.5", f"19.{800000 + i % 991:06d}" if i % 20 else "20.25")
+            for i in range(8000)]
+    points = spark.createDataFrame(data, "order_id string, starting_lng string, starting_lat string").repartition(6)
+    districts = stations.district_table(spark, [
+        ("spot", "1", "110.19,19.79;110.21,19.79;110.21,19.81;110.19,19.81;110.19,19.79"),
+        ("land", "1", "99,10;130,10;130,30;99,30;99,10"), ("dot", "1", "110.2,19.8;110.2001,19.8;110.2001,19.8001;110.2,19.8001;110.2,19.8")])
+    want = sorted((o, d) for o, x, y in data for d, w, e, s, n in (
+        ("spot", 110.19, 110.21, 19.79, 19.81), ("land", 99, 130, 10, 30), ("dot", 110.2, 110.2001, 19.8, 19.8001))
+        if w < float(x) < e and s < float(y) < n)
+    for limit in (100, 10_000_000):
+        got = stations.label_districts(points, districts, rows_per_task=limit)
+        assert sorted((r["order_id"], r["district_name"]) for r in got.collect()) == want
+    located = points.selectExpr("*", "double(starting_lng) AS _lng", "double(starting_lat) AS _lat")
+    _, looked_up = stations.district_tiles(located, stations.district_edges(districts))
+    assert looked_up.count() == 3 * len(data)  # three sizes are in use
+    crowded = looked_up.groupBy(*stations.TILE).count().agg(F.max("count")).first()[0]
+    cut = cut_pieces(looked_up, stations.TILE, 100).groupBy(*stations.TILE, "_piece").count().agg(F.max("count")).first()[0]
+    assert crowded > 7000 and cut < crowded / 8

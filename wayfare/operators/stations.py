@@ -10,8 +10,7 @@ from wayfare.functions import geo
 from wayfare.operators.spread import ROWS_PER_TASK, join_unique
 
 # Powers of two in degrees that tiles come in; the last holds any coordinates on Earth.
-LEVELS = (-9, -6, -3, 0, 3, 6, 9)
-TILE_PIECES = 8
+LEVELS = tuple(range(-12, 10))
 
 
 def grid_cells(orders: DataFrame, edge_m: float = HEX_EDGE_M, resolution: int = HEX_RESOLUTION) -> DataFrame:
@@ -86,20 +85,26 @@ def _inside() -> Column:
             & geo.inside_ring(lng, lat, F.col("edges")))
 
 
-def label_districts(points: DataFrame, districts: DataFrame) -> DataFrame:
+def label_districts(points: DataFrame, districts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One row per point and district strictly containing it; points outside all are dropped.
 
-    Points and districts meet by tile. A district takes the least of the ``LEVELS`` of tile size (powers of two
-    in degrees) that its extent fits in, so it covers at most four tiles, and a point is looked up once per
-    level. Rows of a tile are spread over pieces. Spark picks the join by the measured size of the district tiles.
+    Points and districts meet by tile, in a quadtree of tiles. A district takes the least tile size of ``LEVELS`` that
+    its extent fits in, so it covers at most four tiles, and a point is looked up once for each size that occurs: one tile
+    for districts of like extent. Tiles crowded with points are cut into pieces, as many as their points ask for.
+    Spark picks the join by the measured size of the district tiles.
     """
     located = (points.withColumn("_lng", F.col("starting_lng").try_cast("double"))
                .withColumn("_lat", F.col("starting_lat").try_cast("double")))
-    return _match_by_tile(located, district_edges(districts)).select(
-        *points.columns, F.col("name").alias("district_name"), F.col("position").alias("district_position"))
+    tiles, looked_up = district_tiles(located, district_edges(districts))
+    matched = join_unique(looked_up, tiles, TILE, rows_per_task).where(_inside())
+    return matched.select(*points.columns, F.col("name").alias("district_name"), F.col("position").alias("district_position"))
 
 
-def _match_by_tile(located: DataFrame, edges: DataFrame) -> DataFrame:
+TILE = ("_x", "_y", "_level")
+
+
+def district_tiles(located: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Districts by the tiles they cover, and points by the tile they lie in at each size in use."""
     extent = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
     fits = F.array(*[F.when(extent <= 2.0 ** level, F.lit(level)) for level in LEVELS])
     levelled = edges.withColumn("_level", F.coalesce(F.array_min(fits), F.lit(LEVELS[-1])))
@@ -107,17 +112,13 @@ def _match_by_tile(located: DataFrame, edges: DataFrame) -> DataFrame:
     def tile(degrees: Column) -> Column:
         return F.floor(degrees / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
 
-    tiled = (levelled
-             .withColumn("_x", F.explode(F.sequence(tile(F.col("west")), tile(F.col("east")))))
-             .withColumn("_y", F.explode(F.sequence(tile(F.col("south")), tile(F.col("north")))))
-             .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(TILE_PIECES - 1)))))
-    spread = F.pmod(F.xxhash64("_lng", "_lat", "order_id"), F.lit(TILE_PIECES)).cast("int")
-    looked_up = (located
-                 .withColumn("_level", F.explode(F.array(*[F.lit(v) for v in LEVELS])))
-                 .withColumn("_x", tile(F.col("_lng"))).withColumn("_y", tile(F.col("_lat")))
-                 .withColumn("_piece", spread))
-    keys = ["_level", "_x", "_y", "_piece"]
-    return looked_up.join(tiled, keys).where(_inside())
+    tiles = (levelled.withColumn("_x", F.explode(F.sequence(tile(F.col("west")), tile(F.col("east")))))
+             .withColumn("_y", F.explode(F.sequence(tile(F.col("south")), tile(F.col("north"))))))
+    # At most as many as there are LEVELS.
+    in_use = levelled.agg(F.array_sort(F.collect_set("_level")).alias("levels")).scalar()
+    looked_up = (located.withColumn("_levels", in_use).withColumn("_level", F.explode("_levels")).drop("_levels")
+                 .withColumn("_x", tile(F.col("_lng"))).withColumn("_y", tile(F.col("_lat"))))
+    return tiles, looked_up
 
 
 def stations(orders: DataFrame, districts: DataFrame, min_orders: int = MIN_CELL_ORDERS) -> DataFrame:

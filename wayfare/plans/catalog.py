@@ -64,6 +64,12 @@ def station_districts(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("order_id", "city_id", "starting_lng", "starting_lat", "district_name")
 
 
+def supplier_districts(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers' pickups with every supplier district they lie in; districts overlap."""
+    districts = derived.supplier_polygons(spark, folder).withColumnRenamed("supplier", "position")
+    return stations.label_districts(derived.customer_points(spark, folder), districts)
+
+
 def district_rows(spark: SparkSession, folder: str) -> DataFrame:
     documents = derived.district_documents(spark, folder).withColumn(
         "document", F.from_json("document", DISTRICT_DOCUMENT))
@@ -230,6 +236,7 @@ QUERIES: dict[str, Query] = {
     "hot_cell_orders": lambda s, d: stations.hot_cell_orders(_gridded(s, d)),
     "cell_representative": lambda s, d: stations.cell_representatives(_gridded(s, d)),
     "station_districts": station_districts,
+    "supplier_districts": supplier_districts,
     "stations": _station_table,
     "station_query": lambda s, d: stations.query_stations(
         _station_table(s, d), STATION_CITY, STATION_DISTRICT),

@@ -231,6 +231,15 @@ polygons AS (
            {_degrees('west')}, ',', {_degrees('south')}) END AS polygon
   FROM corners)"""
 
+# The districts are rectangles, whose borders do not count as inside.
+ORACLE["supplier_districts"] = _with(_POLYGONS, f"""spots AS (
+  SELECT cast(c_custkey AS varchar) AS order_id,
+         110000000 + (CASE WHEN c_custkey % 10 = 0 THEN 25 ELSE c_custkey END) * 7919 % 600 * 1000 AS px,
+         19000000 + (CASE WHEN c_custkey % 10 = 0 THEN 25 ELSE c_custkey END) * 104729 % 460 * 1000 AS py
+  FROM customer)""", select=f"""
+SELECT order_id, {_degrees('px')} AS starting_lng, {_degrees('py')} AS starting_lat,
+       concat('d', cast(s_suppkey AS varchar)) AS district_name, s_suppkey AS district_position
+FROM spots, corners WHERE s_suppkey % 7 <> 0 AND px > west AND px < east AND py > south AND py < north""")
 ORACLE["polygon_rings"] = _with(_POLYGONS, select="""
 SELECT name, concat('POLYGON((', replace(replace(polygon, ',', ' '), ';', ','), '))') AS wkt, cast(i AS integer) AS seq,
        cast(string_split(string_split(polygon, ';')[i + 1], ',')[1] AS double) AS lng,

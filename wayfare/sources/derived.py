@@ -220,6 +220,15 @@ def supplier_polygons(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 7 != 0, ring).otherwise(F.lit("")).alias("polygon"))
 
 
+def customer_points(spark: SparkSession, folder: str) -> DataFrame:
+    """A pickup per customer in the part of the world where the suppliers' districts are; a tenth share one spot, some lie on borders."""
+    key = F.col("c_custkey")
+    spread = F.when(key % 10 == 0, F.lit(25)).otherwise(key)
+    return table(spark, folder, "customer").select(
+        _text(key).alias("order_id"), _degrees(110000000 + spread * 7919 % 600 * 1000).alias("starting_lng"),
+        _degrees(19000000 + spread * 104729 % 460 * 1000).alias("starting_lat"))
+
+
 def district_documents(spark: SparkSession, folder: str) -> DataFrame:
     """A city document per supplier listing four districts; the city code wanted comes with it."""
     p = supplier_polygons(spark, folder)

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from wayfare.operators import metrics, stations
+from wayfare.operators import metrics, stations, tracks
 from wayfare.operators.spread import cut_pieces
 from wayfare.plans.catalog import DISTRICTS
 from wayfare.schemas import DISTRICT_DOCUMENT
@@ -224,3 +224,43 @@ def test_one_crowded_district(spark):
     crowded = looked_up.groupBy(*stations.TILE).count().agg(F.max("count")).first()[0]
     cut = cut_pieces(looked_up, stations.TILE, 100).groupBy(*stations.TILE, "_piece").count().agg(F.max("count")).first()[0]
     assert crowded > 7000 and cut < crowded / 8
+
+
+def scans(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan, [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_ranges_of_a_stored_track(spark, tmp_path):
+    """Joins by order shuffle no stored rows; one order reads one bucket; days out of reach are not read."""
+    points = tracks.gps_points(derived.gps_messages(spark, "/root/testdata/sf0.001"))
+    sinks.save_track_table(points, "stored_track", 8, str(tmp_path / "track"))
+    try:
+        track = spark.table("stored_track")
+        assert track.count() == points.count()
+        spans = tracks.order_spans(points).selectExpr("order_id", "start_epoch AS from_epoch", "end_epoch AS to_epoch")
+        columns = ["rowkey", "order_id", "epoch", "offset"]
+        want = sorted(map(tuple, tracks.track_ranges(points, spans).select(*columns).collect()))
+        # Requests too many to be sent around, which come in from elsewhere.
+        spans.write.parquet(str(tmp_path / "spans"))
+        requests = spark.read.parquet(str(tmp_path / "spans"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        frame = tracks.stored_ranges(track, requests).select(*columns)
+        plan, _ = scans(frame)
+        assert sorted(map(tuple, frame.collect())) == want
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        stored = plan[:plan.index("Bucketed: true")].rsplit("SortMergeJoin", 1)[-1]
+        assert "Exchange" not in stored, plan
+        order = points.select("order_id").first()[0]
+        # The plan names the buckets only where it reads a partition for each; files of others are left out either way.
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+        one, _ = scans(tracks.track_range(track, order, 0, 2**40))
+        assert "SelectedBucketsCount: 1 out of 8" in one and "PartitionFilters: [isnotnull(day" in one, one[-900:]
+        late = requests.groupBy().agg(F.max("to_epoch")).first()[0]
+        few = tracks.stored_ranges(track, requests.where(F.col("from_epoch") > late - 86400)).select(*columns)
+        assert sorted(map(tuple, few.collect())) == sorted(
+            map(tuple, tracks.track_ranges(points, spans.where(F.col("from_epoch") > late - 86400)).select(*columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        spark.sql("DROP TABLE IF EXISTS stored_track")

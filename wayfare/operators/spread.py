@@ -35,30 +35,33 @@ def _marked(df: DataFrame, columns: Sequence[str], rows_per_task: int) -> DataFr
     return df.where(F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(rows_per_task)) == 0)
 
 
-def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK,
+                identity: Sequence[str] | None = None) -> DataFrame:
     """Join rows of ``left`` to the one row ``right`` has per key, or the few.
 
     A heavy key of ``left`` is cut into pieces and its rows of ``right`` copied to each, so no
     task receives the whole key; all other rows join as usual. Adaptive skew handling alone would
     not do: it needs a shuffle on both sides, and an aggregated ``right`` brings none of its own.
-    Many equal rows are marked together or not at all, and stay in one piece if they are not.
+    ``identity`` are columns that tell rows apart, all if not given; marks are looked for by these alone, so that no others are
+    read for them. Many equal rows are marked together or not at all, and stay in one piece if they are not.
     """
-    cut_right = right.join(_pieces(left, keys, rows_per_task), list(keys), "left").withColumn(
+    cut_right = right.join(_pieces(left, keys, rows_per_task, identity), list(keys), "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces")
-    return cut_pieces(left, keys, rows_per_task).join(cut_right, [*keys, "_piece"]).drop("_piece")
+    return cut_pieces(left, keys, rows_per_task, identity).join(cut_right, [*keys, "_piece"]).drop("_piece")
 
 
-def _pieces(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+def _pieces(df: DataFrame, keys: Sequence[str], rows_per_task: int, identity: Sequence[str] | None = None) -> DataFrame:
     """How many pieces a key is cut into, where it is cut."""
-    marks = _marked(df, df.columns, rows_per_task).where(F.col(keys[0]).isNotNull())
+    marks = _marked(df, identity or df.columns, rows_per_task).where(F.col(keys[0]).isNotNull())
     return F.broadcast(marks.groupBy(*keys).agg((F.count("*") + 1).cast("int").alias("_pieces")))
 
 
-def cut_pieces(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def cut_pieces(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK,
+               identity: Sequence[str] | None = None) -> DataFrame:
     """``df`` with a piece of its key for each row."""
     # The input partition is part of the hash, so that identical rows spread as well: any piece will do for a row.
-    whole = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    return df.withColumn("_hash", whole).join(_pieces(df, keys, rows_per_task), list(keys), "left").withColumn(
+    whole = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in identity or df.columns])
+    return df.withColumn("_hash", whole).join(_pieces(df, keys, rows_per_task, identity), list(keys), "left").withColumn(
         "_piece", F.pmod("_hash", F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces", "_hash")
 
 

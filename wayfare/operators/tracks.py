@@ -185,7 +185,7 @@ def track_range(points: DataFrame, order: str, start: int, end: int) -> DataFram
     On a table partitioned by day only the days of the range are read.
     """
     if "day" in points.columns:
-        days = [times.day_of(times.epoch_to_text(F.lit(moment))) for moment in (start, end)]
+        days = [_day_of(F.lit(moment)) for moment in (start, end)]
         points = points.where(F.col("day").between(*days))
     return (points.where((F.col("order_id") == order) & (F.col("epoch") >= start)
                          & (F.col("epoch") < end)).orderBy("epoch", "offset"))
@@ -193,9 +193,30 @@ def track_range(points: DataFrame, order: str, start: int, end: int) -> DataFram
 
 def track_ranges(points: DataFrame, requests: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """:func:`track_range` for a table of requests (order_id, from_epoch, to_epoch), one per order."""
-    joined = join_unique(points, requests, ["order_id"], rows_per_task)
-    return joined.where((F.col("epoch") >= F.col("from_epoch")) & (F.col("epoch") < F.col("to_epoch"))
-                        ).select(*points.columns)
+    joined = join_unique(points, requests, ["order_id"], rows_per_task, ["order_id", "epoch", "offset"])
+    return _within(joined).select(*points.columns)
+
+
+def _within(joined: DataFrame) -> DataFrame:
+    return joined.where((F.col("epoch") >= F.col("from_epoch")) & (F.col("epoch") < F.col("to_epoch")))
+
+
+def stored_ranges(track: DataFrame, requests: DataFrame) -> DataFrame:
+    """:func:`track_ranges` on a track table stored in buckets of orders, for any number of requests per order.
+
+    Only the requests are shuffled, into the buckets; a bucket's points stream past its requests, so that a long order
+    needs no memory, and where the requests are few Spark sends them to the points instead. The days that the requests reach over
+    bound the days that are read.
+    """
+    bounds = requests.agg(F.min("from_epoch").alias("low"), F.max("to_epoch").alias("high"))
+    if "day" in track.columns:
+        first, last = (bounds.select(_day_of(F.col(side))).scalar() for side in ("low", "high"))
+        track = track.where((F.col("day") >= first) & (F.col("day") <= last))
+    return _within(track.join(requests, "order_id")).select(*track.columns)
+
+
+def _day_of(epoch: Column) -> Column:
+    return times.day_of(times.epoch_to_text(epoch))
 
 
 def order_history(points: DataFrame, spans: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -34,6 +34,18 @@ def write_tracks(points: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("city_code", "day").parquet(path))
 
 
+def save_track_table(points: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Append track points to a catalog table by day, each day in buckets of orders, sorted by order and time.
+
+    A bucket is one file a day, so a query for one order opens one file of each day asked for, and joins by
+    order do not shuffle the table. Choose ``buckets`` for the largest day at a file of a few hundred MB.
+    """
+    timed = points.withColumn("day", day_of(F.col("time")))
+    writer = (timed.repartition(buckets, "order_id").sortWithinPartitions("day", "order_id", "epoch", "offset")
+              .write.mode("append").partitionBy("day").bucketBy(buckets, "order_id").sortBy("order_id", "epoch"))
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def read_tracks(spark: SparkSession, path: str) -> DataFrame:
     """The track table; city and day stay text."""
     return spark.read.schema(TRACK).parquet(path)

@@ -7,12 +7,12 @@ the child of its own token there, so a pair of similarity s survives each select
 With two branches a pair at 0.85 is missed by a tree with a probability below 0.03 at any depth,
 and by all ``TREES`` trees below 1e-8 (at 0.8: below 0.0625 and 1e-7).
 
-Nodes of at most ``SMALL`` sets compare all their pairs. Larger nodes are never compared in full: their sets
-are compared with two pivots, the sets of the least and the greatest component, and the
-components found so far decide what is left. A node of one component is done; the others branch on. What still
-stays together at ``DEPTH`` is compared exhaustively, in slices. Compared pairs must first agree in enough minwise
-values, by a sketch of one byte each, to be able to reach the threshold (six standard deviations below it),
-and are then confirmed on their full sets.
+Nodes of at most ``SMALL`` sets are compared exhaustively where they are, and write no pairs: sketches of one byte
+a minwise value tell which pairs can reach the threshold (six standard deviations below it), and the sets that such pairs
+hang together make a *cluster*, the same in most nodes that its sets share. A cluster's full sets are brought together
+once and compared exactly; of the links found, only those that join components come out. Larger nodes compare their sets with
+two pivots, the sets of the least and the greatest component, and branch on. A node or cluster of one component is done. What
+still stays together at ``DEPTH`` is compared exhaustively in blocks, and so are clusters of more shingles than a task should hold.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer
 words is one shingle; rows with a null ``doc_id`` take no part; rows repeated under one id are one document
@@ -37,9 +37,12 @@ from wayfare.llm.numbering import numbered
 WORDS = 5
 POSITIONS = 64
 TREES, BRANCHES = 6, 2
-SMALL, DEPTH = 96, 8
-# Bytes of sets that one group of compared pairs may bring together.
+SMALL, DEPTH = 2048, 8
+# Shingles that a group of compared sets may bring together, one for each side; ids that may be sent to all executors.
 SLICE_SHINGLES = 500_000
+SENT_IDS = 1_000_000
+# Nodes up to this size are compared many at a time; pairs of sketches compared at a time.
+FEW, AT_ONCE = 48, 1 << 18
 KNOWN = 300_000
 _DRAW = np.random.default_rng(6)
 _ODD = _DRAW.integers(0, 1 << 63, WORDS, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -97,7 +100,7 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8).view(np.int64)
 
 
-def agreeing(a: str, b: str) -> Column:
+def agreeing(a: Column, b: Column) -> Column:
     """In how many bytes two sketches agree: each byte that differs is folded into its lowest bit, and these are counted."""
     differing = F.lit(0)
     for i in range(POSITIONS // 8):
@@ -108,6 +111,134 @@ def agreeing(a: str, b: str) -> Column:
     return F.lit(POSITIONS) - differing
 
 
+def least_agreeing(percent: int) -> int:
+    """Agreeing minwise values below which a pair cannot reach the threshold, but for six standard deviations."""
+    s = percent / 100
+    return max(1, int(POSITIONS * s - 6 * (POSITIONS * s * (1 - s)) ** 0.5))
+
+
+def hanging(linked: np.ndarray) -> np.ndarray:
+    """Labels of the connected parts of a symmetric matrix of booleans."""
+    label = np.full(len(linked), -1)
+    for start in range(len(linked)):
+        if label[start] >= 0:
+            continue
+        label[start] = start
+        front = np.array([start])
+        while len(front):
+            front = np.flatnonzero(linked[front].any(0) & (label < 0))
+            label[front] = start
+    return label
+
+
+def _ranges(counts: np.ndarray) -> np.ndarray:
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) - np.repeat(total - counts, counts)
+
+
+def screened_clusters(node: np.ndarray, ids: np.ndarray, component: np.ndarray, size: np.ndarray, sketches: np.ndarray,
+                      percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """``cluster, id`` of the sets of whole nodes that pairs in reach of the threshold hang together, across components.
+
+    Rows come by node; ``sketches`` are bytes. A cluster is called by its least id.
+    """
+    least = least_agreeing(percent)
+
+    def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+        fits = 100 * low >= percent * high
+        fits[fits] = (sketches[a[fits]] == sketches[b[fits]]).sum(1) >= least
+        return fits
+
+    top = np.arange(len(ids))
+
+    def root(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    first = np.flatnonzero(np.diff(node, prepend=node[0] - 1 if len(node) else 0))
+    n = np.diff(first, append=len(node))
+    few = np.flatnonzero((n > 1) & (n <= FEW))
+    # Pairs of all small nodes, some nodes at a time: each row with those after it in its node.
+    for part in np.array_split(few, max(1, int((n[few] ** 2).sum() // AT_ONCE))):
+        rows = np.repeat(first[part], n[part]) + _ranges(n[part])
+        after = np.repeat(first[part] + n[part], n[part]) - rows - 1
+        a = np.repeat(rows, after)
+        b = a + 1 + _ranges(after)
+        a, b = (x[component[a] != component[b]] for x in (a, b)) if len(a) else (a, b)
+        keep = reach(a, b)
+        for i, j in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
+            i, j = root(i), root(j)
+            top[max(i, j)] = min(i, j)
+    for start, count in zip(first[n > FEW].tolist(), n[n > FEW].tolist(), strict=True):
+        order = start + np.argsort(size[start:start + count], kind="stable")
+        linked = np.zeros((count, count), bool)
+        for i in range(count - 1):
+            # By size, partners in reach are a run.
+            stop = np.searchsorted(size[order], 100 * size[order[i]] / percent, "right")
+            linked[i, i + 1:stop] = ((sketches[order[i + 1:stop]] == sketches[order[i]]).sum(1) >= least) & (
+                component[order[i + 1:stop]] != component[order[i]])
+        label = hanging(linked | linked.T)
+        top[order] = order[label]
+    top = np.array([root(i) for i in range(len(top))], np.int64)
+    low, high = component.copy(), component.copy()
+    np.minimum.at(low, top, component)
+    np.maximum.at(high, top, component)
+    out = np.flatnonzero(low[top] < high[top])
+    name = ids.copy()
+    np.minimum.at(name, top, ids)
+    return name[top[out]], ids[out]
+
+
+def exact_links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of pairs of sets at the threshold or above that join the components, and no others."""
+    n, size = len(sets), np.array([len(s) for s in sets])
+    values, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
+    order = np.argsort(values, kind="stable")
+    new = np.flatnonzero(np.diff(values[order], prepend=values[order[0]] - 1 if len(values) else 0))
+    held = np.diff(new, append=len(values))
+    number = np.empty(len(values), np.int64)
+    number[order] = np.repeat(np.arange(len(new)), held)
+    owners, at = owner[order], np.cumsum(size) - size
+    component, out = component.copy(), []
+    for i in range(n - 1):
+        if component.min() == component.max():
+            break
+        own = number[at[i]:at[i] + size[i]]
+        common = np.bincount(owners[np.repeat(new[own], held[own]) + _ranges(held[own])], minlength=n)
+        found = np.flatnonzero((100 * common >= percent * (size[i] + size - common)) & (component != component[i]))
+        for other in np.unique(component[found]):
+            out.append((i, int(found[component[found] == other][0])))
+        component[np.isin(component, component[found])] = component[i]
+    return out
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted rows again in pieces that hold whole runs of equal keys."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        changed = np.zeros(batch.num_rows, bool)
+        for key in keys:
+            own = batch.column(key).to_numpy()
+            changed[1:] |= own[1:] != own[:-1]
+            changed[0] |= not kept or kept[-1].column(key)[-1].as_py() != own[0]
+        starts = np.flatnonzero(changed)
+        if kept and not len(starts):
+            kept.append(batch)
+            continue
+        # Up to the last run, which may go on.
+        if starts[-1] or kept:
+            whole = [*kept, batch.slice(0, int(starts[-1]))]
+            yield pa.Table.from_batches(whole).combine_chunks()
+        kept = [batch.slice(int(starts[-1]))]
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_hash binary, minwise array<int>, sketch array<long>`` of every document with an id."""
 
@@ -176,42 +307,40 @@ class Join:
         self.compared = self.sets.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
         self.shingles: DataFrame | None = None
 
-    def could_reach(self, a: str, b: str) -> Column:
-        """Whether the minwise values and sizes of ``a`` and ``b`` leave the threshold in reach."""
-        s = self.percent / 100
-        least = max(1, int(POSITIONS * s - 6 * (POSITIONS * s * (1 - s)) ** 0.5))
-        low, high = F.least(f"{a}_size", f"{b}_size"), F.greatest(f"{a}_size", f"{b}_size")
-        return (100 * low >= self.percent * high) & (agreeing(f"{a}_sketch", f"{b}_sketch") >= least)
-
-    def screened(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs ``a < b`` not compared before whose minwise values agree enough, with their sizes."""
-        new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct().join(
-            self.compared, ["a", "b"], "left_anti")
-
-        def side(name: str) -> DataFrame:
-            return self.sets.select(F.col("id").alias(name), F.col("size").alias(f"{name}_size"),
-                                    F.col("sketch").alias(f"{name}_sketch"))
-
-        return stored(new.join(side("a"), "a").join(side("b"), "b").where(self.could_reach("a", "b")).select(
-            "a", "b", "a_size", "b_size"), "candidates")
+    def could_reach(self, a: Column, b: Column) -> Column:
+        """Whether the sketches and sizes of two structs leave the threshold in reach."""
+        low, high = F.least(a["size"], b["size"]), F.greatest(a["size"], b["size"])
+        return (100 * low >= self.percent * high) & (agreeing(a["sketch"], b["sketch"]) >= least_agreeing(self.percent))
 
-    def fetch(self, pairs: DataFrame) -> None:
-        """Work out the full sets of the documents in ``pairs`` that are not there yet."""
-        need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def fetch(self, ids: DataFrame) -> None:
+        """Work out the full sets of those ``ids`` that are not there yet."""
+        need = ids.select("id").distinct()
         if self.shingles is not None:
             need = need.join(self.shingles.select("id"), "id", "left_anti")
-            if need.isEmpty():
-                return
-        need = need.join(self.sets.select("id", "set_hash"), "id")
-        chosen = texts(self.docs).join(need.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "set_hash")
+        need = stored(need.join(self.sets.select("id", "set_hash"), "id").withColumnRenamed("id", "doc_id"), "wanted")
+        wanted = need.count()
+        if not wanted:
+            return
+        # Where they are few, the texts stay in place.
+        chosen = texts(self.docs).join(F.broadcast(need) if wanted <= SENT_IDS else need, "doc_id").select("doc_id", "text", "set_hash")
         found = stored(full_sets(chosen).dropDuplicates(["id"]), "full-sets")
         self.shingles = found if self.shingles is None else self.shingles.unionByName(found)
 
+    def merge(self, links: DataFrame) -> None:
+        """Merge the components that links (``a, b``) join."""
+        if links.isEmpty():
+            return
+        # The components joined by the new links are the vertices, so that older links need not be gone over again.
+        ends = [self.label.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
+        found = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        self.label = stored(self.label.join(found.select(F.col("id").alias("component"), F.col("component").alias("to")), "component",
+                                            "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
+
     def confirm(self, pairs: DataFrame) -> None:
-        """Keep the pairs whose full sets reach the threshold, and merge the components they link."""
+        """Compare the full sets of pairs (``a, b, a_size, b_size``), few for each set, and merge what they link."""
         if pairs.isEmpty():
             return
-        self.fetch(pairs)
+        self.fetch(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
         # A pivot may have very many partners: its pairs are cut into slices and its set goes to each.
         load = pairs.groupBy("a").agg((F.sum("b_size") / SLICE_SHINGLES).cast("int").alias("last"))
         pivots = load.join(self.shingles.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a").select(
@@ -221,55 +350,89 @@ class Join:
         both = sliced.join(self.shingles.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b").join(
             pivots, ["a", "slice"])
         common = F.size(F.array_intersect("a_shingles", "b_shingles"))
-        links = stored(both.withColumn("common", common).where(
-            100 * F.col("common") >= self.percent * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b"), "links")
         self.compared = self.compared.unionByName(pairs.select("a", "b"))
-        if links.isEmpty():
+        self.merge(stored(both.withColumn("common", common).where(
+            100 * F.col("common") >= self.percent * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b"), "links"))
+
+    def stars(self, large: DataFrame) -> DataFrame:
+        """Pairs of the sets of large nodes with their node's two pivots that are in reach, each once."""
+        own = F.struct("id", "size", "sketch", "component")
+        pivots = large.groupBy("node").agg(F.min_by(own, F.struct("component", "id")).alias("low"),
+                                           F.max_by(own, F.struct("component", "id")).alias("high"))
+        both = large.select("node", own.alias("own")).join(pivots, "node")
+        sides = [both.where((F.col("own.component") != F.col(f"{p}.component")) & self.could_reach(F.col("own"), F.col(p))).select(
+            F.col(f"{p}.id").alias("a"), F.col("own.id").alias("b"), F.col(f"{p}.size").alias("a_size"), F.col("own.size").alias("b_size"))
+            for p in ("low", "high")]
+        # The pivot stays on its side, so that its many partners are sliced; a pair of pivots may come twice.
+        return stored(sides[0].unionByName(sides[1]).distinct().join(self.compared, ["a", "b"], "left_anti"), "candidates")
+
+    def clusters(self, rows: DataFrame) -> DataFrame:
+        """``cluster, id`` of the sets that must be compared, from rows of nodes; nodes beyond ``SMALL`` go in pairs of blocks."""
+        last = F.ceil(F.col("n") / SMALL).cast("int") - 1
+        dealt = rows.withColumn("last", last).withColumn("p", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")).withColumn(
+            "q", F.explode(F.sequence(F.lit(0), "last")))
+        dealt = dealt.select("node", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "id", "component", "size", "sketch")
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in whole_runs(batches, ["node", "i", "j"]):
+                node, i, j, ids, component, size = (part.column(c).to_numpy() for c in ("node", "i", "j", "id", "component", "size"))
+                change = np.zeros(len(node), bool)
+                for key in (node, i, j):
+                    change[1:] |= key[1:] != key[:-1]
+                sketches = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint8).reshape(-1, POSITIONS)
+                name, own = screened_clusters(np.cumsum(change), ids, component, size, sketches, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(own)], ["cluster", "id"])
+
+        keys = ["node", "i", "j"]
+        return stored(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "cluster long, id long").distinct(), "clusters")
+
+    def settle(self, clusters: DataFrame) -> None:
+        """Compare the full sets of each cluster and merge what they link; clusters of many shingles go in pairs of blocks."""
+        if clusters.isEmpty():
             return
-        # The components joined by the new links are the vertices, so that older links need not be gone over again.
-        ends = [self.label.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
-        found = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        self.label = stored(self.label.join(found.select(F.col("id").alias("component"), F.col("component").alias("to")), "component",
-                                            "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
+        self.fetch(clusters)
+        sized = clusters.join(self.sets.select("id", "size"), "id")
+        load = sized.groupBy("cluster").agg((F.sum("size") / SLICE_SHINGLES).cast("int").alias("last"))
+        dealt = sized.join(load, "cluster").withColumn("p", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")).withColumn(
+            "q", F.explode(F.sequence(F.lit(0), "last"))).select("cluster", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "id")
+        percent, keys = self.percent, ["cluster", "i", "j"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in whole_runs(batches, keys):
+                change = np.zeros(part.num_rows, bool)
+                for key in keys:
+                    own = part.column(key).to_numpy()
+                    change[1:] |= own[1:] != own[:-1]
+                change[0] = True
+                first = np.flatnonzero(change)
+                lists = part.column("shingles").combine_chunks()
+                ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+                ids, component = part.column("id").to_numpy(), part.column("component").to_numpy()
+                links = [(ids[start + a], ids[start + b]) for start, stop in zip(first.tolist(), [*first[1:].tolist(), part.num_rows], strict=True)
+                         for a, b in exact_links([flat[ends[k]:ends[k + 1]] for k in range(start, stop)], component[start:stop], percent)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        rows = dealt.join(self.label, "id").join(self.shingles, "id")
+        self.merge(stored(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"), "links"))
 
     def run(self) -> None:
-        root = F.lit(0).cast("long")
-        level = self.sets.select("id", children(root, F.col("minwise"), True).alias("node"))
-        level = stored(level, "level")
+        level = stored(self.sets.select("id", children(F.lit(0).cast("long"), F.col("minwise"), True).alias("node")), "level")
         for depth in range(1, DEPTH + 1):
-            if depth == 1:
-                # Everything is its own component yet: the first set of each node is its pivot.
-                firsts = level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1")
-                self.confirm(self.screened(level.join(firsts, "node").select("a", F.col("id").alias("b"))))
-            labelled = level.join(self.label, "id")
-            mixed_ = stored(labelled.groupBy("node").agg(
-                F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-                F.min_by("id", "component").alias("low_id"), F.max_by("id", "component").alias("high_id")).where("low < high"), "mixed-nodes")
-            if mixed_.isEmpty():
-                return
-            rows = stored(labelled.select("node", "id", "component").join(mixed_, "node"), "mixed-rows")
-            small = rows.where((F.col("n") <= SMALL) | F.lit(depth == DEPTH))
-            pairs = self.all_pairs(small)
+            labelled = level.join(self.label, "id") if depth > 1 else level.withColumn("component", F.col("id"))
+            mixed_ = labelled.groupBy("node").agg(F.count("*").alias("n"), F.min("component").alias("low"),
+                                                  F.max("component").alias("high")).where("low < high").select("node", "n")
+            rows = stored(labelled.select("node", "id", "component").join(mixed_, "node").join(
+                self.sets.select("id", "size", "sketch"), "id"), "mixed-rows")
             large = rows.where((F.col("n") > SMALL) & F.lit(depth < DEPTH))
-            stars = large.select("component", "id", F.explode(F.array(
-                F.struct(F.col("low").alias("c"), F.col("low_id").alias("i")),
-                F.struct(F.col("high").alias("c"), F.col("high_id").alias("i")))).alias("p")).where(
-                    "component <> p.c").select(F.col("p.i").alias("a"), F.col("id").alias("b"))
-            self.confirm(self.screened(pairs.unionByName(stars)))
+            some = not large.isEmpty()
+            if some:
+                self.confirm(self.stars(large))
+            self.settle(self.clusters(rows.where((F.col("n") <= SMALL) | F.lit(depth == DEPTH))))
+            if not some:
+                return
             level = stored(large.select("node", "id").join(self.sets.select("id", "minwise"), "id").select(
                 "id", children(F.col("node"), F.col("minwise"), False).alias("node")).distinct(), "level")
-            if level.isEmpty():
-                return
-
-    @staticmethod
-    def all_pairs(rows: DataFrame) -> DataFrame:
-        """Pairs of different components in nodes: small ones in one piece, others in slices of ``SMALL`` sets."""
-        pieces = F.ceil(F.col("n") / SMALL).cast("int")
-        own = rows.withColumn("piece", F.pmod(F.xxhash64("id"), pieces).cast("int"))
-        left = own.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("piece").alias("left"),
-                          F.explode(F.sequence(F.lit(0), pieces - 1)).alias("right"))
-        right = own.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("piece").alias("right"))
-        return left.join(right, ["node", "right"]).where("a < b AND ca <> cb").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

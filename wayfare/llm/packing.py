@@ -34,8 +34,8 @@ from wayfare.llm.common import binary, pieces_of, stored, texts
 
 LIMIT = 4096
 CLOSING = 2
-# Bytes of text tokenized at a time, each text at the least weight, and words remembered by a worker.
-AT_ONCE, AT_LEAST, REMEMBERED = 2 << 20, 4096, 500_000
+# Bytes of text tokenized at a time, each text at the least weight, and words that a worker remembers before it parts with older ones.
+AT_ONCE, AT_LEAST, REMEMBERED = 2 << 20, 4096, 300_000
 
 
 class WordIds:
@@ -60,7 +60,7 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole, self.known = Tokenizer.from_file(path), {}
+        self.whole, self.known, self.before = Tokenizer.from_file(path), {}, {}
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         self.special = tuple(token["content"] for token in parts["added_tokens"])
@@ -93,17 +93,29 @@ class WordIds:
         words = [self.words(text) for text in many]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, set().union(*words)
+            # Words met since the last time stay within reach, so that common ones are not learned again.
+            self.known, self.before = {}, self.known
+            new = set().union(*words)
+        if self.before:
+            again = self.before.keys() & new
+            self.known.update((word, self.before[word]) for word in again)
+            new -= again
+        self.learn_all(new)
+        return [b"".join(map(self.known.__getitem__, own)) for own in words]
+
+    def learn_all(self, new: set[str]) -> None:
         # A word with a special string is one of many blanks and signs, or a whole text: it takes the long way.
-        special = {word for word in new if any(token in word for token in self.special)} if self.hinted(new) else set()
-        plain = ([], [])
-        for word in filter(self.PLAIN.fullmatch, new.difference(special)) if self.short else ():
-            plain[word.isascii()].append(word)
+        special = {word for word in new if any(token in word for token in self.special)} if self.hinted(new) else ()
+        plain, other = ([], []), []
+        for word in new:
+            if self.short and word not in special and self.PLAIN.fullmatch(word):
+                plain[word.isascii()].append(word)
+            else:
+                other.append(word)
         for ascii_only in (True, False):  # the latter's bytes must be translated
             self.learn(plain[ascii_only], ascii_only)
-        for word in new.difference(*plain):
+        for word in other:
             self.known[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
     def learn(self, plain: list[str], ascii_only: bool) -> None:
         for first in range(0, len(plain), 8192):

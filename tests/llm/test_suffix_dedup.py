@@ -84,7 +84,9 @@ def test_table(docs):
     assert check(docs) > 1000
 
 
-def test_odd(spark, odd, none):
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_odd(spark, monkeypatch, odd, none, sent):
+    monkeypatch.setattr(suffix_dedup, "SENT_IDS", sent)
     check(odd)
     assert suffix_dedup.remove_repeats(none).count() == 0
     assert suffix_dedup.cleaned_documents(none).count() == 0

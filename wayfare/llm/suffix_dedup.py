@@ -43,6 +43,8 @@ WINDOW, GRAM = 50, 16
 SLOT, SHARD = (1 << 20, 1 << 26), 6 << 20
 # Blocks of a slot, or slots, above which a minimizer's windows go one by one.
 MANY = 4096
+# Documents to be cut whose ids may be sent to all executors, 40 bytes each.
+SENT_IDS = 500_000
 # Text worked on at a time within a slot.
 STRETCH = 1 << 21
 _DRAW = np.random.default_rng(7)
@@ -408,7 +410,13 @@ def cleaned_documents(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("id"), "kept", "text_md5").dropDuplicates(["id", "text_md5"])
     left = stored(left.mapInArrow(_decoded, "id long, left string, text_md5 string"), "cut-texts")
     rows = as_rows(docs).withColumn("md5", F.md5(F.coalesce("row.text", F.lit("")).cast("binary")))
-    both = rows.join(left, (F.col("row.doc_id") == F.col("id")) & (F.col("md5") == F.col("text_md5")), "left")
+    same = (F.col("row.doc_id") == F.col("id")) & (F.col("md5") == F.col("text_md5"))
+    if left.count() <= SENT_IDS:
+        # Only the rows that change meet their new texts; the others stay where they are.
+        changed = F.broadcast(left.select("id", "text_md5"))
+        both = rows.join(changed, same, "left_semi").join(left, same).unionByName(rows.join(changed, same, "left_anti"), True)
+    else:
+        both = rows.join(left, same, "left")
     text = F.when(F.col("id").isNotNull(), F.col("left")).otherwise(F.col("row.text"))
 
     def column(name: str, kind: str) -> Column:

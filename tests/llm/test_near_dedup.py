@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from cases import DOCS, SF, rows_of
 
@@ -81,6 +83,74 @@ def test_planted_groups(spark, percent):
     assert check(spark.createDataFrame(planted(), DOCS), percent) > 300
 
 
+@pytest.mark.parametrize(("small", "few", "slice_"), [(8, 3, 10_000_000), (40, 48, 3000), (2048, 2, 3000)])
+def test_small_bounds_find_the_same(spark, monkeypatch, small, few, slice_):
+    """Nodes that branch on with pivots, nodes compared one by one, and clusters in pairs of blocks."""
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    monkeypatch.setattr(near_dedup, "SLICE_SHINGLES", slice_)
+    assert check(spark.createDataFrame(planted(6), DOCS), 80) > 300
+
+
+def test_wanted_texts_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SENT_IDS", 0)
+    assert check(spark.createDataFrame(planted(7), DOCS), 85) > 300
+
+
+@pytest.mark.parametrize("few", [2, 100])
+def test_clusters_and_links_of_nodes(monkeypatch, few):
+    """Against all pairs: the parts that screened pairs hang together, and a forest of the exact links between components."""
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    draw = np.random.default_rng(few)
+    base = [draw.integers(0, 10**6, 60) for _ in range(6)]
+    sets = []
+    for i in range(90):
+        own = base[i % 6].copy()
+        own[draw.integers(0, 60, draw.integers(0, 12))] = draw.integers(0, 10**6)
+        sets.append(np.unique(own).astype(np.uint64) << np.uint64(20))
+    node = np.repeat([3, 5, 9, 11], [1, 2, 50, 37])
+    component = draw.integers(0, 25, 90)
+    size = np.array([len(s) for s in sets])
+    sketches = np.array([near_dedup.sketch(near_dedup.minwise(near_dedup.mixed(s))) for s in sets]).view(np.uint8)
+    name, own = near_dedup.screened_clusters(node, np.arange(90), component, size, sketches, 80)
+    least = near_dedup.least_agreeing(80)
+    label = np.arange(90)
+    for _ in range(90):
+        for a in range(90):
+            for b in range(a):
+                low, high = sorted((size[a], size[b]))
+                if (node[a] == node[b] and component[a] != component[b] and 100 * low >= 80 * high
+                        and (sketches[a] == sketches[b]).sum() >= least):
+                    label[[a, b]] = min(label[a], label[b])
+    want = {(int(label[i]), i) for i in range(90) if len(set(component[label == label[i]])) > 1}
+    assert set(zip(name.tolist(), own.tolist(), strict=True)) == want and want
+    links = near_dedup.exact_links([s.view(np.int64) for s in sets], component, 80)
+    merged = {c: c for c in component.tolist()}
+
+    def top(c):
+        return c if merged[c] == c else top(merged[c])
+
+    for a, b in links:
+        assert 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+        assert top(component[a]) != top(component[b])
+        merged[top(component[a])] = top(component[b])
+    for a in range(90):
+        for b in range(a):
+            if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b])):
+                assert top(component[a]) == top(component[b])
+
+
+def test_whole_runs():
+    keys = [1, 1, 2, 3, 3, 3, 3, 4, 5, 5]
+    for cut in range(1, 6):
+        rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(10))], ["k", "v"])
+        parts = list(near_dedup.whole_runs((rows.slice(i, cut) for i in range(0, 10, cut)), ["k"]))
+        assert [v for p in parts for v in p.column("v").to_pylist()] == list(range(10))
+        ends = [set(p.column("k").to_pylist()) for p in parts]
+        assert all(a.isdisjoint(b) for i, a in enumerate(ends) for b in ends[:i])
+    assert list(near_dedup.whole_runs(iter([]), ["k"])) == []
+
+
 def test_table(spark):
     assert check(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"), 85) > 20
 

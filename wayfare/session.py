@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
+ROOT = Path(__file__).resolve().parents[1]
+ARCHIVE = "wayfare-package.zip"
 # Shuffled bytes a task should get.
 BYTES_PER_PARTITION = 128 << 20
 
@@ -34,7 +40,19 @@ def build_session(app: str = "wayfare", master: str | None = None, shuffled_byte
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, once a session, where their Python could not find it."""
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(ROOT) in found or any(Path(f).name == ARCHIVE for f in spark.sparkContext.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="wayfare-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{Path(ARCHIVE).stem}", "zip", ROOT, "wayfare"))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -47,6 +47,22 @@ def test_batches_go_through_one_index(spark, tmp_path, odd, none):
     assert exact_dedup.dedup_in_batches(none).count() == 0
 
 
+def test_an_index_keeps_its_layout(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(50)]
+    docs, path = spark.createDataFrame(rows_of(rows), DOCS), f"file://{tmp_path}/index"
+    first = exact_dedup.dedup(docs, exact_dedup.DigestIndex(spark, path, 4))
+    assert first.where("kept").count() == 50
+    index = exact_dedup.DigestIndex(spark, path, 8)
+    assert index.buckets == 4
+    copies = spark.createDataFrame(rows_of([(100 + i, t) for i, t in rows]), DOCS)
+    got = exact_dedup.dedup(copies, index)
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got.collect()} == {(100 + i, i, False) for i, _ in rows}
+    # The first batch once more.
+    again = exact_dedup.dedup(docs, exact_dedup.DigestIndex(spark, path, 8))
+    assert {(r.doc_id, r.keep_id, r.kept) for r in again.collect()} == {(i, i, True) for i, _ in rows}
+    assert index.rows().count() == 50
+
+
 def test_kept_documents(spark, odd):
     out = exact_dedup.kept_documents(odd)
     assert out.columns == odd.columns

@@ -17,26 +17,36 @@ empty result; columns other than ``doc_id`` and ``text`` are not looked at.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import as_rows, shared_path, stored, whole_text
+from wayfare.sources.files import Files
 
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 # Digest rows a bucket should hold at most; about 128 MB of them.
 ROWS_PER_BUCKET = 2_000_000
+# Hidden from Spark's readers.
+LAYOUT = "_layout.json"
 # Batches that a whole table is taken in.
 BATCHES = 4
 
 
 class DigestIndex:
-    """Digests of the accepted texts in a folder; opening an existing folder finds what it holds."""
+    """Digests of the accepted texts in a folder; opening an existing folder finds what it holds, in the buckets it has.
+
+    The number of buckets is kept beside the data: ``buckets`` counts for a new index only.
+    """
 
     SCHEMA = "digest string, keep_id long, keep_chars long"
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
+        files = Files(spark, path)
+        files.create(LAYOUT, json.dumps({"buckets": buckets, "by": "digest"}))
+        buckets = json.loads(files.text(LAYOUT))["buckets"]
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.name} ({self.SCHEMA}) USING parquet "
@@ -89,25 +99,25 @@ def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
     ``keep_id`` is the document that stays for this text: from this batch, or from the index if
     it has the text. ``group_size`` counts the rows of this batch with the text. A document that
-    occurs more than once with the same text gives one row.
+    occurs more than once with the same text gives one row. A batch that is taken again, after a failure say, finds its own
+    documents in the index, and they stay.
     """
     rows = stored(digests(docs), "digests")
     if index is None:
         index = new_index(docs.sparkSession, rows.count())
     # Partial aggregation leaves one row per task and digest, so a digest of many rows moves as few.
     groups = stored(winners(rows), "digest-groups")
-    known = groups.select("digest", "group_size").hint("merge").join(
-        index.best().select("digest", "keep_id"), "digest").withColumn("fresh", F.lit(False))
+    known = groups.select("digest", "group_size").hint("merge").join(index.best().select("digest", "keep_id"), "digest")
     fresh = stored(index.missing(groups), "fresh-digests")
-    decided = stored(known.select("digest", "keep_id", "group_size", "fresh").unionByName(
-        fresh.select("digest", "keep_id", "group_size", F.lit(True).alias("fresh"))), "decided-digests")
+    decided = stored(known.select("digest", "keep_id", "group_size").unionByName(
+        fresh.select("digest", "keep_id", "group_size")), "decided-digests")
     index.append(fresh)
     # One decided row per digest, and documents of a large group on the other side: adaptive
     # execution splits that side's partition and repeats the single row.
     one = rows.select("doc_id", "digest", "n_chars").join(decided, "digest")
     return one.select(
         "doc_id", "keep_id", "group_size",
-        (F.col("fresh") & (F.col("doc_id") == F.col("keep_id"))).alias("kept"),
+        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"))
 
 

@@ -213,3 +213,13 @@ def test_archive(spark, tmp_path):
 def test_url_keys():
     assert warc.url_key("http://User@WWW.A.org:8080/p/q?r#f") == "org,a,www:8080)/p/q?r"
     assert warc.url_key("") == ")/" and warc.url_key("https://a.org") == "org,a)/"
+
+
+def test_marks_on_any_element_and_hidden_ones():
+    page = ("<article><p>a</p><p class='ad'>b</p><ul class='commentlist'><li>d</li></ul><div class='user-comments'>e</div>"
+            "<p style='color:red; display: none'>f</p><p aria-hidden='true'>g</p><p class='ad-hoc'>h</p><p style='display:block'>i</p></article>")
+    assert [line for line, _ in html_text.lines(page)] == ["a", "h", "i"]
+
+
+def test_open_elements_cost_no_more_when_there_are_many():
+    assert [line for line, _ in html_text.lines("<div>" * 60_000 + "text" + "</p></b>" * 60_000)] == ["text"]

@@ -22,6 +22,7 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -47,7 +48,7 @@ IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript scri
 CLOSES_P = BLOCKS - frozenset("body html caption td th tr tbody thead tfoot li dd dt".split())
 # Words of class, id and role that mark an element as no article text: what others wrote or sell, and page furniture.
 FOREIGN = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond "
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist disqus respond "
     "reply replies related recommended recommendations".split())
 MARKS = FOREIGN | frozenset(
     "banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside complementary footer contentinfo "
@@ -57,8 +58,9 @@ MARKS = FOREIGN | frozenset(
 BESIDE = frozenset(
     "area articles bar block bottom box button buttons container content footer form global group header holder icons inner "
     "item items left link links list main message outer page panel post posts primary right secondary section site slot "
-    "stories thread top unit wrap wrapper".split())
+    "reader readers stories thread top unit user users wrap wrapper".split())
 CONTAINERS = frozenset("article center details div dl fieldset figure li ol section table td ul".split())
+NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 WHITE = re.compile(r"\s+")
 # Pages differ materially if each has at least this share of its characters in lines that the other lacks.
 OWN_SHARE = 0.15
@@ -73,6 +75,12 @@ def marked(value: str | None, marks: frozenset[str] = MARKS) -> bool:
     return False
 
 
+def unseen(attrs: dict[str, str | None]) -> bool:
+    """Whether an element is never shown."""
+    return "hidden" in attrs or (attrs.get("aria-hidden") or "").strip().lower() == "true" or bool(
+        NOT_SHOWN.search((attrs.get("style") or "").lower()))
+
+
 # How an element is left out: not at all, as a form or named wrapper that an article may stand in, or with all it holds.
 READ, FORM, NAMED, OUT = range(4)
 # How far a line is declared as article text.
@@ -85,6 +93,7 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, int]] = []  # element, how it is left out, how far it is article text
+        self.named: Counter[str] = Counter()  # open elements by name
         self.lines: list[tuple[str, int]] = []
         self.text: list[str] = []
         self.has_own = False
@@ -114,19 +123,23 @@ class Lines(HTMLParser):
         left_out, own = self.entered(tag, dict(reversed(attrs)), *self.state())
         self.has_own |= own == OWN_TEXT and left_out == READ
         self.open.append((tag, left_out, own))
+        self.named[tag] += 1
 
     def entered(self, tag: str, attrs: dict[str, str | None], left_out: int, own: int) -> tuple[int, int]:
         """The state inside an element, from the state around it."""
         if left_out == OUT:
             return left_out, own
         # In an article, ids of sections are made from their headings.
-        in_article = any(name == "article" for name, *_ in self.open)
+        in_article = self.named["article"] > 0
         names = [attrs.get("role")] if tag not in ("html", "body", *OWN) else []
         names += [attrs.get("class")] if tag in CONTAINERS - OWN else []
         names += [attrs.get("id")] if tag in CONTAINERS - OWN and not (in_article and tag == "section") else []
         foreign = any(marked(n, FOREIGN) for n in names)
+        if tag not in CONTAINERS and tag not in ("html", "body", *OWN):
+            # Elsewhere a mark must be a whole token, with nothing beside it.
+            foreign = foreign or not FOREIGN.isdisjoint((attrs.get("class") or "").lower().split())
         # The page's own header is a template; a header inside the article holds its title.
-        if tag in SKIPPED and tag != "form" or tag == "header" and own == PLAIN or "hidden" in attrs or foreign:
+        if tag in SKIPPED and tag != "form" or tag == "header" and own == PLAIN or unseen(attrs) or foreign:
             return OUT, own
         if tag == "form" or any(map(marked, names)):
             return (OUT if own != PLAIN else max(left_out, FORM if tag == "form" else NAMED)), own
@@ -155,9 +168,12 @@ class Lines(HTMLParser):
         self.close(tag, stop=frozenset() if tag in OWN or tag in SKIPPED else OWN)
 
     def close(self, tag: str, stop: frozenset[str]) -> None:
+        if not self.named[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 self.end_line() if tag in BLOCKS else None
+                self.named.subtract(name for name, *_ in self.open[at:])
                 del self.open[at:]
                 return
             if self.open[at][0] in stop:

@@ -85,18 +85,20 @@ def _inside() -> Column:
             & geo.inside_ring(lng, lat, F.col("edges")))
 
 
-def label_districts(points: DataFrame, districts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def label_districts(points: DataFrame, districts: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """One row per point and district strictly containing it; points outside all are dropped.
 
     Points and districts meet by tile, in a quadtree of tiles. A district takes the least tile size of ``LEVELS`` that
     its extent fits in, so it covers at most four tiles, and a point is looked up once for each size that occurs: one tile
     for districts of like extent. Tiles crowded with points are cut into pieces, as many as their points ask for.
-    Spark picks the join by the measured size of the district tiles.
+    Spark picks the join by the measured size of the district tiles. Without ``rows_per_task`` no tile is cut: for points that are few
+    in any tile by their nature, such as one for each cell.
     """
     located = (points.withColumn("_lng", F.col("starting_lng").try_cast("double"))
                .withColumn("_lat", F.col("starting_lat").try_cast("double")))
     tiles, looked_up = district_tiles(located, district_edges(districts))
-    matched = join_unique(looked_up, tiles, TILE, rows_per_task).where(_inside())
+    joined = looked_up.join(tiles, list(TILE)) if rows_per_task is None else join_unique(looked_up, tiles, TILE, rows_per_task)
+    matched = joined.where(_inside())
     return matched.select(*points.columns, F.col("name").alias("district_name"), F.col("position").alias("district_position"))
 
 
@@ -124,7 +126,7 @@ def district_tiles(located: DataFrame, edges: DataFrame) -> tuple[DataFrame, Dat
 def stations(orders: DataFrame, districts: DataFrame, min_orders: int = MIN_CELL_ORDERS) -> DataFrame:
     """The station table, keyed by order: where two districts hold a station, the later listed wins."""
     chosen = cell_representatives(grid_cells(orders), min_orders)
-    labelled = label_districts(chosen, districts)
+    labelled = label_districts(chosen, districts, None)
     columns = ("city_id", "starting_lng", "starting_lat", "district_name")
     last = F.max_by(F.struct(*columns), "district_position").alias("last")
     return (labelled.groupBy("order_id").agg(last)

@@ -60,7 +60,7 @@ def hot_cell_parents(spark: SparkSession, folder: str) -> DataFrame:
 
 def station_districts(spark: SparkSession, folder: str) -> DataFrame:
     chosen = stations.cell_representatives(_gridded(spark, folder), stations.MIN_CELL_ORDERS)
-    labelled = stations.label_districts(chosen, stations.district_table(spark, DISTRICTS))
+    labelled = stations.label_districts(chosen, stations.district_table(spark, DISTRICTS), None)
     return labelled.select("order_id", "city_id", "starting_lng", "starting_lat", "district_name")
 
 

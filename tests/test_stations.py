@@ -264,3 +264,18 @@ def test_ranges_of_a_stored_track(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
         spark.sql("DROP TABLE IF EXISTS stored_track")
+
+
+def test_districts_that_crowd_with_points_are_shared_out(spark, monkeypatch):
+    """The work of one tile, points times districts, is cut on both sides and dealt over tasks that are not merged again."""
+    monkeypatch.setattr(stations, "PAIRS_PER_TASK", 1 << 10, raising=False)
+    monkeypatch.setattr(stations, "SIDE", 1 << 4, raising=False)
+    for n_points, n_districts in ((900, 40), (3, 2000)):
+        data = [(str(i), "110.205", "19.805") for i in range(n_points)] + [(None, None, "1"), ("0", "110.205", "19.805")]
+        points = spark.createDataFrame(data, "order_id string, starting_lng string, starting_lat string")
+        rows = [(f"d{i}", "1", "110.2,19.8;110.21,19.8;110.21,19.81;110.2,19.81;110.2,19.8") for i in range(n_districts)]
+        got = stations.label_districts(points, stations.district_table(spark, rows))
+        per_task = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+        assert sum(per_task) == (n_points + 1) * n_districts
+        assert max(per_task) <= 8 << 10
+        assert got.select("order_id", "district_position").distinct().count() == n_points * n_districts

@@ -11,6 +11,9 @@ from wayfare.operators.spread import ROWS_PER_TASK, join_unique
 
 # Powers of two in degrees that tiles come in; the last holds any coordinates on Earth.
 LEVELS = tuple(range(-12, 10))
+# Pairs of a point and a district that a task should compare, and points and districts of a square piece of a tile.
+PAIRS_PER_TASK, SIDE = 1 << 22, 1 << 10
+MAX_TASKS = 100_000
 
 
 def grid_cells(orders: DataFrame, edge_m: float = HEX_EDGE_M, resolution: int = HEX_RESOLUTION) -> DataFrame:
@@ -90,14 +93,15 @@ def label_districts(points: DataFrame, districts: DataFrame, rows_per_task: int
 
     Points and districts meet by tile, in a quadtree of tiles. A district takes the least tile size of ``LEVELS`` that
     its extent fits in, so it covers at most four tiles, and a point is looked up once for each size that occurs: one tile
-    for districts of like extent. Tiles crowded with points are cut into pieces, as many as their points ask for.
-    Spark picks the join by the measured size of the district tiles. Without ``rows_per_task`` no tile is cut: for points that are few
-    in any tile by their nature, such as one for each cell.
+    for districts of like extent. The work of a tile is its points times its districts: tiles of much work are cut on both sides, and
+    there are as many tasks as the pairs to compare ask for, which one count of both sides by tile tells beforehand.
+    Spark picks the join by the measured size of the district tiles. Without ``rows_per_task`` no tile is cut and nothing counted: for
+    points that are few in any tile by their nature, such as one for each cell.
     """
     located = (points.withColumn("_lng", F.col("starting_lng").try_cast("double"))
                .withColumn("_lat", F.col("starting_lat").try_cast("double")))
     tiles, looked_up = district_tiles(located, district_edges(districts))
-    joined = looked_up.join(tiles, list(TILE)) if rows_per_task is None else join_unique(looked_up, tiles, TILE, rows_per_task)
+    joined = looked_up.join(tiles, list(TILE)) if rows_per_task is None else join_by_work(looked_up, tiles, rows_per_task)
     matched = joined.where(_inside())
     return matched.select(*points.columns, F.col("name").alias("district_name"), F.col("position").alias("district_position"))
 
@@ -123,6 +127,48 @@ def district_tiles(located: DataFrame, edges: DataFrame) -> tuple[DataFrame, Dat
     return tiles, looked_up
 
 
+def _work(looked_up: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``_points`` and ``_districts`` of every tile with points; a tile without districts counts as one with one."""
+    theirs = tiles.groupBy(*TILE).agg(F.count("*").alias("_districts"))
+    return (looked_up.groupBy(*TILE).agg(F.count("*").alias("_points")).join(theirs, list(TILE), "left")
+            .fillna(1, ["_districts"]))
+
+
+def _crowded(work: DataFrame, rows_per_task: int) -> DataFrame:
+    """How often the points (``_cuts``) and the districts (``_parts``) of a tile are cut, where one is; one row in ``SIDE`` squared pairs.
+
+    Pieces are squares, or of all rows of a side that has fewer, so that few rows are copied to the pieces of the other side.
+    """
+    def pieces(rows: str, others: str) -> Column:
+        most = F.greatest(F.lit(SIDE), F.lit(SIDE * SIDE) / F.col(others))
+        return F.ceil(F.col(rows) / (F.least(F.lit(rows_per_task), most) if rows == "_points" else most)).cast("int")
+
+    cut = work.select(*TILE, pieces("_points", "_districts").alias("_cuts"), pieces("_districts", "_points").alias("_parts"))
+    return F.broadcast(cut.where(F.col("_cuts") + F.col("_parts") > 2))
+
+
+def join_by_work(looked_up: DataFrame, tiles: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Points joined to the districts of their tile; no task compares many more than ``PAIRS_PER_TASK`` pairs."""
+    points = looked_up.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    work = _work(points, tiles)
+    pairs, rows = work.agg(F.sum(F.col("_points").cast("double") * F.col("_districts")), F.sum("_points")).first()
+    tasks = min(MAX_TASKS, max(1, -int(-(pairs or 0) // PAIRS_PER_TASK), -(-(rows or 0) // rows_per_task)))
+    crowded = _crowded(work, rows_per_task)
+
+    def dealt(side: DataFrame, own: str, own_pieces: str, other: str, other_pieces: str) -> DataFrame:
+        """A row goes to one piece of its own side, and with it to every piece of the other side."""
+        any_piece = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in side.columns])
+        return (side.withColumn("_hash", any_piece).join(crowded, list(TILE), "left")
+                .withColumn(own, F.pmod("_hash", F.coalesce(own_pieces, F.lit(1))).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other_pieces, F.lit(1)) - 1)))
+                .drop("_hash", "_cuts", "_parts"))
+
+    keys = [*TILE, "_piece", "_part"]
+    # A given number of partitions is one that adaptive execution, which goes by bytes, does not merge.
+    left = dealt(points, "_piece", "_cuts", "_part", "_parts").repartition(tasks, *keys)
+    return left.join(dealt(tiles, "_part", "_parts", "_piece", "_cuts").repartition(tasks, *keys), keys).drop("_piece", "_part")
+
+
 def stations(orders: DataFrame, districts: DataFrame, min_orders: int = MIN_CELL_ORDERS) -> DataFrame:
     """The station table, keyed by order: where two districts hold a station, the later listed wins."""
     chosen = cell_representatives(grid_cells(orders), min_orders)

@@ -49,6 +49,27 @@ def test_stored_bounds_save_distances():
     assert sum(seen) < 3000
 
 
+def test_a_block_of_queries_opens_a_page_once():
+    """Queries search together: fewer looks at rows than pages times queries; ties, own ids and large numbers hold."""
+    draw = np.random.default_rng(5)
+    for scale, count in ((3, 1500), (1 << 28, 300), (3, 4)):
+        vectors, ids = draw.integers(-scale, scale, (count, 6)), draw.permutation(count)
+        tree, seen = mtree.Tree(ids, vectors), []
+
+        class Counted(np.ndarray):
+            def __getitem__(self, at):
+                seen.append(np.size(at))  # noqa: B023
+                return np.asarray(super().__getitem__(at))
+
+        tree.vectors = tree.vectors.view(Counted)
+        got = list(zip(*(x.tolist() for x in tree.search_all(vectors[:200], ids[:200], 10)), strict=True))
+        scores = vectors @ vectors[:200].T
+        want = [(q, int(ids[i]), int(scores[i, q])) for q in range(min(200, count))
+                for i in [i for i in np.lexsort((ids, -scores[:, q])) if i != q][:10]]
+        assert got == want
+        assert len(seen) <= len(tree.pages)
+
+
 def test_top_k_of_nothing(spark):
     assert mtree.top_k(spark.createDataFrame([], VECS), F.col("vec_id") % 10 == 0).count() == 0
 

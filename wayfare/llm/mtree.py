@@ -10,7 +10,7 @@ whether it could matter. Scores are integers, so results and ties are exact.
 
 All rows are dealt into trees of bounded size by a hash of their id, and queries into blocks; each
 (tree, block) is one unit of work that gives each query's k best of the tree, and the k best of
-all trees are merged.
+all trees are merged. The queries of a block search a tree together: a page is opened once, for those it may matter to.
 
 Defined cases: null vectors, those of no components and those holding a null, NaN or infinity take no
 part, neither as query nor as candidate; rows with a null ``vec_id`` take no part; rows repeated under
@@ -81,43 +81,68 @@ class Tree:
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) of other ids, best first."""
-        query = query.astype(np.int64)
-        base = float((query.astype(np.float64) ** 2).sum()) + self.top
+        _, ids, scores = self.search_all(query[None], np.array([own]), k)
+        return list(zip(scores.tolist(), ids.tolist(), strict=True))
+
+    def search_all(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of queries, ids and scores of the k best of other ids for each query, best first.
+
+        A page is opened once for all the queries that it may matter to, so its entries meet them in one product of matrices.
+        """
+        queries = queries.astype(np.int64)
+        norms = (queries.astype(np.float64) ** 2).sum(1)
+        base = norms + self.top
         slack = self.slack + 1e-7 * np.sqrt(base)
-        best: list[tuple[int, int]] = []  # heap of (score, -id): the worst is first
-        queue = [(0.0, 0, self.root, None)]
-        limit, order = np.inf, 0
+        # No sum of products exceeds that of the norms: below 2^53 floating numbers hold it exactly.
+        exact = norms.max() * self.top < 2.0 ** 104
+        asked = queries.astype(np.float64) if exact else queries
+        best = np.full((len(queries), k), np.iinfo(np.int64).min)
+        best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
+        held = np.zeros(len(queries), np.int64)
+        limit = np.full(len(queries), np.inf)
+        queue: list[tuple] = [(0.0, 0, self.root, np.arange(len(queries)), None, np.zeros(len(queries)))]
+        order = 0
         while queue:
-            least, _, number, to_parent = heapq.heappop(queue)
-            if least > limit:
-                break
+            _, _, number, who, to_parent, bound = heapq.heappop(queue)
+            still = bound <= limit[who]
+            who = who[still]
+            if not len(who):
+                continue
             leaf, at, radius, stored_far, children = self.pages[number]
-            if to_parent is not None and limit < np.inf:
-                open_ = np.flatnonzero(np.abs(to_parent - stored_far) - radius <= limit)
-                if not len(open_):
-                    continue
-            else:
-                open_ = np.arange(len(at))
-            scores = self.vectors[at[open_]] @ query
+            open_ = np.ones((len(who), len(at)), bool)
+            if to_parent is not None:
+                open_ = np.abs(to_parent[still, None] - stored_far) - radius <= limit[who, None]
+            entries, rows = np.flatnonzero(open_.any(0)), np.flatnonzero(open_.any(1))
+            if not len(entries):
+                continue
+            who, open_ = who[rows], open_[np.ix_(rows, entries)]
+            vectors = self.vectors[at[entries]]
+            scores = asked[who] @ (vectors.astype(np.float64) if exact else vectors).T
             if leaf:
-                if len(best) == k:
-                    open_, scores = open_[scores >= best[0][0]], scores[scores >= best[0][0]]
-                for score, vec in zip(scores.tolist(), self.ids[at[open_]].tolist(), strict=True):
-                    if vec == own:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (score, -vec))
-                    elif (score, -vec) > best[0]:
-                        heapq.heapreplace(best, (score, -vec))
-                if len(best) == k:
-                    limit = np.sqrt(max(0.0, base - 2 * best[0][0])) + slack
+                scores, ids = scores.astype(np.int64), self.ids[at[entries]]
+                better = ((scores >= best[who, -1:]) | (held[who, None] < k)) & (ids != own[who, None])
+                rows, entries = np.flatnonzero(better.any(1)), np.flatnonzero(better.any(0))
+                if not len(rows):
+                    continue
+                who, better = who[rows], better[np.ix_(rows, entries)]
+                value = np.hstack([best[who], np.where(better, scores[np.ix_(rows, entries)], np.iinfo(np.int64).min)])
+                name = np.hstack([best_id[who], np.where(better, ids[entries], np.iinfo(np.int64).max)])
+                first = np.lexsort((name, ~value))[:, :k]
+                best[who], best_id[who] = np.take_along_axis(value, first, 1), np.take_along_axis(name, first, 1)
+                held[who] = np.minimum(k, held[who] + better.sum(1))
+                full = who[held[who] == k]
+                limit[full] = np.sqrt(np.maximum(0.0, base[full] - 2.0 * best[full, -1])) + slack[full]
                 continue
-            far = np.sqrt(np.maximum(0.0, base - 2.0 * scores))
-            bound = np.maximum(0.0, far - radius[open_])
-            for i in np.flatnonzero(bound <= limit):
+            far = np.sqrt(np.maximum(0.0, base[who, None] - 2.0 * scores))
+            bound = np.maximum(0.0, far - radius[entries])
+            live = open_ & (bound <= limit[who, None])
+            for i in np.flatnonzero(live.any(0)).tolist():
                 order += 1
-                heapq.heappush(queue, (float(bound[i]), order, children[open_[i]], float(far[i])))
-        return [(score, -vec) for score, vec in sorted(best, reverse=True)]
+                own_rows = live[:, i]
+                queue_bound = bound[own_rows, i]
+                heapq.heappush(queue, (float(queue_bound.min()), order, children[entries[i]], who[own_rows], far[own_rows, i], queue_bound))
+        found = np.arange(k) < held[:, None]
+        return np.nonzero(found)[0], best_id[found], best[found]
 
 
 def whole_vectors(rows: DataFrame, vector: str, scale: int, *others: str) -> DataFrame:
@@ -175,10 +200,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, vector: str = "embeddi
             for pages, block in zip(batch.column(0), batch.column(1), strict=True):
                 tree: Tree = pickle.loads(pages.as_py())  # noqa: S301 - written above
                 ids, queries = pickle.loads(block.as_py())  # noqa: S301
-                rows = [(own, vec, score) for own, query in zip(ids.tolist(), queries, strict=True)
-                        for score, vec in tree.search(query, own, k)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
+                place, found, scores = tree.search_all(queries, ids, k)
+                if len(place):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids[place], found, scores)],
                                                      ["query_id", "vec_id", "score"])
 
     units = forest.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(

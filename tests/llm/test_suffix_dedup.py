@@ -137,3 +137,28 @@ def test_reaches():
     for before, at in zip(sa, sa[1:], strict=False):
         same = text[at:at + 50] + bytes(max(0, at + 50 - len(text)))
         assert got[at] == (same == text[before:before + 50] + bytes(max(0, before + 50 - len(text))))
+
+
+def test_entries_are_small(spark):
+    """An entry of a minimizer is a key, a content hash and two numbers of as few bytes as they take."""
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=7)) for _ in range(5000)]
+    for base in (0, -(1 << 62)):
+        rows = rows_of((base + i, " ".join(draw.choices(words, k=300))) for i in range(100))
+        blobs = [bytes(r.entries) for r in suffix_dedup.Dedup(spark.createDataFrame(rows, DOCS))._entries().collect()]
+        entries = sum(int(np.frombuffer(b, np.int64, 1)[0]) for b in blobs)
+        assert entries > 8000 and sum(map(len, blobs)) < 15 * entries
+
+
+def test_numbers_in_the_least_width():
+    for numbers, width in (([0, 255], 1), ([0, 256], 2), ([0, 1 << 16], 4), ([0, 1 << 32], 8), ([0, -2], 8)):
+        packed = suffix_dedup._narrow(np.array(numbers, np.int64))
+        assert packed.itemsize == width and packed.astype(np.int64).tolist() == numbers
+
+
+def test_cut_texts_of_rows_repeated_under_an_id(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = rows_of([(1, passage), *[(2, f"{passage} more")] * 3, (3, "short")])
+    out = suffix_dedup.cleaned_documents(spark.createDataFrame(rows, DOCS))
+    cut = [(i, t, lang, source, 5, *rest) for i, t, lang, source, _, *rest in rows_of([(2, " more")] * 3)]
+    assert sorted(map(tuple, out.collect())) == [*rows_of([(1, passage)]), *cut, *rows_of([(3, "short")])]

@@ -117,6 +117,12 @@ def _shard_of(minimizer: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarra
     return ((hashed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64), hashed.astype(np.uint32)
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the least width that holds them; differences beyond 63 bits wrap round, and back when added."""
+    fits = [k for k in ("<u1", "<u2", "<u4") if 0 <= int(numbers.min()) and int(numbers.max()) <= np.iinfo(k).max]
+    return numbers.astype(fits[0] if fits else "<u8")
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     """base^0 to base^n modulo 2^64."""
     out = np.full(n + 1, base, np.uint64)
@@ -197,11 +203,10 @@ class Dedup:
                     blobs = []
                     for part in np.split(by, edges[1:]):
                         low = int(owner[part].min())
-                        wide = np.int64 if int(owner[part].max()) - low >= 1 << 32 else np.uint32
+                        kind, above = _narrow(np.minimum(kinds[part], MANY)), _narrow(owner[part] - low)
                         blobs.append(b"".join((
-                            np.array([len(part), low, wide is np.int64], np.int64).tobytes(), key[part].tobytes(),
-                            np.minimum(kinds[part], MANY).astype(np.uint16).tobytes(), content[part].tobytes(),
-                            (owner[part] - low).astype(wide).tobytes())))
+                            np.array([len(part), low, kind.itemsize, above.itemsize], np.int64).tobytes(), key[part].tobytes(),
+                            kind.tobytes(), content[part].tobytes(), above.tobytes())))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(shard[by][edges], pa.int64()), pa.array([slot.as_py()] * len(blobs), pa.int64()),
                          binary(blobs)], ["shard", "slot", "entries"])
@@ -215,12 +220,12 @@ class Dedup:
             keys, kinds, contents, owners, counts = [], [], [], [], []
             for blob in table.column("entries"):
                 raw = blob.as_py()
-                n, low, wide = np.frombuffer(raw, np.int64, 3).tolist()
-                at = 24
-                for out, kind in ((keys, "<u4"), (kinds, "<u2"), (contents, "<u8"), (owners, "<i8" if wide else "<u4")):
-                    out.append(np.frombuffer(raw, kind, n, at))
-                    at += n * np.dtype(kind).itemsize
-                owners[-1] = owners[-1].astype(np.int64) + low
+                n, low, of_kind, of_owner = np.frombuffer(raw, np.int64, 4).tolist()
+                at = 32
+                for out, width in ((keys, 4), (kinds, of_kind), (contents, 8), (owners, of_owner)):
+                    out.append(np.frombuffer(raw, f"<u{width}", n, at))
+                    at += n * width
+                owners[-1] = owners[-1].view(np.int64) + low if of_owner == 8 else owners[-1].astype(np.int64) + low
                 counts.append(n)
             k, c, o, kind = (np.concatenate(x) for x in (keys, contents, owners, kinds))
             order = np.argsort(k, kind="stable")
@@ -407,14 +412,20 @@ def cleaned_documents(docs: DataFrame) -> DataFrame:
     A character of which only some bytes are covered goes as a whole. Rows without an id stay as they are.
     """
     left = Dedup(docs).result().where("n_removed > 0").select(
-        F.col("doc_id").alias("id"), "kept", "text_md5").dropDuplicates(["id", "text_md5"])
+        F.col("doc_id").alias("id"), "kept", "text_md5")
     left = stored(left.mapInArrow(_decoded, "id long, left string, text_md5 string"), "cut-texts")
+    found = left.count()
+    if left.select("id", "text_md5").distinct().count() < found:
+        left = stored(left.dropDuplicates(["id", "text_md5"]), "cut-texts-once")
+        found = left.count()
     rows = as_rows(docs).withColumn("md5", F.md5(F.coalesce("row.text", F.lit("")).cast("binary")))
     same = (F.col("row.doc_id") == F.col("id")) & (F.col("md5") == F.col("text_md5"))
-    if left.count() <= SENT_IDS:
-        # Only the rows that change meet their new texts; the others stay where they are.
+    if found <= SENT_IDS:
+        # Only the rows that change meet their new texts, and leave their old ones; the others stay where they are.
         changed = F.broadcast(left.select("id", "text_md5"))
-        both = rows.join(changed, same, "left_semi").join(left, same).unionByName(rows.join(changed, same, "left_anti"), True)
+        bare = F.col("row").withField("text", F.lit(None).cast(docs.schema["text"].dataType))
+        both = rows.join(changed, same, "left_semi").withColumn("row", bare).join(left, same).unionByName(
+            rows.join(changed, same, "left_anti"), True)
     else:
         both = rows.join(left, same, "left")
     text = F.when(F.col("id").isNotNull(), F.col("left")).otherwise(F.col("row.text"))

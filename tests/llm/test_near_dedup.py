@@ -172,3 +172,22 @@ def test_unlike_texts_of_one_id_are_judged_apart(spark):
     rows = [(1, copied), (2, copied + " end"), (2, alone), (3, later), (3, alone + " end"), (4, later), (4, later)]
     got = near_dedup.kept_documents(spark.createDataFrame(rows_of(rows), DOCS)).collect()
     assert sorted((r.doc_id, r.text) for r in got) == [(1, copied), (2, alone), (3, later)]
+
+
+def test_few_shuffles(spark):
+    """Each takes as many tasks as the session has partitions, however small its rows."""
+    docs = spark.createDataFrame(planted(5), DOCS).localCheckpoint()
+    spark.sparkContext.setJobGroup("shuffles", "")
+    try:
+        near_dedup.near_duplicates(docs, 85).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shuffles")) < 71
+
+
+def test_a_crowd_of_near_copies_takes_one_level(spark, monkeypatch):
+    text, levels, clusters = [f"w{i}" for i in range(200)], [], near_dedup.Join.clusters
+    rows = [(i, " ".join([*text[:i % 200], f"x{i}", *text[i % 200 + 1:]])) for i in range(2500)]
+    monkeypatch.setattr(near_dedup.Join, "clusters", lambda join, found: levels.append(1) or clusters(join, found))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows_of(rows), DOCS), 85).collect()
+    assert len(got) == 2500 and {r.component_id for r in got} == {0} and len(levels) == 1

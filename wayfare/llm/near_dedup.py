@@ -37,7 +37,7 @@ from wayfare.llm.numbering import numbered
 WORDS = 5
 POSITIONS = 64
 TREES, BRANCHES = 6, 2
-SMALL, DEPTH = 2048, 8
+SMALL, DEPTH = 4096, 8
 # Shingles that a group of compared sets may bring together, one for each side; ids that may be sent to all executors.
 SLICE_SHINGLES = 500_000
 SENT_IDS = 1_000_000
@@ -178,9 +178,10 @@ def screened_clusters(node: np.ndarray, ids: np.ndarray, component: np.ndarray,
         for i in range(count - 1):
             # By size, partners in reach are a run.
             stop = np.searchsorted(size[order], 100 * size[order[i]] / percent, "right")
-            linked[i, i + 1:stop] = ((sketches[order[i + 1:stop]] == sketches[order[i]]).sum(1) >= least) & (
+            linked[i, i + 1:stop] = linked[i + 1:stop, i] = (
+                (sketches[order[i + 1:stop]] == sketches[order[i]]).sum(1) >= least) & (
                 component[order[i + 1:stop]] != component[order[i]])
-        label = hanging(linked | linked.T)
+        label = hanging(linked)
         top[order] = order[label]
     top = np.array([root(i) for i in range(len(top))], np.int64)
     low, high = component.copy(), component.copy()
@@ -297,7 +298,8 @@ class Join:
         # One row per id: a repeated id keeps one of its sets.
         one = rows.groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "set_hash", "minwise", "sketch"), "set_hash").alias("s"),
                                          F.count("*").alias("n"))
-        if not one.where("n > 1").isEmpty():
+        self.repeated = not one.where("n > 1").isEmpty()
+        if self.repeated:
             rows = stored(one.select("doc_id", "s.*"), "signatures-by-id")
         self.members = rows
         self.sets = stored(rows.where("n_shingles > 0").groupBy("set_hash").agg(
@@ -323,21 +325,20 @@ class Join:
             return
         # Where they are few, the texts stay in place.
         chosen = texts(self.docs).join(F.broadcast(need) if wanted <= SENT_IDS else need, "doc_id").select("doc_id", "text", "set_hash")
-        found = stored(full_sets(chosen).dropDuplicates(["id"]), "full-sets")
+        found = full_sets(chosen)
+        found = stored(found.dropDuplicates(["id"]) if self.repeated else found, "full-sets")
         self.shingles = found if self.shingles is None else self.shingles.unionByName(found)
 
     def merge(self, links: DataFrame) -> None:
-        """Merge the components that links (``a, b``) join."""
+        """Merge the components that links between them (``a, b``) join; older links need not be gone over again."""
         if links.isEmpty():
             return
-        # The components joined by the new links are the vertices, so that older links need not be gone over again.
-        ends = [self.label.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
-        found = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        found = components(links)
         self.label = stored(self.label.join(found.select(F.col("id").alias("component"), F.col("component").alias("to")), "component",
                                             "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Compare the full sets of pairs (``a, b, a_size, b_size``), few for each set, and merge what they link."""
+        """Compare the full sets of pairs (``a, b, a_size, b_size, a_component, b_component``), few for each set, and merge what they link."""
         if pairs.isEmpty():
             return
         self.fetch(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
@@ -346,13 +347,14 @@ class Join:
         pivots = load.join(self.shingles.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a").select(
             "a", "a_shingles", F.explode(F.sequence(F.lit(0), "last")).alias("slice"))
         sliced = pairs.join(load, "a").select(
-            "a", "b", "a_size", "b_size", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("slice"))
+            "a", "b", "a_size", "b_size", "a_component", "b_component", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("slice"))
         both = sliced.join(self.shingles.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b").join(
             pivots, ["a", "slice"])
         common = F.size(F.array_intersect("a_shingles", "b_shingles"))
         self.compared = self.compared.unionByName(pairs.select("a", "b"))
         self.merge(stored(both.withColumn("common", common).where(
-            100 * F.col("common") >= self.percent * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b"), "links"))
+            100 * F.col("common") >= self.percent * (F.col("a_size") + F.col("b_size") - F.col("common"))).select(
+                F.col("a_component").alias("a"), F.col("b_component").alias("b")), "links"))
 
     def stars(self, large: DataFrame) -> DataFrame:
         """Pairs of the sets of large nodes with their node's two pivots that are in reach, each once."""
@@ -361,13 +363,14 @@ class Join:
                                            F.max_by(own, F.struct("component", "id")).alias("high"))
         both = large.select("node", own.alias("own")).join(pivots, "node")
         sides = [both.where((F.col("own.component") != F.col(f"{p}.component")) & self.could_reach(F.col("own"), F.col(p))).select(
-            F.col(f"{p}.id").alias("a"), F.col("own.id").alias("b"), F.col(f"{p}.size").alias("a_size"), F.col("own.size").alias("b_size"))
+            *[F.col(f"{side}.{c}").alias(to) for c, ends in (("id", ("a", "b")), ("size", ("a_size", "b_size")), (
+                "component", ("a_component", "b_component"))) for side, to in zip((p, "own"), ends, strict=True)])
             for p in ("low", "high")]
         # The pivot stays on its side, so that its many partners are sliced; a pair of pivots may come twice.
         return stored(sides[0].unionByName(sides[1]).distinct().join(self.compared, ["a", "b"], "left_anti"), "candidates")
 
     def clusters(self, rows: DataFrame) -> DataFrame:
-        """``cluster, id`` of the sets that must be compared, from rows of nodes; nodes beyond ``SMALL`` go in pairs of blocks."""
+        """``cluster, id, size`` of the sets that must be compared, from rows of nodes; nodes beyond ``SMALL`` go in pairs of blocks."""
         last = F.ceil(F.col("n") / SMALL).cast("int") - 1
         dealt = rows.withColumn("last", last).withColumn("p", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")).withColumn(
             "q", F.explode(F.sequence(F.lit(0), "last")))
@@ -382,20 +385,23 @@ class Join:
                     change[1:] |= key[1:] != key[:-1]
                 sketches = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint8).reshape(-1, POSITIONS)
                 name, own = screened_clusters(np.cumsum(change), ids, component, size, sketches, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(own)], ["cluster", "id"])
+                known, at = np.unique(ids, return_index=True)
+                at = at[np.searchsorted(known, own)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name, own, size[at])], names)
 
-        keys = ["node", "i", "j"]
-        return stored(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "cluster long, id long").distinct(), "clusters")
+        keys, names = ["node", "i", "j"], ["cluster", "id", "size"]
+        return stored(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+            run, ", ".join(f"{c} long" for c in names)).distinct(), "clusters")
 
     def settle(self, clusters: DataFrame) -> None:
         """Compare the full sets of each cluster and merge what they link; clusters of many shingles go in pairs of blocks."""
         if clusters.isEmpty():
             return
         self.fetch(clusters)
-        sized = clusters.join(self.sets.select("id", "size"), "id")
-        load = sized.groupBy("cluster").agg((F.sum("size") / SLICE_SHINGLES).cast("int").alias("last"))
-        dealt = sized.join(load, "cluster").withColumn("p", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")).withColumn(
-            "q", F.explode(F.sequence(F.lit(0), "last"))).select("cluster", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "id")
+        load = clusters.groupBy("cluster").agg((F.sum("size") / SLICE_SHINGLES).cast("int").alias("last")).where("last > 0")
+        dealt = clusters.join(load, "cluster", "left").fillna(0, ["last"]).withColumn(
+            "p", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), "last"))).select(
+            "cluster", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "id")
         percent, keys = self.percent, ["cluster", "i", "j"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,9 +414,9 @@ class Join:
                 first = np.flatnonzero(change)
                 lists = part.column("shingles").combine_chunks()
                 ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-                ids, component = part.column("id").to_numpy(), part.column("component").to_numpy()
-                links = [(ids[start + a], ids[start + b]) for start, stop in zip(first.tolist(), [*first[1:].tolist(), part.num_rows], strict=True)
-                         for a, b in exact_links([flat[ends[k]:ends[k + 1]] for k in range(start, stop)], component[start:stop], percent)]
+                component = part.column("component").to_numpy()
+                links = [(component[start + a], component[start + b])
+                         for start, stop in zip(first.tolist(), [*first[1:].tolist(), part.num_rows], strict=True) for a, b in exact_links([flat[ends[k]:ends[k + 1]] for k in range(start, stop)], component[start:stop], percent)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         rows = dealt.join(self.label, "id").join(self.shingles, "id")

@@ -2,11 +2,12 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from cases import DOCS, SF, rows_of
 
-from wayfare.llm import graph, near_dedup
+from wayfare.llm import common, graph, near_dedup, packing
 
 
 def sets_of(rows):
@@ -174,6 +175,43 @@ def test_unlike_texts_of_one_id_are_judged_apart(spark):
     assert sorted((r.doc_id, r.text) for r in got) == [(1, copied), (2, alone), (3, later)]
 
 
+def test_arrow_batches_are_of_few_bytes(spark, monkeypatch):
+    key, limits, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], near_dedup.stored
+
+    def batches(rows):
+        yield from (pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"]) for batch in rows)
+
+    wide = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 10000) AS text").mapInArrow(batches, "n long")
+    with common.small_batches(spark):
+        found = [r.n for r in wide.collect()]
+    assert max(found) < 8 << 20 and sum(found) > 25 << 20
+    monkeypatch.setattr(near_dedup, "stored", lambda df, name: limits.append(spark.conf.get(key, None)) or stored(df, name))
+    near_dedup.near_duplicates(spark.createDataFrame(rows_of([(1, "one two")]), DOCS))
+    assert limits and set(limits) == {str(4 << 20)} and spark.conf.get(key, None) is None
+    spark.conf.set(key, "1000000")
+    try:
+        with common.small_batches(spark):
+            assert spark.conf.get(key) == "1000000"
+        assert spark.conf.get(key) == "1000000"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_workers_drop_what_packing_remembers(spark):
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)])], ["n"])
+
+    def most():
+        return max(r.n for r in spark.range(0, 64, 1, 64).mapInArrow(held, "n long").collect())
+
+    docs = spark.createDataFrame(rows_of([(i, f"one two {i}") for i in range(128)]), DOCS).repartition(64)
+    packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).count()
+    assert most() == 1
+    near_dedup.signatures(docs).count()
+    assert most() == 0
+
+
 def test_few_shuffles(spark):
     """Each takes as many tasks as the session has partitions, however small its rows."""
     docs = spark.createDataFrame(planted(5), DOCS).localCheckpoint()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from wayfare.session import checkpoint_dir
 from wayfare.sources.tables import table
 
-__all__ = ["as_rows", "binary", "pieces_of", "shared_path", "stored", "table", "texts", "vectors", "whole_text"]
+__all__ = ["as_rows", "binary", "kept", "pieces_of", "shared_path", "small_batches", "stored", "table", "texts", "tidied", "vectors", "whole_text"]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -28,6 +30,54 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of about ``size`` bytes for what runs inside, unless the session has a limit of its own.
+
+    Each side holds a batch outside the heap, and the JVM keeps that memory; by default a batch may be a whole partition.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
+_KEPT: dict[str, Any] = {}
+
+
+def kept(key: str, make: Callable[[], Any]) -> Any:
+    """What the tasks of an operator share in a Python worker, made once; it goes with the next ``tidied`` task."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def make_room() -> None:
+    _KEPT.clear()
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[
+        [Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` in workers that hold neither what tasks of other operators left there, nor afterwards what it freed.
+
+    Spark uses its Python workers for all operators in turn, and they stay while other stages run.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
+        yield from run(batches)
+        make_room()
+
+    return whole
+
+
 def as_rows(docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` as one struct, ``row``: no name inside can clash with an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

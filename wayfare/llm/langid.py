@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import texts
+from wayfare.llm.common import texts, tidied
 
 DIMS = 1 << 14
 LONGEST = 4
@@ -138,7 +138,7 @@ def learn(docs: DataFrame, label: str = "lang") -> Model:
                          "n": [sum(table.column("n").to_pylist())]}, schema=kinds)
 
     # One row per task, language and segment goes in; DIMS numbers per language come out.
-    model = rows.mapInArrow(run, schema).groupBy("label", "at").applyInArrow(add, schema).collect()
+    model = rows.mapInArrow(tidied(run), schema).groupBy("label", "at").applyInArrow(add, schema).collect()
     profiles: dict[str, np.ndarray] = {}
     for row in model:
         profiles.setdefault(row["label"], np.zeros(DIMS))[row["at"]:row["at"] + SEGMENT] = np.array(row["sums"]) / row["n"]
@@ -158,7 +158,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                  pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_())],
                 ["doc_id", "lang_pred", "score", "ambiguous"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return texts(docs).mapInArrow(tidied(run), "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -179,4 +179,4 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
             keep = [own.predict(text.as_py())[0] != "und" for text in batch.column(batch.schema.get_field_index("text"))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import as_rows, binary, stored, texts, vectors, whole_text
+from wayfare.llm.common import as_rows, binary, small_batches, stored, texts, tidied, vectors, whole_text
 from wayfare.llm.graph import components
 from wayfare.llm.numbering import numbered
 
@@ -257,7 +257,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "set_hash", "minwise", "sketch"])
 
     return texts(docs).where(F.col("doc_id").isNotNull()).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, minwise array<int>, sketch array<long>")
+        tidied(run), "doc_id long, n_shingles long, set_hash binary, minwise array<int>, sketch array<long>")
 
 
 def full_sets(wanted: DataFrame) -> DataFrame:
@@ -275,7 +275,7 @@ def full_sets(wanted: DataFrame) -> DataFrame:
                     [pa.array([r[0] for r in rows], pa.int64()), vectors([r[1].view(np.int64) for r in rows], pa.int64())],
                     ["id", "shingles"])
 
-    return wanted.mapInArrow(run, "id long, shingles array<long>")
+    return wanted.mapInArrow(tidied(run), "id long, shingles array<long>")
 
 
 def children(node: Column, values: Column, first: bool) -> Column:
@@ -391,7 +391,7 @@ class Join:
 
         keys, names = ["node", "i", "j"], ["cluster", "id", "size"]
         return stored(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-            run, ", ".join(f"{c} long" for c in names)).distinct(), "clusters")
+            tidied(run), ", ".join(f"{c} long" for c in names)).distinct(), "clusters")
 
     def settle(self, clusters: DataFrame) -> None:
         """Compare the full sets of each cluster and merge what they link; clusters of many shingles go in pairs of blocks."""
@@ -420,7 +420,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         rows = dealt.join(self.label, "id").join(self.shingles, "id")
-        self.merge(stored(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"), "links"))
+        self.merge(stored(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidied(run), "a long, b long"), "links"))
 
     def run(self) -> None:
         level = stored(self.sets.select("id", children(F.lit(0).cast("long"), F.col("minwise"), True).alias("node")), "level")
@@ -443,8 +443,9 @@ class Join:
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: documents linked when 100 * common >= percent * union."""
-    join = Join(docs, percent)
-    join.run()
+    with small_batches(docs.sparkSession):
+        join = Join(docs, percent)
+        join.run()
     # Documents of equal sets follow their set; the set's id is their smallest id.
     by_set = join.sets.select("set_hash", "id").join(join.label, "id").select("set_hash", "component")
     out = join.members.where("n_shingles > 0").select("doc_id", "n_shingles", "set_hash").join(by_set, "set_hash")

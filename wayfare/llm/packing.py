@@ -19,7 +19,6 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from wayfare.llm.common import binary, pieces_of, stored, texts
+from wayfare.llm.common import binary, kept, pieces_of, stored, texts
 
 LIMIT = 4096
 CLOSING = 2
@@ -132,10 +131,9 @@ class WordIds:
             self.known.update(zip(some, (raw[i:j] for i, j in zip(starts, ends, strict=True)), strict=True))
 
 
-@lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
     """One per worker process, so that what it remembers serves later tasks too."""
-    return WordIds(path)
+    return kept(path, lambda: WordIds(path))
 
 
 def cuts(n: int, limit: int = LIMIT) -> list[int]:

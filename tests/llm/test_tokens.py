@@ -6,6 +6,8 @@ import struct
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from cases import long_text
@@ -64,6 +66,45 @@ def test_packing_any_text(spark):
         assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+class Counted:
+    """A tokenizer that notes what it is asked to encode."""
+
+    def __init__(self, inner):
+        self.inner, self.asked = inner, []
+
+    def encode_batch_fast(self, lines, **options):
+        self.asked += " ".join(lines).split()
+        return self.inner.encode_batch_fast(lines, **options)
+
+
+def test_packing_merges_each_part_once():
+    encode, tokenizer = packing.WordIds(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    encode.merges = Counted(encode.merges)
+    texts = ["Hello hello, HELLO. (hello)", "\n hello\thello!\xa0Hello's ", "", "  "]
+    got = encode(pa.array(texts))
+    assert encode.merges.asked.count("hello") == 1 and len(encode.merges.asked) == len(set(encode.merges.asked))
+    assert [list(struct.unpack(f"<{len(raw) // 4}I", raw)) for raw in got] == [
+        tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_packing_when_words_and_parts_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    monkeypatch.setattr(packing, "PARTS", 15)
+    draw, tokenizer, encode = random.Random(3), Tokenizer.from_file(WORD_BPE), packing.WordIds(WORD_BPE)
+    words = ["".join(draw.choices("abcÉß1.,'%", k=draw.randint(1, 6))) for _ in range(300)] + ["日本", "<|endoftext|>", "x\x1cy", "z\u2028w"]
+    for _ in range(40):
+        texts = [" ".join(draw.choices(words, k=draw.randint(0, 12))) for _ in range(draw.randint(0, 6))]
+        got = encode(pa.array(texts, pa.string()))
+        assert [list(struct.unpack(f"<{len(raw) // 4}I", raw)) for raw in got] == [
+            tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_arrow_splits_where_python_does():
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    got = pc.utf8_split_whitespace(pa.array([f"a{c}b" for c in signs])).to_pylist()
+    assert [c for c, parts in zip(signs, got, strict=True) if parts != f"a{c}b".split()] == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 4095, 4096, 4097, 13000])
 def test_cuts(n):
     got = packing.cuts(n)

@@ -19,6 +19,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ LIMIT = 4096
 CLOSING = 2
 # Bytes of text tokenized at a time, each text at the least weight, and words that a worker remembers before it parts with older ones.
 AT_ONCE, AT_LEAST, REMEMBERED = 2 << 20, 4096, 300_000
+# Parts of words that it remembers before it begins anew.
+PARTS = 300_000
 
 
 class WordIds:
@@ -42,13 +45,14 @@ class WordIds:
 
     The tokenizer's patterns never cross white space, so a text's ids are those of its words in turn;
     words recur and are remembered. New words in plain Latin letters, digits and ASCII signs
-    are cut by the tokenizer's own pattern and go to its merges alone, many in one call, with a
-    line feed after each that tells them apart again. Any other word, and any word if the file is of
-    another kind, takes the tokenizer's whole way.
+    are cut by the tokenizer's own pattern, and their parts, which many words share but for case and signs, are remembered
+    too. New parts go to the tokenizer's merges alone, many in one call, with a line feed after each that tells them
+    apart again. Any other word, and any word if the file is of another kind, takes the tokenizer's whole way.
     """
 
     # Lower-cased by one rule everywhere, and not touched by Unicode composition.
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    ALL_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ\\n]+")
     CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\\n]+")
     # White space to Python only; the tokenizer takes these for signs.
     CONTROLS = "\x1c\x1d\x1e\x1f\x85"
@@ -63,6 +67,8 @@ class WordIds:
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         self.special = tuple(token["content"] for token in parts["added_tokens"])
+        # Texts that are not cut at white space as Python sees it.
+        self.odd = "|".join([f"[{self.CONTROLS}]", *map(re.escape, self.special)])
         splits = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         self.short = (parts["model"].get("end_of_word_suffix") == "</w>"
                       and [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])] == self.FORMS
@@ -74,7 +80,12 @@ class WordIds:
             printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
             hidden = [b for b in range(256) if b not in printable]
             self.letters = {b: 256 + n for n, b in enumerate(hidden) if b != 32}
-            self.feed = self.merges.token_to_id(chr(self.letters[10]) + "</w>")
+            self.end = chr(self.letters[10])
+            vocabulary = self.merges.get_vocab()
+            self.feed = vocabulary[self.end + "</w>"]
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+            self.parts = {self.end: np.array([self.feed], "<u4").tobytes()}
 
     def words(self, text: str) -> list[str]:
         if any(token in text for token in self.special):
@@ -88,31 +99,51 @@ class WordIds:
         joined = "\n".join(words)
         return any(token in joined for token in self.special)
 
-    def __call__(self, many: list[str]) -> list[bytes]:
-        words = [self.words(text) for text in many]
-        new = set().union(*words).difference(self.known)
+    def __call__(self, many: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(many, self.odd)
+        # Arrow splits at the white space that Python does, and numbers the words, so that each is looked up once.
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", many))
+        numbered = split.flatten().dictionary_encode()
+        rest = {i: self.words(many[i].as_py()) for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.remember({*words}.union(*rest.values()))
+        own = [self.known[word] for word in words]
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        number = numbered.indices.to_numpy()
+        length = size[number]
+        ends = np.cumsum(length)
+        first = (np.cumsum(size) - size)[number] - (ends - length)  # of a word's ids, less their place in the batch
+        at = np.repeat(first, length) + np.arange(length.sum())
+        raw = np.frombuffer(b"".join(own), "<u4")[at].tobytes()
+        upto = [0, *(4 * np.append(0, ends)[np.cumsum(pc.list_value_length(split).to_numpy())]).tolist()]
+        out = [raw[i:j] for i, j in pairwise(upto)]
+        for i, parts in rest.items():
+            out[i] = b"".join(map(self.known.__getitem__, parts))
+        return out
+
+    def remember(self, words: set[str]) -> None:
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             # Words met since the last time stay within reach, so that common ones are not learned again.
             self.known, self.before = {}, self.known
-            new = set().union(*words)
+            new = words
         if self.before:
             again = self.before.keys() & new
             self.known.update((word, self.before[word]) for word in again)
-            new -= again
+            new = new - again
         self.learn_all(new)
-        return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
     def learn_all(self, new: set[str]) -> None:
         # A word with a special string is one of many blanks and signs, or a whole text: it takes the long way.
         special = {word for word in new if any(token in word for token in self.special)} if self.hinted(new) else ()
-        plain, other = ([], []), []
-        for word in new:
-            if self.short and word not in special and self.PLAIN.fullmatch(word):
-                plain[word.isascii()].append(word)
-            else:
-                other.append(word)
-        for ascii_only in (True, False):  # the latter's bytes must be translated
-            self.learn(plain[ascii_only], ascii_only)
+        other = list(special)
+        for ascii_only, keep in ((True, filter), (False, filterfalse)):  # the latter's bytes must be translated
+            words = list(keep(str.isascii, new.difference(special)))
+            if not (self.short and self.ALL_PLAIN.fullmatch("\n".join(words))):
+                plain = self.PLAIN.fullmatch if self.short else lambda word: False
+                other.extend(filterfalse(plain, words))
+                words = list(filter(plain, words))
+            self.learn(words, ascii_only)
         for word in other:
             self.known[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -123,12 +154,23 @@ class WordIds:
             line = self.CUT.sub(r"\g<0> ", "\n".join(some).lower() + "\n")
             if not ascii_only:
                 line = line.encode().decode("latin-1").translate(self.letters)
-            line = line.replace(chr(self.letters[10]) if not ascii_only else "\n", f"{chr(self.letters[10])} ")
-            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == self.feed)
-            raw, ends = ids.tobytes(), (4 * at).tolist()
-            starts = [0, *(4 * at[:-1] + 4).tolist()]
-            self.known.update(zip(some, (raw[i:j] for i, j in zip(starts, ends, strict=True)), strict=True))
+            parts = line.replace(self.end if not ascii_only else "\n", f"{self.end} ").split()
+            own = set(parts)
+            new = own.difference(self.parts)
+            if len(self.parts) + len(new) > PARTS:
+                self.parts, new = {self.end: np.array([self.feed], "<u4").tobytes()}, own - {self.end}
+            if new:
+                # A part's last token, and no other, is one that ends a word.
+                ids = np.array(self.merges.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+                self.parts.update(zip(new, self.cut(ids, self.last[ids], 1), strict=True))
+            ids = np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), "<u4")
+            self.known.update(zip(some, self.cut(ids, ids == self.feed, 0), strict=True))
+
+    @staticmethod
+    def cut(ids: np.ndarray, ends: np.ndarray, kept: int) -> list[bytes]:
+        """The ids in runs, each up to where ``ends`` is true, with ``kept`` or without that id."""
+        raw, at = ids.tobytes(), np.flatnonzero(ends)
+        return [raw[i:j] for i, j in zip([0, *(4 * at[:-1] + 4).tolist()], (4 * (at + kept)).tolist(), strict=True)]
 
 
 def word_ids(path: str) -> WordIds:
@@ -155,7 +197,7 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, closing: int = CLOSING)
         for batch in batches:
             for part in pieces_of([batch], lambda b: pc.binary_length(b.column(1)).to_numpy() + AT_LEAST, AT_ONCE):
                 rows: list[tuple] = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
                     ids += end
                     start, total = 0, len(ids) // 4
                     for length in cuts(total, limit):

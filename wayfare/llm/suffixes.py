@@ -100,19 +100,30 @@ def _names(s: np.ndarray, lms: np.ndarray, stop: int | None) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(~same)))
 
 
-def _doubled(ranks: np.ndarray) -> np.ndarray:
-    """The suffix array of a string of many different symbols, by doubling the length that ranks stand for."""
-    ranks, n, length = ranks.astype(np.int64), len(ranks), 1
-    while True:
-        key = ranks * (n + 1)
-        key[:-length] += ranks[length:] + 1
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.concatenate(([False], key[1:] != key[:-1]))
-        ranks[order] = np.cumsum(new)
+def _doubled(names: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The suffix array of a string of many different symbols, by doubling the length that ranks stand for.
+
+    ``order`` has the places by name. A rank is the first place of its group of equal suffixes, so groups are sorted
+    where they stand, and those of one suffix are not touched again.
+    """
+    n, length, order = len(names), 1, order.astype(np.int64)
+    new = np.concatenate(([True], np.diff(names[order]) != 0))
+    ranks = np.empty(n, np.int64)
+    ranks[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    spots = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in order of suffixes that have equals
+    while len(spots):
+        at = order[spots]
+        # Past the end is less than any rank.
+        after = np.where(at + length < n, ranks[np.minimum(at + length, n - 1)] + 1, 0)
+        key = ranks[at] * (n + 1) + after
+        sort = np.argsort(key)
+        at, key = at[sort], key[sort]
+        order[spots] = at
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        ranks[at] = spots[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        spots = spots[~(new & np.append(new[1:], True))]
         length *= 2
-        if ranks[order[-1]] == n - 1 or length >= n:
-            return order
+    return order
 
 
 def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
@@ -135,11 +146,12 @@ def suffix_array(s: np.ndarray, stop: int | None = None) -> np.ndarray:
     ordered = first[is_lms[first]]
     names = _names(s, ordered, stop)
     if names[-1] + 1 < len(ordered):
-        by_place = np.zeros(len(s), np.int32)
-        by_place[ordered] = names
-        reduced = by_place[lms]
-        kinds = int(names[-1]) + 1
-        order = _doubled(reduced) if kinds > WIDE else suffix_array(reduced)
+        number = np.zeros(len(s), np.int32)
+        number[lms] = np.arange(len(lms), dtype=np.int32)
+        by_name = number[ordered]
+        reduced = np.empty(len(lms), np.int32)
+        reduced[by_name] = names
+        order = _doubled(reduced, by_name) if names[-1] >= WIDE else suffix_array(reduced)
         ordered = lms[order]
     return _induced(s, small, ordered, sizes)
 

@@ -1,11 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import DOCS, SF, long_text, rows_of
 
-from wayfare.llm import suffix_dedup
+from wayfare.llm import common, suffix_dedup, suffixes
 from wayfare.llm.suffixes import reaches, suffix_array
 
 
@@ -174,3 +176,54 @@ def test_cut_texts_of_rows_repeated_under_an_id(spark):
     out = suffix_dedup.cleaned_documents(spark.createDataFrame(rows, DOCS))
     cut = [(i, t, lang, source, 5, *rest) for i, t, lang, source, _, *rest in rows_of([(2, " more")] * 3)]
     assert sorted(map(tuple, out.collect())) == [*rows_of([(1, passage)]), *cut, *rows_of([(3, "short")])]
+
+
+def test_sorting_takes_few_bytes_a_symbol(monkeypatch):
+    monkeypatch.setattr(suffixes, "STRETCH", 1 << 14)
+    draw = np.random.default_rng(5)
+    words = [bytes(draw.integers(97, 123, n, np.uint8)) for n in draw.integers(1, 9, 2000)]
+    raw = b" ".join(words[i] for i in draw.integers(0, 2000, 60_000))
+    s = np.append(np.frombuffer(raw, np.uint8).astype(np.uint16) + 2, np.uint16(0))
+    padded = np.frombuffer(raw + bytes(50), np.uint8)
+    tracemalloc.start()
+    sa = suffix_array(s, stop=1)
+    sorting = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    reaches(padded, sa[1:], 50)
+    comparing = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorting < 30 * len(s)
+    assert comparing < 25 * len(s)
+
+
+def test_one_python_step_a_task_and_arrow_batches_of_few_bytes(spark, monkeypatch, capsys):
+    plans, sizes, whole = {}, {}, suffix_dedup.stored
+
+    def stored(df, name):
+        df.explain()
+        plans[name] = capsys.readouterr().out
+        sizes[name] = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+        return whole(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    docs = spark.createDataFrame([(1, "é" * 40 + "x" * 60), (2, "ü" + "é" * 40 + "x" * 60), (3, None), (4, "short")],
+                                 "doc_id long, text string")
+    assert sorted(suffix_dedup.cleaned_documents(docs).collect()) == [
+        (1, "é" * 40 + "x" * 60), (2, "ü"), (3, None), (4, "short")]
+    assert plans["cut-texts"].count("MapInArrow") == 1
+    assert sizes["slot-findings"] == sizes["cut-texts"] == str(4 << 20)
+
+
+def test_groups_leave_nothing_in_the_worker():
+    held = []
+
+    def run(key, table):
+        held.append(len(common._KEPT))
+        common.kept("words", lambda: [0])
+        return table
+
+    common.kept("words of another stage", lambda: [0])
+    table = pa.table({"a": [1]})
+    assert common.tidied_group(run)((1,), table) is table
+    assert held == [0]
+    assert not common._KEPT

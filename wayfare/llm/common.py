@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from wayfare.session import checkpoint_dir
 from wayfare.sources.tables import table
 
-__all__ = ["as_rows", "binary", "kept", "pieces_of", "shared_path", "small_batches", "stored", "table", "texts", "tidied", "vectors", "whole_text"]
+__all__ = ["as_rows", "binary", "kept", "pieces_of", "shared_path", "small_batches", "stored", "table", "texts", "tidied", "tidied_group", "vectors", "whole_text"]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -58,9 +59,13 @@ def kept(key: str, make: Callable[[], Any]) -> Any:
 
 
 def make_room() -> None:
+    """Give what this process keeps or has freed back to the system, the C library's share too where that can be asked."""
     _KEPT.clear()
     for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
         pool.release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[
@@ -78,6 +83,18 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return whole
 
 
+def tidied_group(run: Callable[[tuple, pa.Table], pa.Table]) -> Callable[[tuple, pa.Table], pa.Table]:
+    """As ``tidied``, for the function of a group."""
+
+    def whole(key: tuple, table: pa.Table) -> pa.Table:
+        make_room()
+        out = run(key, table)
+        make_room()
+        return out
+
+    return whole
+
+
 def as_rows(docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` as one struct, ``row``: no name inside can clash with an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from wayfare.llm.common import binary, kept, pieces_of, stored, texts
+from wayfare.llm.common import binary, kept, pieces_of, small_batches, stored, texts
 
 LIMIT = 4096
 CLOSING = 2
@@ -212,8 +212,9 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, closing: int = CLOSING)
                          pa.array(number, pa.int64())],
                         ["doc_id", "start", "length", "ids", "doc_tokens", "__task", "__number"])
 
-    pieces = stored(texts(docs).mapInArrow(
-        run, "doc_id long, start long, length long, ids binary, doc_tokens long, __task int, __number long"), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stored(texts(docs).mapInArrow(
+            run, "doc_id long, start long, length long, ids binary, doc_tokens long, __task int, __number long"), "pieces")
     counts = pieces.groupBy("length", "__task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     longer = (counts.groupBy("length").agg(F.sum("n").alias("n"))

@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from cases import DOCS, SF, long_text, rows_of
 
 from wayfare.llm import common, suffix_dedup, suffixes
@@ -227,3 +228,95 @@ def test_groups_leave_nothing_in_the_worker():
     assert common.tidied_group(run)((1,), table) is table
     assert held == [0]
     assert not common._KEPT
+
+
+def test_chance_does_not_send_text(spark):
+    """Texts of so few syllables that nearly all 16-byte strings are met again, and hardly any of 50 bytes."""
+    draw = random.Random(6)
+    parts = ["".join(draw.choices("abcdefghij", k=4)) for _ in range(16)]
+    texts = ["".join(draw.choices(parts, k=1000)) for _ in range(100)]
+    copied = texts[3][1001:1401]
+    texts[60] = texts[60][:2000] + copied + texts[60][2000:]
+    docs = spark.createDataFrame(rows_of(list(enumerate(texts))), DOCS)
+    sent = 0
+    for row in suffix_dedup.Dedup(docs)._sent().where("NOT marks").collect():
+        raw = zstandard.decompress(bytes(row.data))
+        sent += len(raw) - 8 - 24 * int(np.frombuffer(raw, np.int64, 1)[0])
+    assert 0 < sent < sum(map(len, texts)) // 5
+    assert check(docs) >= 400
+
+
+def test_blocks_cut_where_the_least_string_is(monkeypatch):
+    """Each window is in one block; a block's windows have their least hash at one place, or each more than once."""
+    monkeypatch.setattr(suffix_dedup, "GRAMS", 5)
+    draw = np.random.default_rng(2)
+    for kinds in (2, 4, 50, 1):
+        hashes = draw.integers(0, kinds, 400).astype(np.uint64)
+        low = np.array([hashes[i:i + 5].min() for i in range(396)])
+        begin = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        at, windows, place, least = suffix_dedup._placed(hashes, begin, np.diff(np.append(begin, 396)), low[begin])
+        assert sorted(np.concatenate([np.arange(a, a + n) for a, n in zip(at, windows, strict=True)]).tolist()) == list(range(396))
+        for a, n, p, value in zip(at.tolist(), windows.tolist(), place.tolist(), least.tolist(), strict=True):
+            for w in range(a, a + n):
+                found = [i for i in range(w, w + 5) if hashes[i] == low[w]]
+                assert low[w] == value and (found == [p] if p >= 0 else len(found) > 1)
+        if kinds == 1:
+            assert (at.tolist(), windows.tolist(), place.tolist()) == ([0], [396], [-1])
+
+
+def test_marks_that_meet_become_one():
+    marks = np.array([[70, 2], [5, 3], [8, 1], [20, 1], [6, 1], [72, 1]])
+    assert suffix_dedup._merged(marks).tolist() == [[5, 4], [20, 1], [70, 3]]
+    assert suffix_dedup._merged(np.empty((0, 2), np.int64)).shape == (0, 2)
+
+
+def test_keys_in_few_bytes():
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 32, 600).astype(np.uint32))
+    for part in (keys, keys[:1], np.array([0, 0, (1 << 32) - 1], np.uint32)):
+        packed = suffix_dedup._steps(part)
+        assert suffix_dedup._unstepped(packed).tolist() == part.tolist()
+    assert len(zstandard.compress(suffix_dedup._steps(keys), 1)) < 3.3 * len(keys)
+
+
+EXTRA = ("struct(doc_id % 3 AS a, array(text, NULL) AS `b.c`) AS `odd.one`, map('k', doc_id) AS pairs, "
+         "timestamp'2024-01-02 03:04:05.678901' AS seen, cast(doc_id AS decimal(20, 3)) AS money, cast(text AS binary) AS raw, "
+         "cast(NULL AS string) AS nothing, date'1500-01-01' AS day")
+
+
+@pytest.mark.parametrize("more", ["", ", INTERVAL '3' MONTH AS months"])
+def test_other_columns_go_along(spark, monkeypatch, capsys, more):
+    """However many documents are cut, and with columns that Arrow can't hold too; rows without joins where it can."""
+    monkeypatch.setattr(suffix_dedup, "SENT_IDS", 0)
+    monkeypatch.setattr(suffix_dedup, "SLOT", (300, 300))
+    passage = "the passage é of many documents, sixty bytes long or more, ends here."
+    rows = [(i % 25 if i % 7 else None, f"{draw} {passage if i % 3 else ''} {i}" if i % 11 else None)
+            for i, draw in enumerate(random.Random(4).choices(["a b", "", "ü"], k=60))]
+    plain = spark.createDataFrame(rows, "doc_id int, text string")
+    docs = spark.sql(f"SELECT doc_id, length(text) AS n_chars, text, {EXTRA}{more} FROM {{plain}}", plain=plain)
+    out = suffix_dedup.cleaned_documents(docs)
+    assert out.dtypes == docs.dtypes
+    keep = [c for c in docs.columns if c not in ("n_chars", "text", "months")]
+    shown = lambda df: sorted(repr(tuple(r)) for r in df.select(*[f"`{c}`" for c in keep]).collect())
+    assert shown(out) == shown(docs)
+    least = min(i for i, t in rows if i is not None and t and passage in t)
+    got = out.select("doc_id", "n_chars", "text", "raw").collect()
+    for i, n, text, raw in got:
+        was = None if raw is None else raw.decode()
+        assert (text is None) == (was is None) and n == (None if text is None else len(text))
+        assert text == was if i in (None, least) or not was or passage not in was else passage not in text
+    out.explain()
+    assert ("Join" in capsys.readouterr().out) == bool(more)
+
+
+def test_shuffles_go_when_their_result_is_stored(spark, monkeypatch):
+    key, seen, whole = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}, suffix_dedup.stored
+
+    def stored(df, name):
+        seen[name] = spark.conf.get(key, None)
+        return whole(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    docs = spark.createDataFrame([(1, "x" * 90), (2, "y" + "x" * 90)], "doc_id long, text string")
+    assert sorted(suffix_dedup.cleaned_documents(docs).collect()) == [(1, "x" * 90), (2, "y")]
+    assert seen == dict.fromkeys(("shared-keys", "slot-findings", "cut-texts"), "true")
+    assert spark.conf.get(key, None) is None

@@ -10,13 +10,16 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import PySparkTypeError, PySparkValueError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wayfare.session import checkpoint_dir
 from wayfare.sources.tables import table
 
-__all__ = ["as_rows", "binary", "kept", "pieces_of", "shared_path", "small_batches", "stored", "table", "texts", "tidied", "tidied_group", "vectors", "whole_text"]
+__all__ = ["arrow_holds", "as_rows", "binary", "brief_shuffles", "kept", "pieces_of", "shared_path", "small_batches", "stored", "table", "texts", "tidied", "tidied_group", "vectors", "whole_text"]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -48,6 +51,30 @@ def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
         spark.conf.unset(key)
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What runs inside drops its shuffle files when it ends, unless the session says otherwise; else they stay until the driver
+    happens to collect its garbage. For actions whose result is stored: it must not be read from their shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
+def arrow_holds(schema: StructType) -> bool:
+    """Whether rows of the schema can go through Python as Arrow batches."""
+    try:
+        to_arrow_schema(schema)
+    except (PySparkTypeError, PySparkValueError):
+        return False
+    return True
+
+
 _KEPT: dict[str, Any] = {}
 
 
